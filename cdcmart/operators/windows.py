@@ -1,7 +1,7 @@
 """Time windows for incremental runs.
 
 Every bound is a literal on the driver, never a subquery in the plan, so that it reaches the scan: as a partition
-filter where the table has a ``created_date`` partition column, and as row-group statistics otherwise.
+filter where the table is partitioned on its creation time, and as row-group statistics otherwise.
 """
 
 from __future__ import annotations
@@ -14,26 +14,45 @@ from pyspark.sql import functions as F
 from cdcmart.functions.casts import safe_cast
 from cdcmart.functions.times import AsOf, as_date, as_micros, instant_lit, micros_lit, micros_to_date
 
-PARTITION = "created_date"
+# Partition column by unit. A table whose days hold little data is better partitioned by month: a partition should
+# have at least some hundred megabytes.
+PARTITION_BY = {"day": "created_date", "month": "created_month"}
 _DAY = 86_400_000_000
 
 
+def partition_column(df: DataFrame) -> str | None:
+    """Name of the column ``df`` is partitioned on, None for a table without one."""
+    return next((c for c in PARTITION_BY.values() if c in df.columns), None)
+
+
+def partition_start(column: str, day: date) -> date:
+    """Value of the partition that holds ``day``."""
+    return day if column == PARTITION_BY["day"] else day.replace(day=1)
+
+
+def partition_value(column: str, ts: str = "created_at") -> Column:
+    day = F.to_date(ts)
+    return (day if column == PARTITION_BY["day"] else F.trunc(day, "month")).alias(column)
+
+
 def max_instant(df: DataFrame, ts: str = "created_at") -> int | None:
     """Largest ``ts`` of ``df`` in epoch microseconds, None for an empty table."""
     return df.agg(F.unix_micros(F.max(safe_cast(ts, "timestamp"))).alias("m")).first()["m"]
 
 
-def _partition_filter(df: DataFrame, ts: str, first: date) -> Column | None:
-    if ts == "created_at" and PARTITION in df.columns:
-        return F.col(PARTITION) >= F.lit(first)
-    return None
+def _prune(df: DataFrame, ts: str, first: date, last: date | None = None) -> Column:
+    """Partitions that can hold moments from ``first`` on, as far as ``df`` is partitioned on ``ts``."""
+    column = partition_column(df) if ts == "created_at" else None
+    if column is None:
+        return F.lit(True)
+    cond = F.col(column) >= F.lit(partition_start(column, first))
+    return cond if last is None else cond & (F.col(column) <= F.lit(partition_start(column, last)))
 
 
 def _from_micros(df: DataFrame, ts: str, bound: int, strict: bool = False) -> DataFrame:
     moment = safe_cast(ts, "timestamp")
     keep = moment > micros_lit(bound) if strict else moment >= micros_lit(bound)
-    prune = _partition_filter(df, ts, micros_to_date(bound))
-    return df.where(keep if prune is None else keep & prune)
+    return df.where(_prune(df, ts, micros_to_date(bound)) & keep)
 
 
 def retro_bound(high_water: int | None, days: int = 7, cap: AsOf = None) -> int:
@@ -81,10 +100,11 @@ def since(df: DataFrame, as_of: AsOf, days: int, ts: str = "created_at") -> Data
 def on_or_after(df: DataFrame, as_of: AsOf, days: int, ts: str = "created_at") -> Column:
     """Condition: the date of ``ts`` is at most ``days`` days before the date of ``as_of``."""
     first = as_date(as_of, days)
-    if ts == "created_at" and PARTITION in df.columns:
-        return F.col(PARTITION) >= F.lit(first)
+    prune = _prune(df, ts, first)
+    if ts == "created_at" and partition_column(df) == PARTITION_BY["day"]:
+        return prune
     # Midnight of the first day, on the bare column: a function around the column would hide it from the scan.
-    return safe_cast(ts, "timestamp") >= instant_lit(first)
+    return prune & (safe_cast(ts, "timestamp") >= instant_lit(first))
 
 
 def since_date(df: DataFrame, as_of: AsOf, days: int, ts: str = "created_at") -> DataFrame:
@@ -95,8 +115,7 @@ def since_date(df: DataFrame, as_of: AsOf, days: int, ts: str = "created_at") ->
 def same_date_range(df: DataFrame, ref: DataFrame, ts: str = "created_at") -> DataFrame:
     """Rows whose date lies between the first and the last date of ``ref``, both included."""
     row = ref.agg(F.to_date(F.min(ts)).alias("lo"), F.to_date(F.max(ts)).alias("hi")).first()
-    if row["lo"] is None:
+    lo, hi = row["lo"], row["hi"]
+    if lo is None:
         return df.where(F.lit(False))
-    if PARTITION in df.columns and ts == "created_at":
-        return df.where(F.col(PARTITION).between(F.lit(row["lo"]), F.lit(row["hi"])))
-    return df.where((F.col(ts) >= instant_lit(row["lo"])) & (F.col(ts) < instant_lit(row["hi"], -1)))
+    return df.where(_prune(df, ts, lo, hi) & (F.col(ts) >= instant_lit(lo)) & (F.col(ts) < instant_lit(hi, -1)))

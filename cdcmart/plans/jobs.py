@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from cdcmart.functions.times import AsOf, as_date, as_instant, micros_to_date
-from cdcmart.operators.windows import PARTITION, on_or_after, retro_bound
+from cdcmart.operators.windows import on_or_after, retro_bound
 from cdcmart.plans import gold, silver
 from cdcmart.sinks.tables import ensure_target, high_water, write_table
 from cdcmart.sinks.upserts import recover, upsert_into
@@ -31,6 +31,7 @@ class MartConfig:
     """Where a mart reads and writes.
 
     ``raw`` holds the landing tables ``orders``, ``order_items``, ``stores`` and ``currency_exchange_rates``.
+    ``partition_unit`` is ``day`` or, for a mart whose days hold little data, ``month``.
     """
 
     raw: Mapping[str, DataFrame]
@@ -39,6 +40,7 @@ class MartConfig:
     items_window_days: int = 7
     items_target_days: int = 14
     fact_window_days: int = 30
+    partition_unit: str = "day"
     tie_breakers: Mapping[str, list[str]] = field(default_factory=dict)
 
     def ties(self, table: str) -> list[str] | None:
@@ -53,7 +55,7 @@ def _create_databases(spark: SparkSession, cfg: MartConfig) -> None:
 def refresh_orders(spark: SparkSession, cfg: MartConfig) -> DataFrame:
     table = f"{cfg.silver}.orders_clean"
     df = silver.orders_clean(cfg.raw["orders"], cfg.raw["currency_exchange_rates"], cfg.ties("orders"))
-    write_table(df, table, "created_at", CLUSTER["orders_clean"])
+    write_table(df, table, "created_at", CLUSTER["orders_clean"], unit=cfg.partition_unit)
     return spark.table(table)
 
 
@@ -72,7 +74,7 @@ def refresh_stores(spark: SparkSession, cfg: MartConfig, as_of: AsOf) -> DataFra
 def refresh_items_full(spark: SparkSession, cfg: MartConfig) -> DataFrame:
     table = f"{cfg.silver}.order_items_clean"
     df = silver.order_items_clean(cfg.raw["order_items"], cfg.ties("order_items"))
-    write_table(df, table, "created_at", CLUSTER["order_items_clean"])
+    write_table(df, table, "created_at", CLUSTER["order_items_clean"], unit=cfg.partition_unit)
     return spark.table(table)
 
 
@@ -81,7 +83,7 @@ def refresh_items_increment(spark: SparkSession, cfg: MartConfig, as_of: AsOf) -
     table = f"{cfg.silver}.order_items_clean"
     raw, ties = cfg.raw["order_items"], cfg.ties("order_items")
     top = None
-    if not ensure_target(spark, table, ITEMS_CLEAN_SCHEMA):
+    if not ensure_target(spark, table, ITEMS_CLEAN_SCHEMA, cfg.partition_unit):
         recover(spark, table)
         top = high_water(spark, table)
     if top is None:
@@ -107,7 +109,7 @@ def refresh_items_increment(spark: SparkSession, cfg: MartConfig, as_of: AsOf) -
 
 def merge_fact(spark: SparkSession, cfg: MartConfig, orders: DataFrame, items: DataFrame, as_of: AsOf) -> DataFrame:
     table = f"{cfg.gold}.fct_orders_incremental_merge"
-    ensure_target(spark, table, FCT_ORDERS_SCHEMA)
+    ensure_target(spark, table, FCT_ORDERS_SCHEMA, cfg.partition_unit)
     upsert_into(
         spark,
         table,
@@ -150,7 +152,8 @@ def refresh_full(spark: SparkSession, cfg: MartConfig, as_of: AsOf = None) -> di
     orders = refresh_orders(spark, cfg)
     items = refresh_items_full(spark, cfg)
     table = f"{cfg.gold}.fct_orders"
-    write_table(gold.fct_orders(orders, items), table, "created_at", CLUSTER["fct_orders"])
+    fact = gold.fct_orders(orders, items)
+    write_table(fact, table, "created_at", CLUSTER["fct_orders"], unit=cfg.partition_unit)
     return {
         "orders_clean": orders,
         "order_items_clean": items,

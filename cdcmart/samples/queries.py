@@ -269,9 +269,9 @@ def _database(spark: SparkSession, name: str) -> str:
 
 
 def partitioned_sink(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders written with day partitions and clustered files, read back for one year."""
+    """Orders written with partitions and clustered files, read back for one year."""
     table = f"{_database(spark, 'sink')}.orders_clean"
-    write_table(_orders(spark, sf), table, "created_at", ["store_id", "customer_id"])
+    write_table(_orders(spark, sf), table, "created_at", ["store_id", "customer_id"], unit="month")
     year = windows.since_date(spark.table(table), AS_OF, 365)
     return year.groupBy("store_id").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("net_amount_usd").alias("net_amount_usd")
@@ -292,7 +292,14 @@ def stream_item_files(spark: SparkSession, sf: str) -> DataFrame:
     raw.repartition(4, "id").write.parquet(landing)
     table = f"{database}.order_items_clean"
     stream_items(
-        spark, landing, table, checkpoint, schema=raw.schema, tie_breakers=ITEM_TIES, max_files_per_batch=2
+        spark,
+        landing,
+        table,
+        checkpoint,
+        schema=raw.schema,
+        tie_breakers=ITEM_TIES,
+        max_files_per_batch=2,
+        unit="month",
     )
     return spark.table(table).select(
         "order_item_id", "order_id", "product_id", "quantity", "net_amount_local", "created_at"
@@ -308,7 +315,7 @@ def _mart(spark: SparkSession, sf: str, database: str, moment: str | None = None
     if moment is not None:
         raw = {name: _until(df, moment) if name != "stores" else df for name, df in raw.items()}
     raw["currency_exchange_rates"] = views.raw_rates(spark, sf)
-    return jobs.MartConfig(raw, silver=database, gold=database, tie_breakers={"order_items": ITEM_TIES})
+    return jobs.MartConfig(raw, silver=database, gold=database, tie_breakers={"order_items": ITEM_TIES}, partition_unit="month")
 
 
 def refresh_full(spark: SparkSession, sf: str) -> DataFrame:

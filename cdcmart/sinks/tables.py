@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdcmart.functions.times import AsOf
-from cdcmart.operators.windows import PARTITION, since_date
+from cdcmart.operators.windows import PARTITION_BY, partition_column, partition_value, since_date
 
 
-def with_partition(df: DataFrame, ts: str = "created_at") -> DataFrame:
-    return df.withColumn(PARTITION, F.to_date(ts))
+def with_partition(df: DataFrame, ts: str = "created_at", unit: str = "day") -> DataFrame:
+    column = PARTITION_BY[unit]
+    return df.withColumn(column, partition_value(column, ts))
 
 
 def laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str]) -> DataFrame:
@@ -34,10 +35,11 @@ def write_table(
     partition_ts: str | None = None,
     cluster: Sequence[str] = (),
     path: str | None = None,
+    unit: str = "day",
 ) -> None:
     """Full refresh: replace the catalog table ``table`` with ``df``, partitioned on the date of ``partition_ts``."""
-    out = with_partition(df, partition_ts) if partition_ts else df
-    partition = PARTITION if partition_ts else None
+    out = with_partition(df, partition_ts, unit) if partition_ts else df
+    partition = PARTITION_BY[unit] if partition_ts else None
     writer = laid_out(out, partition, cluster).write.mode("overwrite").format("parquet")
     if partition:
         writer = writer.partitionBy(partition)
@@ -57,20 +59,22 @@ def read_target(spark: SparkSession, table: str, schema: T.StructType) -> DataFr
     return spark.createDataFrame([], schema)
 
 
-def ensure_target(spark: SparkSession, table: str, schema: T.StructType, partition: str = PARTITION) -> bool:
+def ensure_target(spark: SparkSession, table: str, schema: T.StructType, unit: str = "day") -> bool:
     """Create the partitioned table if it is absent, with exactly ``schema``. True if it was created."""
     if spark.catalog.tableExists(table):
         return False
+    partition = PARTITION_BY[unit]
     fields = [f for f in schema.fields if f.name != partition]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, `{partition}` date) USING parquet PARTITIONED BY (`{partition}`)"
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, `{partition}` date) "
+        f"USING parquet PARTITIONED BY (`{partition}`)"
     )
     return True
 
 
 def partition_values(spark: SparkSession, table: str) -> list[str]:
-    """Partition dates from the catalog, as ISO text; reads no data."""
+    """Partition values from the catalog, as ISO text; reads no data."""
     names = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     return sorted(n for n in names if n != "__HIVE_DEFAULT_PARTITION__")
 
@@ -78,11 +82,12 @@ def partition_values(spark: SparkSession, table: str) -> list[str]:
 def high_water(spark: SparkSession, table: str, ts: str = "created_at") -> int | None:
     """Largest ``ts`` of a date-partitioned table in epoch microseconds, reading only its newest partition.
 
-    The partition column is the date of ``ts``, so the newest moment lies in the newest date that has rows.
+    The partition column is derived from ``ts``, so the newest moment lies in the newest partition that has rows.
     """
     df = spark.table(table)
+    partition = F.col(partition_column(df))
     for day in reversed(partition_values(spark, table)):
-        top = df.where(F.col(PARTITION) == F.lit(day).cast("date")).agg(F.unix_micros(F.max(ts)).alias("m")).first()["m"]
+        top = df.where(partition == F.lit(day).cast("date")).agg(F.unix_micros(F.max(ts)).alias("m")).first()["m"]
         if top is not None:
             return top
     return None
@@ -99,5 +104,6 @@ def snapshot(
     """Write the last ``window_days`` days of ``df`` as files that no longer move, and return them as a table."""
     spark = df.sparkSession
     kept = with_partition(since_date(df, as_of, window_days, ts), ts)
-    laid_out(kept, PARTITION, cluster).write.mode("overwrite").partitionBy(PARTITION).parquet(path)
+    day = PARTITION_BY["day"]
+    laid_out(kept, day, cluster).write.mode("overwrite").partitionBy(day).parquet(path)
     return spark.read.schema(kept.schema).parquet(path)

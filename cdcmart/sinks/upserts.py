@@ -1,14 +1,14 @@
-"""Upsert into a date-partitioned Parquet table.
+"""Upsert into a Parquet table partitioned on its creation time.
 
-Parquet has no MERGE, so the dates that change are rewritten, and only those:
+Parquet has no MERGE, so the partitions that change are rewritten, and only those:
 
-1. *Stage.* The source is written to the shared folder, then the complete new content of the affected dates (dates of
-   matched target rows and of incoming rows). Last of all, the table property ``cdcmart.pending`` is set.
-2. *Apply.* Affected dates without any staged row are dropped - a key may have moved away from a date and left it
-   empty, which an overwrite of the remaining partitions would not notice - and the others are overwritten.
+1. *Stage.* The source is written to the shared folder, then the complete new content of the affected partitions
+   (those of matched target rows and of incoming rows). Last of all, the table property ``cdcmart.pending`` is set.
+2. *Apply.* Affected partitions without any staged row are dropped - a key may have moved away from a date and left
+   it empty, which an overwrite of the other partitions would not notice - and the others are overwritten.
 3. *Clear* the property.
 
-Apply only replaces whole dates by fixed content, so it can be repeated. A run that finds the property set, left by
+Apply only replaces whole partitions by fixed content, so it can be repeated. A run that finds the property set, left by
 one that died inside apply, repeats apply first. One writer per table at a time.
 """
 
@@ -21,22 +21,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcmart.operators.upsert import upsert
-from cdcmart.operators.windows import PARTITION
+from cdcmart.operators.windows import partition_column, partition_value
 from cdcmart.session import conf_set, shared_dir
-from cdcmart.sinks.tables import ensure_target, laid_out, with_partition
+from cdcmart.sinks.tables import ensure_target, laid_out
 
 PENDING = "cdcmart.pending"
 
 
-def _in_dates(dates: Sequence[date | None]) -> Column:
-    known = [d for d in dates if d is not None]
-    cond = F.col(PARTITION).isin(known) if known else F.lit(False)
-    return cond | F.col(PARTITION).isNull() if None in dates else cond
+def _in_partitions(column: str, values: Sequence[date | None]) -> Column:
+    known = [v for v in values if v is not None]
+    cond = F.col(column).isin(known) if known else F.lit(False)
+    return cond | F.col(column).isNull() if None in values else cond
 
 
-def _dates(df: DataFrame) -> list[date | None]:
+def _values(df: DataFrame, column: str) -> list[date | None]:
     # One row per calendar day at most, so collecting is bounded.
-    return [row[0] for row in df.select(PARTITION).distinct().collect()]
+    return [row[0] for row in df.select(column).distinct().collect()]
 
 
 def pending(spark: SparkSession, table: str) -> str | None:
@@ -48,15 +48,16 @@ def pending(spark: SparkSession, table: str) -> str | None:
 
 
 def apply_staged(spark: SparkSession, table: str, staging: str) -> None:
-    """Replace the affected dates by their staged content; safe to repeat."""
-    schema = spark.table(table).schema
-    affected = [r[0] for r in spark.read.schema(f"{PARTITION} date").parquet(f"{staging}/dates").collect()]
-    staged = spark.read.schema(schema).parquet(f"{staging}/content")
-    for day in set(affected) - set(_dates(staged)):
+    """Replace the affected partitions by their staged content; safe to repeat."""
+    target = spark.table(table)
+    column = partition_column(target)
+    affected = _values(spark.read.schema(f"`{column}` date").parquet(f"{staging}/affected"), column)
+    staged = spark.read.schema(target.schema).parquet(f"{staging}/content")
+    for day in set(affected) - set(_values(staged, column)):
         value = "null" if day is None else f"'{day.isoformat()}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PARTITION}={value})")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}={value})")
     with conf_set(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        staged.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        staged.select(*target.columns).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
 
 
@@ -85,33 +86,34 @@ def stage_upsert(
 ) -> str | None:
     """Step 1; returns the staging folder, or None when the source is empty and nothing changes."""
     target = spark.table(table)
+    column = partition_column(target)
     staging = shared_dir(spark, f"staging/{table}")
 
     # The source is typically a deduplicated window of raw events: written once, it is read three times below.
-    incoming = with_partition(source, partition_ts).select(*target.columns)
+    incoming = source.withColumn(column, partition_value(column, partition_ts)).select(*target.columns)
     incoming.write.mode("overwrite").parquet(f"{staging}/source")
     incoming = spark.read.schema(target.schema).parquet(f"{staging}/source")
 
     active = target if target_filter is None else target.where(target_filter)
-    matched = active.select(*keys, PARTITION).join(incoming.select(*keys).distinct(), list(keys), "left_semi")
-    dates = _dates(matched.select(PARTITION).unionByName(incoming.select(PARTITION)))
-    if not dates:
+    matched = active.select(*keys, column).join(incoming.select(*keys).distinct(), list(keys), "left_semi")
+    affected = _values(matched.select(column).unionByName(incoming.select(column)), column)
+    if not affected:
         return None
 
-    touched = target.where(_in_dates(dates))
+    touched = target.where(_in_partitions(column, affected))
     content = upsert(
         touched,
         incoming,
         keys,
         target_filter=target_filter,
-        update_cols=update_cols,
+        # The partition follows the creation time, so it is updated exactly if that is.
+        update_cols=update_cols if update_cols is None or partition_ts not in update_cols else [*update_cols, column],
         newer_by=newer_by,
         allow_null_keys=allow_null_keys,
     )
-    laid_out(content, PARTITION, cluster).write.mode("overwrite").parquet(f"{staging}/content")
-    spark.createDataFrame([(d,) for d in dates], f"{PARTITION} date").coalesce(1).write.mode("overwrite").parquet(
-        f"{staging}/dates"
-    )
+    laid_out(content, column, cluster).write.mode("overwrite").parquet(f"{staging}/content")
+    listed = spark.createDataFrame([(d,) for d in affected], f"`{column}` date")
+    listed.coalesce(1).write.mode("overwrite").parquet(f"{staging}/affected")
     return staging
 
 
@@ -122,14 +124,15 @@ def upsert_into(
     keys: Sequence[str],
     target_filter: Column | None = None,
     update_cols: Sequence[str] | None = None,
+    unit: str = "day",
     **options,
 ) -> None:
     """Merge ``source`` into the catalog table ``table``, created from the source's schema if absent.
 
     Columns and options are those of ``operators.upsert.upsert``; see there for what matches and what is updated. A
-    ``target_filter`` on ``created_date`` keeps the match to those partitions.
+    ``target_filter`` on the partition column keeps the match to those partitions.
     """
-    if not ensure_target(spark, table, source.schema):
+    if not ensure_target(spark, table, source.schema, unit):
         recover(spark, table)
     staging = stage_upsert(
         spark, table, source, keys, target_filter=target_filter, update_cols=update_cols, **options

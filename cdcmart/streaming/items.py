@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdcmart.functions.casts import cast_columns
 from cdcmart.operators.dedup import SOURCE_TS, latest_by_key, with_source_ts
-from cdcmart.operators.windows import PARTITION
+from cdcmart.operators.windows import on_or_after
 from cdcmart.sinks.tables import ensure_target
 from cdcmart.sinks.upserts import recover, upsert_into
 from cdcmart.sources.schemas import ITEMS_CLEAN_SCHEMA, ITEMS_SPEC, landing_schema
@@ -21,7 +19,11 @@ TARGET_SCHEMA = T.StructType([*ITEMS_CLEAN_SCHEMA.fields, T.StructField("source_
 
 
 def merge_batch(
-    events: DataFrame, table: str, target_days: int | None = 14, tie_breakers: Sequence[str] | None = None
+    events: DataFrame,
+    table: str,
+    target_days: int | None = 14,
+    tie_breakers: Sequence[str] | None = None,
+    unit: str = "day",
 ) -> None:
     """Merge one batch of raw item events into ``table``.
 
@@ -30,14 +32,14 @@ def merge_batch(
     exact.
     """
     spark = events.sparkSession
-    if not ensure_target(spark, table, TARGET_SCHEMA):
+    if not ensure_target(spark, table, TARGET_SCHEMA, unit):
         recover(spark, table)
     latest = cast_columns(latest_by_key(with_source_ts(events), ["id"], tie_breakers=tie_breakers), SPEC)
     only = None
     if target_days is not None:
         first = events.agg(F.to_date(F.min("created_at")).alias("d")).first()["d"]
         if first is not None:
-            only = F.col(PARTITION) >= F.lit(first - timedelta(days=target_days))
+            only = on_or_after(spark.table(table), first, target_days)
     upsert_into(
         spark,
         table,
@@ -59,6 +61,7 @@ def stream_items(
     schema: T.StructType | None = None,
     tie_breakers: Sequence[str] | None = None,
     max_files_per_batch: int | None = None,
+    unit: str = "day",
 ) -> None:
     """Merge all landing files that have arrived since the last call, then return.
 
@@ -70,7 +73,7 @@ def stream_items(
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     query = (
         reader.parquet(raw_dir)
-        .writeStream.foreachBatch(lambda batch, _: merge_batch(batch, table, target_days, tie_breakers))
+        .writeStream.foreachBatch(lambda batch, _: merge_batch(batch, table, target_days, tie_breakers, unit))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
