@@ -133,6 +133,8 @@ def upsert_into(
     ``target_filter`` on the partition column keeps the match to those partitions.
     """
     if not ensure_target(spark, table, source.schema, unit):
+        # Another session may have written since this one last looked at the table's files.
+        spark.catalog.refreshTable(table)
         recover(spark, table)
     staging = stage_upsert(
         spark, table, source, keys, target_filter=target_filter, update_cols=update_cols, **options

@@ -79,3 +79,6 @@ def stream_items(
         .start()
     )
     query.awaitTermination()
+    # The batches were merged in a session of their own; this one may still know the files from before.
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)
