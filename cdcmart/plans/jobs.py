@@ -13,7 +13,7 @@ from cdcmart.operators.windows import on_or_after, retro_bound
 from cdcmart.plans import gold, silver
 from cdcmart.sinks.tables import ensure_target, high_water, write_table
 from cdcmart.sinks.upserts import recover, upsert_into
-from cdcmart.sources.schemas import FCT_ORDERS_SCHEMA, ITEMS_CLEAN_SCHEMA
+from cdcmart.sources.schemas import FCT_ORDERS_SCHEMA
 
 # Cluster columns of the mart tables.
 CLUSTER = {
@@ -82,10 +82,10 @@ def refresh_items_increment(spark: SparkSession, cfg: MartConfig, as_of: AsOf) -
     """Merge the events of the retroactive window; the first run, without a target, loads everything."""
     table = f"{cfg.silver}.order_items_clean"
     raw, ties = cfg.raw["order_items"], cfg.ties("order_items")
-    top = None
-    if not ensure_target(spark, table, ITEMS_CLEAN_SCHEMA, cfg.partition_unit):
-        recover(spark, table)
-        top = high_water(spark, table)
+    if not spark.catalog.tableExists(table):
+        return refresh_items_full(spark, cfg)
+    recover(spark, table)
+    top = high_water(spark, table)
     if top is None:
         return refresh_items_full(spark, cfg)
     target = spark.table(table)

@@ -229,6 +229,38 @@ def parity(a: str, live: str, key: str, cols: list[str], amount: str) -> str:
   ORDER BY check_name"""
 
 
+def draw(row: str, name: str, n: int) -> str:
+    return f"(CAST('0x' || substr(md5(concat_ws('|', {row}, '{name}', '42')), 1, 12) AS BIGINT) % {n})"
+
+
+def uuid(row: str, name: str) -> str:
+    digest = f"md5(concat_ws('|', {row}, '{name}', '42'))"
+    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    return "concat_ws('-', " + ", ".join(f"substr({digest}, {start}, {length})" for start, length in cuts) + ")"
+
+
+def pick(values: list[str], index: str) -> str:
+    return f"([{', '.join(repr(v) for v in values)}])[CAST({index} AS INTEGER) + 1]"
+
+
+_CURRENCIES = ["BRL", "USD", "GBP", "JPY", "EUR", "EUR", "CZK", "COP", "KRW", "SGD"]
+CTES["made_lines"] = f"""
+  SELECT o_orderkey AS seq, line, {draw("o_orderkey || '-' || line", "price", 3201)} + 300 AS price,
+         {draw("o_orderkey || '-' || line", "quantity", 3)} + 1 AS quantity
+  FROM orders JOIN (VALUES (1), (2), (3), (4), (5)) AS v(line) ON line <= {draw("o_orderkey", "items", 5)} + 1"""
+CTES["made_orders"] = f"""
+  SELECT seq, gross, gross * {draw("seq", "discount", 2001)} // 10000 AS discount,
+         CASE WHEN s % 20 <> 7 AND s % 50 <> 11 THEN s WHEN s = 80 THEN s - 1 ELSE s + 1 END AS store_id,
+         {AS_OF} - ({draw("seq", "day", 90)} * 86400 + {draw("seq", "second", 86400)}) * INTERVAL 1 SECOND AS created_at,
+         CASE WHEN {draw("seq", "late", 1000)} < 30 THEN {draw("seq", "hours", 37)} ELSE 0 END AS late
+  FROM (SELECT seq, CAST(SUM(price * quantity) AS BIGINT) AS gross, {draw("seq", "store", 80)} + 1 AS s
+        FROM made_lines GROUP BY seq)"""
+
+
+def cents(expr: str) -> str:
+    return f"CAST(CAST({expr} AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(38,9))"
+
+
 ITEM_FIELDS = ["order_id", "product_id", "quantity", "net_amount_local", "default_code", "is_recommended"]
 FACT_FIELDS = ["store_id", "customer_id", "channel", "status", "total_price_usd", "item_count", "total_quantity"]
 
@@ -356,6 +388,26 @@ WHERE CAST(created_at AS DATE) >= {AS_OF_DATE} - 365 GROUP BY store_id"""),
     )),
     "stream_items": sql("""
 SELECT order_item_id, order_id, product_id, quantity, net_amount_local, created_at FROM items_clean"""),
+    "synth_cdc": sql(f"""
+SELECT {uuid("seq", "order")} AS id, store_id, {draw("seq", "customer", 50000)} + 1 AS customer_id,
+       {pick(_CURRENCIES, draw("store_id", "country", 10))} AS currency_code,
+       {cents("gross")} AS total_price, {cents("discount")} AS discount, {cents("gross - discount")} AS net_amount,
+       {pick(["app", "pos", "delivery", "kiosk"], draw("seq", "channel", 4))} AS channel,
+       {pick(["paid", "paid", "paid", "paid", "refunded", "cancelled"], draw("seq", "status", 6))} AS status,
+       created_at, created_at AS updated_at,
+       created_at + (late * 3600 + CASE WHEN again = 1 THEN {draw("seq", "again", 3541)} + 60 ELSE 0 END)
+         * INTERVAL 1 SECOND AS source_ts
+FROM made_orders JOIN (VALUES (0), (1)) AS v(again) ON again = 0 OR {draw("seq", "duplicate", 1000)} < 80"""),
+    "synth_cdc_items": sql(f"""
+SELECT {uuid("o.seq || '-' || line", "item")} AS id, {uuid("o.seq", "order")} AS order_id,
+       CASE WHEN {draw("o.seq || '-' || line", "no product", 1000)} >= 5
+            THEN {draw("o.seq || '-' || line", "product", 900)} + 100 END AS product_id,
+       quantity, {cents("price")} AS unit_price,
+       {cents("(2 * price * quantity * (gross - discount) + gross) // (2 * gross)")} AS net_amount,
+       'SKU-' || ({draw("o.seq || '-' || line", "sku", 9000)} + 1000) AS default_code,
+       {draw("o.seq || '-' || line", "recommended", 1000)} < 180 AS is_recommended,
+       created_at, created_at AS updated_at, created_at + late * INTERVAL 1 HOUR AS source_ts
+FROM made_orders o JOIN made_lines l ON l.seq = o.seq"""),
     "refresh_full": sql("SELECT * FROM fct_orders"),
     "refresh_incremental": sql("SELECT * FROM fct_run2"),
 }

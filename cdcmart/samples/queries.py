@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cdcmart.functions.casts import NUMERIC, safe_cast
 from cdcmart.functions.labels import day_part, local_hour, region_of, store_age_days, store_maturity
+from cdcmart.functions.times import instant_lit
 from cdcmart.operators import quality, reconcile, windows
 from cdcmart.operators.dedup import SOURCE_TS, latest_by_key, with_source_ts
 from cdcmart.operators.rates import convert_to_usd
@@ -19,6 +20,7 @@ from cdcmart.samples import views
 from cdcmart.samples.views import AS_OF, ITEM_TIES
 from cdcmart.session import fresh_dir, use_result_conf
 from cdcmart.sinks.tables import snapshot, write_table
+from cdcmart.sources import synth
 from cdcmart.sources.raw import load_raw_csv
 from cdcmart.sources.schemas import METADATA, csv_columns
 from cdcmart.streaming.items import stream_items
@@ -43,6 +45,21 @@ def _items_before(spark: SparkSession, sf: str) -> DataFrame:
     return silver.order_items_clean(_until(views.raw_order_items(spark, sf), CUT), ITEM_TIES)
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` as a written table: the target of a merge is never a view on the raw events."""
+    path = fresh_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _items_target(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(_items_before(spark, sf))
+
+
+def _increment(spark: SparkSession, sf: str, target: DataFrame) -> DataFrame:
+    return silver.order_items_increment(views.raw_order_items(spark, sf), target, 7, ITEM_TIES)
+
+
 def _orders(spark: SparkSession, sf: str) -> DataFrame:
     return silver.orders_clean(views.raw_orders(spark, sf), views.raw_rates(spark, sf))
 
@@ -159,28 +176,27 @@ def fct_orders_window(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def retro_window(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.order_items_increment(
-        views.raw_order_items(spark, sf), _items_before(spark, sf), 7, ITEM_TIES
-    )
+    return _increment(spark, sf, _items_before(spark, sf))
 
 
 def naive_window_loss(spark: SparkSession, sf: str) -> DataFrame:
     """Items the retroactive window brings in and a filter on the target's maximum loses."""
-    raw, before = views.raw_order_items(spark, sf), _items_before(spark, sf)
-    naive = silver.order_items_clean(windows.naive_window(raw, before), ITEM_TIES)
-    after = upsert(before, naive, ITEM_KEY)
-    return reconcile.only_in(silver.order_items_increment(raw, before, 7, ITEM_TIES), after, ITEM_KEY)
+    target = _items_target(spark, sf)
+    fresh = windows.naive_window(views.raw_order_items(spark, sf), target)
+    after = upsert(target, silver.order_items_clean(fresh, ITEM_TIES), ITEM_KEY)
+    return reconcile.only_in(_increment(spark, sf, target), after, ITEM_KEY)
 
 
-def items_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    return upsert(_items_before(spark, sf), retro_window(spark, sf), ITEM_KEY)
+def items_upsert(spark: SparkSession, sf: str, target: DataFrame | None = None) -> DataFrame:
+    target = _items_target(spark, sf) if target is None else target
+    return upsert(target, _increment(spark, sf, target), ITEM_KEY)
 
 
 def fct_orders_merge(spark: SparkSession, sf: str) -> DataFrame:
     orders = _orders(spark, sf)
-    until = windows.instant_lit(AS_OF, 10)
+    until = instant_lit(AS_OF, 10)
     before = gold.fct_orders(orders.where(F.col("created_at") <= until), _items_before(spark, sf))
-    return gold.merge_fct_orders(before, fct_orders_window(spark, sf), AS_OF)
+    return gold.merge_fct_orders(_stored(before), fct_orders_window(spark, sf), AS_OF)
 
 
 def _baseline(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,7 +220,8 @@ def rows_lost(spark: SparkSession, sf: str) -> DataFrame:
 
 def rows_added(spark: SparkSession, sf: str) -> DataFrame:
     """D of the table after an increment against the table before it."""
-    return reconcile.only_in(items_upsert(spark, sf), _items_before(spark, sf), ITEM_KEY)
+    before = _items_target(spark, sf)
+    return reconcile.only_in(items_upsert(spark, sf, before), before, ITEM_KEY)
 
 
 def abcd_verdict(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,7 +249,7 @@ def parity_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drift_full_vs_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    full, merged = fct_orders(spark, sf), fct_orders_merge(spark, sf)
+    full, merged = _stored(fct_orders(spark, sf)), fct_orders_merge(spark, sf)
     return reconcile.parity_report(full, merged, ["order_id"], FACT_FIELDS)
 
 
@@ -331,6 +348,21 @@ def refresh_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return tables["fct_orders_incremental_merge"].select(*gold.FCT_COLUMNS)
 
 
+def _order_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    return views.table(spark, sf, "orders").select(F.col("o_orderkey").alias("seq"))
+
+
+def synth_orders_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """A synthetic order for every order of the sample tables, with duplicate and late events."""
+    made = synth.synth_orders(_order_numbers(spark, sf), 80, AS_OF)
+    return made.select("*", F.col(SOURCE_TS).alias("source_ts")).drop(METADATA)
+
+
+def synth_items_feed(spark: SparkSession, sf: str) -> DataFrame:
+    made = synth.synth_order_items(_order_numbers(spark, sf), 80, AS_OF)
+    return made.select("*", F.col(SOURCE_TS).alias("source_ts")).drop(METADATA)
+
+
 QUERIES: dict[str, Query] = {
     "safe_casts": safe_casts,
     "latest_orders": latest_orders,
@@ -371,6 +403,8 @@ QUERIES: dict[str, Query] = {
     "partitioned_sink": partitioned_sink,
     "replay_incremental": replay_incremental,
     "stream_items": stream_item_files,
+    "synth_cdc": synth_orders_feed,
+    "synth_cdc_items": synth_items_feed,
     "refresh_full": refresh_full,
     "refresh_incremental": refresh_incremental,
 }

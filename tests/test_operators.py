@@ -244,3 +244,46 @@ def test_assertions(spark, rows):
     assert rows(quality.assert_unique(df, ["k", "v"])) == []
     parent = spark.createDataFrame([("a",), ("a",)], "id string")
     assert rows(quality.assert_ref(df, "k", parent, "id")) == [("b", 1)]
+
+
+@pytest.fixture
+def tiny_skew(spark):
+    """Thresholds small enough for test data to count as skewed."""
+    keys = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def _hot(spark, n=60_000):
+    return spark.range(0, n, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("USD")).otherwise(F.concat(F.lit("C"), F.col("id") % 500)).alias("currency_code"),
+        F.sha2(F.col("id").cast("string"), 256).alias("order_id"),
+        F.col("id").cast("decimal(38,9)").alias("amount"),
+    )
+
+
+def test_hot_currency_is_split_beyond_the_broadcast_bound(spark, tiny_skew):
+    df = _hot(spark).withColumn("d", F.lit("2024-01-01").cast("date"))
+    rates = spark.createDataFrame([("USD", "2024-01-01", "2"), ("C1", "2024-01-01", "3")], "currency_code string, exchange_date string, rate_to_usd string")
+    usd = convert_to_usd(df, rates, {"amount": "usd"}, date="d", broadcast_rows=1)
+    assert usd.count() == 60_000
+    usd.collect()
+    assert "skew=true" in usd._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_target_key_of_a_merge_is_split(spark, tiny_skew):
+    target = _hot(spark).select(F.col("currency_code").alias("k"), "order_id")
+    source = target.dropDuplicates(["k"]).withColumn("order_id", F.lit("new"))
+    merged = upsert(target, source, ["k"])
+    assert len(merged.collect()) == 60_000
+    assert "skew=true" in merged._jdf.queryExecution().executedPlan().toString()
+    assert merged.where("order_id = 'new'").count() == 60_000

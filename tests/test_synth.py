@@ -1,0 +1,69 @@
+import pytest
+from pyspark.sql import functions as F
+
+from cdcmart.plans import gold, silver
+from cdcmart.sources.schemas import landing_schema
+from cdcmart.sources.synth import synth_cdc
+
+N = 4_000
+
+
+@pytest.fixture(scope="module")
+def feed(spark):
+    return {name: df.cache() for name, df in synth_cdc(spark, N, 80, "2024-06-01").items()}
+
+
+def test_same_rows_on_every_run(spark, feed):
+    again = synth_cdc(spark, N, 80, "2024-06-01")["orders"].repartition(3)
+    assert again.exceptAll(feed["orders"]).count() == 0
+
+
+def test_landing_schema(feed):
+    for name, df in feed.items():
+        assert df.columns == landing_schema(name).names
+        types = {f.name: f.dataType for f in landing_schema(name)}
+        assert all(f.dataType == types[f.name] for f in df.schema if f.name != "datastream_metadata"), name
+
+
+def test_proportions(feed):
+    orders, items, stores = feed["orders"], feed["order_items"], feed["stores"]
+    duplicates = orders.count() / N - 1
+    assert 0.06 < duplicates < 0.10
+    assert orders.select("id").distinct().count() == N
+    lag = F.timestamp_diff("SECOND", F.col("created_at"), F.col("datastream_metadata.source_timestamp"))
+    late = items.agg(F.max(lag), F.count_if(lag > 0) / F.count("*")).first()
+    assert late[0] <= 36 * 3600 and 0.015 < late[1] < 0.045
+    assert 0.002 < items.where("product_id IS NULL").count() / items.count() < 0.009
+    assert 0.15 < items.where("is_recommended").count() / items.count() < 0.21
+    assert (stores.where("is_dev").count(), stores.where("is_excluded_from_dw").count()) == (4, 2)
+
+
+def test_orders_only_from_eligible_stores_in_their_currency(feed):
+    stores = feed["stores"].select(F.col("id").alias("store_id"), F.col("currency_code").alias("cur"), "is_dev", "is_excluded_from_dw")
+    joined = feed["orders"].join(stores, "store_id", "left")
+    assert joined.where("is_dev OR is_excluded_from_dw OR cur IS NULL OR cur <> currency_code").count() == 0
+
+
+def test_totals_are_those_of_the_items(feed):
+    gross = feed["order_items"].groupBy("order_id").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("gross"))
+    joined = feed["orders"].join(gross, F.col("id") == F.col("order_id"), "left")
+    assert joined.where("gross IS NULL OR gross <> total_price OR net_amount <> total_price - discount").count() == 0
+    assert feed["orders"].where("discount < 0 OR discount > total_price * 0.2").count() == 0
+
+
+def test_rates(feed):
+    assert feed["currency_exchange_rates"].count() == 9 * 90
+
+
+def test_whole_mart(feed):
+    orders = silver.orders_clean(feed["orders"], feed["currency_exchange_rates"])
+    fact = gold.fct_orders(orders, silver.order_items_clean(feed["order_items"]))
+    row = fact.agg(F.count("*"), F.min("item_count"), F.max("item_count"), F.count("total_price_usd")).first()
+    assert tuple(row)[:3] == (N, 1, 5)
+    # Orders of the ninetieth calendar day back have no rate, and so no USD amount.
+    no_rate = fact.where("total_price_usd IS NULL").select(F.to_date("created_at")).distinct().collect()
+    assert row[3] < N and [str(r[0]) for r in no_rate] == ["2024-03-03"]
+
+
+def test_stores_survive_the_flags(feed):
+    assert silver.stores_clean(feed["stores"]).count() == 74
