@@ -11,10 +11,13 @@ from cdcmart.functions.casts import NUMERIC, RATE, safe_cast
 
 # About 60 bytes a row in a broadcast table, so some 60 MB: every ISO currency for 15 years of days.
 BROADCAST_ROWS = 1_000_000
+# Copies of each rate beyond that bound, so that one currency and day is spread over as many tasks.
+SALTS = 32
 
 _RATE = "__rate_to_usd"
 _CODE = "__rate_code"
 _DAY = "__rate_day"
+_SALT = "__rate_salt"
 
 
 def one_rate_per_key(rates: DataFrame) -> DataFrame:
@@ -62,8 +65,8 @@ def convert_to_usd(
     A missing currency, date or rate gives NULL, never a silent rate of 1.
 
     All amounts share one left join. The rates are broadcast when a bounded count proves them small, which spares the
-    shuffle of ``df`` and makes hot currencies harmless; beyond the bound it is a shuffled join, whose skewed
-    partitions adaptive execution splits on the ``df`` side.
+    shuffle of ``df`` and makes hot currencies harmless. Beyond the bound it is a shuffled join on the key and a salt,
+    with a copy of the rates for every salt.
     """
     if date is None:
         date = F.to_date("created_at")
@@ -72,10 +75,13 @@ def convert_to_usd(
     per_key = one_rate_per_key(rates).select(
         F.col("currency_code").alias(_CODE), F.col("exchange_date").alias(_DAY), F.col("rate_to_usd").alias(_RATE)
     )
+    matches = (F.col(currency) == F.col(_CODE)) & (date == F.col(_DAY))
     if fits_broadcast(rates.select("currency_code"), broadcast_rows):
-        per_key = F.broadcast(per_key)
+        joined = df.join(F.broadcast(per_key), matches, "left")
     else:
-        per_key = per_key.hint("merge")
-    joined = df.join(per_key, (df[currency] == per_key[_CODE]) & (date == per_key[_DAY]), "left")
+        salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("__copy_salt")
+        copied = per_key.select("*", copies).hint("merge")
+        joined = salted.join(copied, matches & (F.col(_SALT) == F.col("__copy_salt")), "left")
     usd = [money_times_rate(F.col(c), F.col(_RATE)).alias(name) for c, name in cols.items()]
     return joined.select(*[F.col(c) for c in df.columns], *usd)

@@ -32,9 +32,19 @@ DIVERGENT = "rows_with_field_divergence"
 COMPARED = ("order_id", "product_id", "quantity", "net_amount_local", "default_code", "is_recommended")
 
 
+_OWN = "__own_shuffle"
+
+
 def only_in(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``a`` whose key does not occur in ``b``, duplicates kept."""
-    return a.join(b.select(*keys).distinct(), list(keys), "left_anti").select(*a.columns)
+    """Rows of ``a`` whose key does not occur in ``b``, duplicates kept.
+
+    The keys of ``b`` are made distinct with partial aggregation, so a hot key of ``b`` is one row. The join has one
+    more column, 0 on both sides, for a hot key of ``a``: the shuffle that made the keys distinct does not serve a
+    join on it, and between a join and shuffles of its own adaptive execution can split the hot partition.
+    """
+    own = F.pmod(F.xxhash64(*keys), F.lit(1)).alias(_OWN)
+    known = b.select(*keys).distinct().select(*keys, own)
+    return a.select("*", own).join(known, [*keys, _OWN], "left_anti").select(*a.columns)
 
 
 def profile(df: DataFrame, key: str, ts: str, amount: str) -> DataFrame:

@@ -7,34 +7,33 @@ from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _HIT = "__hit"
-_RN = "__rn"
-_SPREAD = "__spread"
+_N = "__rows"
 
 
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
-def _checked(source: DataFrame, keys: Sequence[str], allow_null_keys: bool) -> DataFrame:
-    """The source with the two MERGE preconditions enforced inside the plan, without a job of their own.
+def _guard(source: DataFrame, keys: Sequence[str], allow_null_keys: bool) -> DataFrame:
+    """No rows, in the columns of ``source``; evaluating it fails if the source breaks a precondition of the merge.
 
-    The ranking needs the partitioning and order the following join needs anyway. It numbers rows one after another,
-    so no group is held in memory; NULL keys, which may repeat, are spread over all tasks.
+    Counted with partial sums, so a key that occurs very often is found as cheaply as one that occurs twice. It is a
+    branch of its own because a check inside the source would stand between the source's shuffle and the join, and
+    there adaptive execution no longer splits hot keys.
     """
-    spread = F.when(_any_null(keys), F.xxhash64(*source.columns)).otherwise(F.lit(0))
-    order = W.partitionBy(*keys, _SPREAD).orderBy(*keys, _SPREAD)
+    rows = F.col(_N)
     shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-    twice = F.raise_error(F.concat(F.lit("source has several rows for key: "), shown)).cast("boolean")
-    null_key = F.raise_error(F.concat(F.lit("source has a NULL key: "), shown)).cast("boolean")
-    ok = F.when(~_any_null(keys) & (F.col(_RN) > 1), twice).otherwise(F.lit(True))
-    if not allow_null_keys:
-        ok = F.when(_any_null(keys), null_key).otherwise(ok)
-    ranked = source.withColumn(_SPREAD, spread).withColumn(_RN, F.row_number().over(order))
-    return ranked.where(ok).drop(_SPREAD, _RN)
+    tail = F.concat(shown, F.lit(" ("), rows.cast("string"), F.lit(" rows)"))
+    twice = F.raise_error(F.concat(F.lit("source has several rows for key: "), tail)).cast("boolean")
+    null_key = F.raise_error(F.concat(F.lit("source has a NULL key: "), tail)).cast("boolean")
+    # A count is never negative, but the optimizer does not know; a literal would let it take the condition apart.
+    nothing = rows < 0
+    broken = F.when(_any_null(keys), nothing if allow_null_keys else null_key).when(rows > 1, twice).otherwise(nothing)
+    counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N)).where(broken)
+    return counted.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema])
 
 
 def upsert(
@@ -68,7 +67,7 @@ def upsert(
         raise ValueError(f"update columns not in the target: {sorted(unknown)}")
 
     active = target if target_filter is None else target.where(target_filter)
-    src = _checked(source.select(*cols), keys, allow_null_keys)
+    src = source.select(*cols)
 
     renamed = src.select(*[F.col(c).alias(f"__s_{c}") for c in cols], F.lit(True).alias(_HIT))
     matches = reduce(and_, [active[k] == renamed[f"__s_{k}"] for k in keys])
@@ -80,7 +79,7 @@ def upsert(
     )
     inserted = src.join(active.select(*keys).distinct(), list(keys), "left_anti").select(*cols)
 
-    result = merged.unionByName(inserted)
+    result = merged.unionByName(inserted).unionByName(_guard(src, keys, allow_null_keys))
     if target_filter is not None:
         result = result.unionByName(target.where(~F.coalesce(target_filter, F.lit(False))))
     return result

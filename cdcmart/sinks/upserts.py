@@ -89,13 +89,13 @@ def stage_upsert(
     column = partition_column(target)
     staging = shared_dir(spark, f"staging/{table}")
 
-    # The source is typically a deduplicated window of raw events: written once, it is read three times below.
+    # The source is typically a deduplicated window of raw events: written once, it is read several times below.
     incoming = source.withColumn(column, partition_value(column, partition_ts)).select(*target.columns)
     incoming.write.mode("overwrite").parquet(f"{staging}/source")
     incoming = spark.read.schema(target.schema).parquet(f"{staging}/source")
 
     active = target if target_filter is None else target.where(target_filter)
-    matched = active.select(*keys, column).join(incoming.select(*keys).distinct(), list(keys), "left_semi")
+    matched = active.select(*keys, column).join(incoming.select(*keys), list(keys), "left_semi")
     affected = _values(matched.select(column).unionByName(incoming.select(column)), column)
     if not affected:
         return None

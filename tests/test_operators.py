@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cdcmart.functions.times import as_micros
 from cdcmart.operators import quality
 from cdcmart.operators.dedup import latest_by_key, with_source_ts
+from cdcmart.operators.reconcile import only_in
 from cdcmart.operators.rates import convert_to_usd, one_rate_per_key
 from cdcmart.operators.rollup import item_rollup
 from cdcmart.operators.upsert import upsert
@@ -202,8 +203,12 @@ def test_every_target_copy_of_a_key_is_updated(spark, rows):
 
 
 def test_source_with_a_key_twice_is_refused(spark):
-    with pytest.raises(Exception, match="several rows for key: a"):
-        upsert(table(spark, []), table(spark, [("a", 1, 1, 1), ("a", 2, 2, 2)]), ["k"]).collect()
+    source = table(spark, [("a", 1, 1, 1), ("b", 1, 1, 1), ("a", 2, 2, 2)])
+    for target in (table(spark, []), table(spark, [("a", 0, 0, 0)])):
+        with pytest.raises(Exception, match="several rows for key: a"):
+            upsert(target, source, ["k"]).collect()
+        with pytest.raises(Exception, match="several rows for key: a"):
+            upsert(target, source, ["k"]).select("v").count()
 
 
 def test_null_keys(spark, rows):
@@ -277,13 +282,27 @@ def test_hot_currency_is_split_beyond_the_broadcast_bound(spark, tiny_skew):
     usd = convert_to_usd(df, rates, {"amount": "usd"}, date="d", broadcast_rows=1)
     assert usd.count() == 60_000
     usd.collect()
-    assert "skew=true" in usd._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        largest = usd.groupBy(F.spark_partition_id()).count().orderBy(F.desc("count")).first()["count"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert largest < 15_000
 
 
-def test_hot_target_key_of_a_merge_is_split(spark, tiny_skew):
+def test_hot_target_key_of_a_merge_is_split(spark, tiny_skew, tmp_path):
     target = _hot(spark).select(F.col("currency_code").alias("k"), "order_id")
-    source = target.dropDuplicates(["k"]).withColumn("order_id", F.lit("new"))
-    merged = upsert(target, source, ["k"])
+    path = str(tmp_path / "source")
+    target.dropDuplicates(["k"]).withColumn("order_id", F.lit("new")).write.parquet(path)
+    merged = upsert(target, spark.read.schema(target.schema).parquet(path), ["k"])
     assert len(merged.collect()) == 60_000
     assert "skew=true" in merged._jdf.queryExecution().executedPlan().toString()
     assert merged.where("order_id = 'new'").count() == 60_000
+
+
+def test_hot_key_of_lost_rows_is_split(spark, tiny_skew):
+    a = _hot(spark)
+    for other, left in ((a.where("currency_code <> 'USD'"), 20_000), (a.where("currency_code = 'USD'"), 40_000)):
+        lost = only_in(a, other, ["currency_code"])
+        assert len(lost.collect()) == left
+        assert "skew=true" in lost._jdf.queryExecution().executedPlan().toString()
