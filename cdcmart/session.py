@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -49,15 +50,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     session gets a folder of its own under the system's temporary directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if spark.sparkContext.master.startswith("local"):
-            root = tempfile.mkdtemp(prefix="cdcmart-")
-        else:
-            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_cdcmart"
-        spark.conf.set("spark.checkpoint.dir", root)
+    if not root and spark.sparkContext.master.startswith("local"):
+        root = _local_root()
+    elif not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_cdcmart"
     return f"{root.rstrip('/')}/cdcmart/{name}"
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="cdcmart-")
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """Like ``shared_dir``, but new on every call."""
     return shared_dir(spark, f"{name}/{uuid.uuid4().hex}")
