@@ -40,7 +40,7 @@ def store(id, ts, **flags):
 
 
 def stores(spark, *data):
-    return cdc(spark, list(data), [name for name, _ in __import__("cdcmart.sources.schemas", fromlist=["LANDING"]).LANDING["stores"]] + ["ts"])
+    return cdc(spark, list(data), csv_columns("stores")[:-1] + ["ts"])
 
 
 def order(id, created, ts=None, currency="USD", total="10", status="paid", store="1"):
