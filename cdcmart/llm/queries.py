@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import packing, token_counts
+from cdcmart.llm import packing, pii, token_counts, toxicity
 from cdcmart.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.pii_spans(read(spark, sf, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(read(spark, sf, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf, "documents"))
 
@@ -23,7 +31,9 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_pii,
         op4_packing,
+        op5_toxicity,
         op6_token_counts,
     )
 }
