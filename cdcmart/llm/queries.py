@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import packing, pii, token_counts, toxicity
+from cdcmart.llm import decontamination, divergence, packing, pii, token_counts, toxicity
 from cdcmart.llm.common import read
+from cdcmart.llm.oracle import ORACLE  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
+    rules = divergence.quality_rules(read(spark, sf, "documents"))
+    return rules.drop("char_distance", "word_distance")
+
+
 def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.pii_spans(read(spark, sf, "documents"))
 
@@ -28,13 +34,18 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.decontaminate(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_quality,
         op2_pii,
         op4_packing,
         op5_toxicity,
         op6_token_counts,
+        op7_decontamination,
     )
 }
-ORACLE: dict[str, str] = {}
