@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +18,22 @@ SPACES = " \t\n\x0b\f\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+_sent_to: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors' Python, once per application: Spark fetches the archive from the driver."""
+    app = spark.sparkContext.applicationId
+    if app not in _sent_to:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="cdcmart-"), "cdcmart.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _sent_to.add(app)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -44,6 +63,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
                     yield out
                 start += rows
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcmart.llm.common import map_batches, picked
+from cdcmart.llm.common import map_batches, picked, ship
 
 KINDS = ("email", "ip", "card", "phone")
 # Log potentials. A word of fitting shape pays SHAPED to be personal data, any other pays UNSHAPED; a skip edge pays
@@ -245,6 +245,8 @@ def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the personal data of ``text_col`` replaced by ``<kind>``; NULL stays NULL, all columns are kept."""
 
+    ship(docs.sparkSession)
+
     @F.pandas_udf("string")
     def mask(texts):
         found = find([t or "" for t in texts])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import decontamination, divergence, packing, pii, token_counts, toxicity
+from cdcmart.llm import decontamination, divergence, packing, pii, simhash, token_counts, toxicity
 from cdcmart.llm.common import read
 from cdcmart.llm.oracle import ORACLE  # noqa: F401
 
@@ -22,6 +22,10 @@ def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.pii_spans(read(spark, sf, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(read(spark, sf, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_quality,
         op2_pii,
+        op3_simhash,
         op4_packing,
         op5_toxicity,
         op6_token_counts,
