@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import decontamination, divergence, packing, pii, simhash, token_counts, toxicity
+from cdcmart.llm import decontamination, divergence, licenses, packing, pages, pii, simhash, token_counts, toxicity
 from cdcmart.llm.common import read
 from cdcmart.llm.oracle import ORACLE  # noqa: F401
 
@@ -42,6 +42,14 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.decontaminate(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
 
+def op8_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.main_text(read(spark, sf, "pages"))
+
+
+def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.license_scan(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -52,5 +60,7 @@ QUERIES: dict[str, Query] = {
         op5_toxicity,
         op6_token_counts,
         op7_decontamination,
+        op8_main_text,
+        op10_licenses,
     )
 }
