@@ -164,3 +164,16 @@ def decontaminate(
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text", size: int = WINDOW,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no window of the benchmark, whole."""
+    tests = test_windows(benchmark, item_col, item_text_col, size)
+    id_, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    words = docs.select(id_.alias("id"), text.alias("text")).select("id", F.xxhash64("text").alias("h"), F.expr(_tokens("text")).alias("tokens"))
+    hit = stored(phrase_matches(index(words, tests), tests).select(*DOC).dropDuplicates(), "contaminated")
+    hit = _sent(hit.withColumnsRenamed({"id": "__id", "h": "__h"}), hit.count())
+    return docs.join(hit, id_.eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__h")), "left_anti")

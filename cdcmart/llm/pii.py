@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcmart.llm.common import map_batches, picked, ship
+from cdcmart.llm.common import map_batches, picked
 
 KINDS = ("email", "ip", "card", "phone")
 # Log potentials. A word of fitting shape pays SHAPED to be personal data, any other pays UNSHAPED; a skip edge pays
@@ -242,14 +242,24 @@ def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return map_batches(picked(docs, id_col, text_col), make, schema).withColumnRenamed("id", id_col)
 
 
-def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the personal data of ``text_col`` replaced by ``<kind>``; NULL stays NULL, all columns are kept."""
+def mask_pii(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs`` with the personal data of ``text_col`` replaced by ``<kind>``, and its length in ``length_col`` where
+    that is named. NULL stays NULL; all rows and columns are kept."""
 
-    ship(docs.sparkSession)
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = batch.column(text_col).to_pylist()
+            found = find([t or "" for t in texts])
+            new = [t if t is None else masked(t, w) for t, (_, w) in zip(texts, found)]
+            at = batch.schema.get_field_index(text_col)
+            columns = list(batch.columns)
+            columns[at] = pa.array(new, batch.schema.field(at).type)
+            return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    @F.pandas_udf("string")
-    def mask(texts):
-        found = find([t or "" for t in texts])
-        return texts.where(texts.isna(), [masked(t or "", w) for t, (_, w) in zip(texts, found)])
+        return step
 
-    return docs.withColumn(text_col, mask(F.col(f"`{text_col}`")))
+    out = map_batches(docs, make, docs.schema)
+    if length_col:
+        length = F.coalesce(F.length(F.col(f"`{text_col}`")).cast(docs.schema[length_col].dataType), F.col(f"`{length_col}`"))
+        out = out.withColumn(length_col, length)
+    return out

@@ -116,3 +116,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(named, "fp").select(F.col("id").alias(id_col), hexed, "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` whose key names their component, one for each key: rows that share a key are one document.
+    Rows with a NULL key cannot name a component and stay."""
+    found = near_duplicates(docs.where(F.col(f"`{id_col}`").isNotNull()), id_col, text_col, shingle)
+    kept = found.where(F.col(id_col) == F.col("component_id")).select(id_col).dropDuplicates()
+    named = docs.join(kept, id_col).select(docs.columns).dropDuplicates([id_col])
+    return named.union(docs.where(F.col(f"`{id_col}`").isNull()))

@@ -350,3 +350,20 @@ def scorer_of(model: Model):
         return _scorer(id(holder), holder).scores
 
     return get
+
+
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, whole; a text without words is kept."""
+    score = scorer_of(train(*sample(docs, labels, id_col, text_col, label_col)))
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            scores = score()([t or "" for t in batch.column(text_col).to_pylist()])
+            return batch.filter(pa.array(scores < threshold))
+
+        return step
+
+    return map_batches(docs, make, docs.schema)
