@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import decontamination, divergence, licenses, packing, pages, pii, simhash, token_counts, toxicity
+from cdcmart.llm import decontamination, divergence, licenses, packing, pages, pii, simhash, suffix_dedup, token_counts, toxicity
 from cdcmart.llm.common import read
 from cdcmart.llm.oracle import ORACLE  # noqa: F401
 
@@ -46,6 +46,10 @@ def op8_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return pages.main_text(read(spark, sf, "pages"))
 
 
+def op9_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf, "documents"))
+
+
 def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.license_scan(read(spark, sf, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Query] = {
         op6_token_counts,
         op7_decontamination,
         op8_main_text,
+        op9_repeats,
         op10_licenses,
     )
 }
