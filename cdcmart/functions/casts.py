@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NUMERIC = "decimal(38,9)"
-RATE = "decimal(17,9)"
+RATE = "decimal(38,18)"
 
 # What text must look like before it is handed to the cast. For numbers this is a matter of speed only: the cast
 # raises and catches an exception for each bad value, which costs a hundred times as much as the pattern.
@@ -40,8 +40,9 @@ def safe_cast(c: Column | str, to: str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     to = to.lower()
     if to == "bigint":
-        fractional = F.typeof(c).isin("double", "float") | F.typeof(c).startswith("decimal")
-        rounded = F.round(c.try_cast(NUMERIC), 0).try_cast("bigint")
+        fractional = _is(c, "double", "float") | F.typeof(c).startswith("decimal")
+        # In its own type: a cast to fewer places first would round twice.
+        rounded = F.round(c, 0).try_cast("bigint")
         return F.when(fractional, rounded).otherwise(_guarded(c, to, "bigint"))
     if to == "boolean":
         text = F.lower(c.cast("string"))

@@ -38,17 +38,72 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+# Digits of an amount and a rate in groups of nine, least group first: (start, length) in their text without the point.
+_GROUPS = [(30, 9), (21, 9), (12, 9), (3, 9), (1, 2)]
+_MONEY_TEXT = "S" + "0" * 29 + "D" + "0" * 9
+_RATE_TEXT = "S" + "0" * 20 + "D" + "0" * 18
+
+
+def _groups(value: Column, text: str) -> Column:
+    # From signed text: taking the absolute value of a decimal keeps only 34 digits.
+    digits = F.translate(F.to_char(value, F.lit(text)), "+-. ", "")
+    return F.array(*[F.substring(digits, start, length).cast("bigint") for start, length in _GROUPS])
+
+
+def _wide_product(amount: Column, rate: Column) -> Column:
+    """Product over the full range of both types, by long multiplication in groups of nine digits.
+
+    Sums of at most five products of two groups stay within a long. The product is counted in units of 10^-27, so its
+    two lowest groups lie behind the last place of money; they are rounded half away from zero.
+    """
+    base, zero = F.lit(10**9), F.lit(0).cast("bigint")
+
+    def digits_of(g: Column) -> Column:
+        def column_sum(k: Column) -> Column:
+            def term(t: Column, i: Column) -> Column:
+                other = k - i
+                inside = other.between(0, 4)
+                return t + F.when(inside, g["a"][i] * g["b"][F.when(inside, other).otherwise(0)]).otherwise(zero)
+
+            return F.aggregate(F.sequence(F.lit(0), F.lit(4)), zero, term)
+
+        def carried(state: Column, k: Column) -> Column:
+            def split(t: Column) -> Column:
+                half = F.when((k == 1) & (t % base >= 500_000_000), 1).otherwise(0)
+                carry = F.call_function("div", t, base) + half
+                return F.struct(carry.alias("carry"), F.array_append(state["digits"], t % base).alias("digits"))
+
+            return F.transform(F.array(state["carry"] + column_sum(k)), split)[0]
+
+        start = F.struct(zero.alias("carry"), F.array().cast("array<bigint>").alias("digits"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(8)), start, carried)["digits"]
+
+    def money(d: Column) -> Column:
+        text = F.concat(*[F.lpad(d[k].cast("string"), 9, "0") for k in (6, 5, 4, 3, 2)])
+        # The sign is set in the text, as negating loses digits, too.
+        sign = F.when((amount < 0) != (rate < 0), "-").otherwise("")
+        text = F.concat(sign, F.substring(text, 8, 29), F.lit("."), F.substring(text, 37, 9))
+        failed = F.raise_error(F.concat(F.lit("amount in USD too large: "), amount.cast("string"), F.lit(" at "), rate.cast("string")))
+        return F.when((d[6] >= 100) | (d[7] > 0) | (d[8] > 0), failed.cast(NUMERIC)).otherwise(text.cast(NUMERIC))
+
+    groups = F.struct(_groups(amount, _MONEY_TEXT).alias("a"), _groups(rate, _RATE_TEXT).alias("b"))
+    return F.transform(F.transform(F.array(groups), digits_of), money)[0]
+
+
 def money_times_rate(amount: Column, rate: Column) -> Column:
-    """Exact product in the money type.
+    """Exact product, rounded once to the money type. It fails only where the result itself leaves that type.
 
-    The operands are narrowed first: decimal(20,9) times decimal(17,9) is exact in 38 digits, where two full-width
-    decimals would lose digits of the fraction. An amount too large for that stops the job instead of becoming NULL.
+    Amounts below 10^11 at rates of up to eight digits before and nine behind the point take the plain product, which
+    is exact in 38 digits; all others are multiplied in groups of digits.
     """
-    narrow = F.when(
-        F.abs(amount) >= F.lit(10**11).cast("decimal(12,0)"),
-        F.raise_error(F.concat(F.lit("amount too large to convert: "), amount.cast("string"))).cast("decimal(20,9)"),
-    ).otherwise(amount.cast("decimal(20,9)"))
-    return (narrow * rate).cast(NUMERIC)
+    short = rate.try_cast("decimal(17,9)")
+    limit = F.lit(10**11).cast("decimal(12,0)")
+    plain = (amount > -limit) & (amount < limit) & (short == rate)
+    return (
+        F.when(amount.isNull() | rate.isNull(), F.lit(None).cast(NUMERIC))
+        .when(plain, (amount.try_cast("decimal(20,9)") * short).cast(NUMERIC))
+        .otherwise(_wide_product(amount, rate))
+    )
 
 
 def convert_to_usd(

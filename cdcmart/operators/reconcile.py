@@ -95,6 +95,11 @@ def _money_gap(a: Column, b: Column) -> Column:
     return F.abs(a.cast("decimal(37,9)") - b.cast("decimal(37,9)"))
 
 
+def _cents(gap: Column) -> Column:
+    """Rounded at the cent first: a product would give up decimal places and round them before."""
+    return (F.round(gap, 2).cast("decimal(36,2)") * F.lit(100).cast("decimal(3,0)")).cast("decimal(38,0)").cast("bigint")
+
+
 def _as_rows(totals: DataFrame, checks: dict[str, Column]) -> DataFrame:
     rows = F.array(
         *[F.struct(F.lit(name).alias("check_name"), v.alias("failing_rows")) for name, v in checks.items()]
@@ -134,7 +139,7 @@ def abcd_verdict(
         f"parity: sum({amount})": round_to_long(F.round(gap, 2)),
     }
     if exact_sum:
-        checks[f"parity: sum({amount}), exact"] = (gap * F.lit(10**9)).cast("bigint")
+        checks[f"parity: sum({amount}), exact"] = (gap.cast("decimal(38,9)") * F.lit(10**9).cast("decimal(10,0)")).cast("decimal(38,0)")
     return _as_rows(totals, checks)
 
 
@@ -202,7 +207,7 @@ def parity_report(
             ONLY_BASELINE: F.col("only_a"),
             ONLY_LIVE: F.col("only_b"),
             DIVERGENT: F.col("divergent"),
-            f"sum_{amount.removesuffix('_local')}_diff_cents": round_to_long(gap * 100),
+            f"sum_{amount.removesuffix('_local')}_diff_cents": _cents(gap),
         },
     )
 

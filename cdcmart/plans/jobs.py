@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cdcmart.functions.times import AsOf, as_date, as_instant, micros_to_date
 from cdcmart.operators.windows import on_or_after, retro_bound
 from cdcmart.plans import gold, silver
+from cdcmart.session import require_utc
 from cdcmart.sinks.tables import ensure_target, high_water, write_table
 from cdcmart.sinks.upserts import recover, upsert_into
 from cdcmart.sources.schemas import FCT_ORDERS_SCHEMA
@@ -129,6 +130,7 @@ def _check_windows(cfg: MartConfig) -> None:
 
 def refresh_incremental(spark: SparkSession, cfg: MartConfig, as_of: AsOf = None) -> dict[str, DataFrame]:
     """Hot path: silver tables, the items increment, the fact merge and the store dimension."""
+    require_utc(spark)
     as_of = as_instant(as_of)
     _check_windows(cfg)
     _create_databases(spark, cfg)
@@ -147,6 +149,7 @@ def refresh_full(spark: SparkSession, cfg: MartConfig, as_of: AsOf = None) -> di
 
     The items are rebuilt in full mode first; a fact rebuilt from the incremental items would keep their gaps.
     """
+    require_utc(spark)
     as_of = as_instant(as_of)
     _create_databases(spark, cfg)
     orders = refresh_orders(spark, cfg)

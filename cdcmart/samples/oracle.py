@@ -72,7 +72,7 @@ CTES["raw_stores"] = """
 
 CTES["raw_rates"] = """
   SELECT currency_code, exchange_date,
-         CAST(ROUND(base * CAST((1000 + (date_diff('day', exchange_date, DATE '2001-08-01') * 7) % 11 - 5 - 100 * copy)
+         CAST(ROUND(base * CAST((990 + dayofyear(exchange_date) % 21 - 100 * copy)
                                 AS DECIMAL(5,0)) * CAST(0.001 AS DECIMAL(4,3)), 6) AS DECIMAL(17,9)) AS rate_to_usd
   FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS exchange_date FROM orders) d
   CROSS JOIN (VALUES ('USD', CAST(1.0 AS DECIMAL(9,6))), ('BRL', CAST(0.20 AS DECIMAL(9,6))),
@@ -229,38 +229,6 @@ def parity(a: str, live: str, key: str, cols: list[str], amount: str) -> str:
   ORDER BY check_name"""
 
 
-def draw(row: str, name: str, n: int) -> str:
-    return f"(CAST('0x' || substr(md5(concat_ws('|', {row}, '{name}', '42')), 1, 12) AS BIGINT) % {n})"
-
-
-def uuid(row: str, name: str) -> str:
-    digest = f"md5(concat_ws('|', {row}, '{name}', '42'))"
-    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    return "concat_ws('-', " + ", ".join(f"substr({digest}, {start}, {length})" for start, length in cuts) + ")"
-
-
-def pick(values: list[str], index: str) -> str:
-    return f"([{', '.join(repr(v) for v in values)}])[CAST({index} AS INTEGER) + 1]"
-
-
-_CURRENCIES = ["BRL", "USD", "GBP", "JPY", "EUR", "EUR", "CZK", "COP", "KRW", "SGD"]
-CTES["made_lines"] = f"""
-  SELECT o_orderkey AS seq, line, {draw("o_orderkey || '-' || line", "price", 3201)} + 300 AS price,
-         {draw("o_orderkey || '-' || line", "quantity", 3)} + 1 AS quantity
-  FROM orders JOIN (VALUES (1), (2), (3), (4), (5)) AS v(line) ON line <= {draw("o_orderkey", "items", 5)} + 1"""
-CTES["made_orders"] = f"""
-  SELECT seq, gross, gross * {draw("seq", "discount", 2001)} // 10000 AS discount,
-         CASE WHEN s % 20 <> 7 AND s % 50 <> 11 THEN s WHEN s = 80 THEN s - 1 ELSE s + 1 END AS store_id,
-         {AS_OF} - ({draw("seq", "day", 90)} * 86400 + {draw("seq", "second", 86400)}) * INTERVAL 1 SECOND AS created_at,
-         CASE WHEN {draw("seq", "late", 1000)} < 30 THEN {draw("seq", "hours", 37)} ELSE 0 END AS late
-  FROM (SELECT seq, CAST(SUM(price * quantity) AS BIGINT) AS gross, {draw("seq", "store", 80)} + 1 AS s
-        FROM made_lines GROUP BY seq)"""
-
-
-def cents(expr: str) -> str:
-    return f"CAST(CAST({expr} AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(38,9))"
-
-
 ITEM_FIELDS = ["order_id", "product_id", "quantity", "net_amount_local", "default_code", "is_recommended"]
 FACT_FIELDS = ["store_id", "customer_id", "channel", "status", "total_price_usd", "item_count", "total_quantity"]
 
@@ -299,7 +267,9 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, t AS as_text,
        CASE lower(t) WHEN 'true' THEN TRUE WHEN 'false' THEN FALSE END AS as_flag,
        TRY_CAST(CASE WHEN t LIKE '____-__-__%' THEN replace(replace(t, 'T', ' '), 'Z', '') END AS TIMESTAMP) AS as_moment,
        CASE WHEN length(t) = 10 AND t LIKE '____-__-__' THEN CAST(t AS DATE) END AS as_day,
-       CAST(ROUND(CAST(x AS DECIMAL(38,9)), 0) AS BIGINT) AS rounded
+       CAST(ROUND(x, 0) AS BIGINT) AS rounded,
+       CAST(ROUND(l_suppkey + CAST(0.4999999999 AS DOUBLE), 0) AS BIGINT) AS below_half,
+       CAST(l_suppkey AS BIGINT) AS below_half_wide
 FROM messy"""),
     "latest_orders": sql("SELECT * FROM latest_orders"),
     "latest_items": sql("""
@@ -313,6 +283,13 @@ SELECT id, supp_key % 3 AS source_system, order_id, product_id, quantity, net_am
     "usd_conversion": sql("""
 SELECT order_id, currency_code, total_price_local, total_price_usd, discount_usd, net_amount_usd
 FROM orders_clean WHERE total_price_usd IS NOT NULL"""),
+    "usd_conversion_wide": """
+SELECT order_id, currency_code, CAST(units // 1000000000 AS VARCHAR) AS usd_whole, CAST(units % 1000000000 AS BIGINT) AS usd_fraction
+FROM (SELECT o_orderkey AS order_id, ['TINY', 'VAST', 'LEAST'][o_orderkey % 3 + 1] AS currency_code,
+             (2 * amount * num + den) // (2 * den) AS units
+      FROM (SELECT *, (o_orderkey % 9973 + 1)::HUGEINT * 10000000000000000000000 + o_custkey AS amount,
+                   [4, 250000001, 7][o_orderkey % 3 + 1]::HUGEINT AS num,
+                   [10000000000, 1, 1000000000000][o_orderkey % 3 + 1]::HUGEINT AS den FROM orders))""",
     "usd_missing_rate": sql("""
 SELECT currency_code, COUNT(*) AS orders_without_rate, SUM(total_price_local) AS total_price_local
 FROM orders_clean WHERE total_price_usd IS NULL GROUP BY currency_code"""),
@@ -378,6 +355,14 @@ SELECT 'product_id' AS column_name, COUNT(*) AS failing_rows FROM items_clean WH
 SELECT o.store_id, COUNT(*) AS failing_rows FROM orders_clean o
 WHERE o.store_id NOT IN (SELECT store_id FROM stores_clean) GROUP BY o.store_id"""),
     "nested_csv_load": sql("SELECT * FROM latest_orders"),
+    "raw_parquet_load": sql("SELECT * FROM latest_orders"),
+    "csv_load_items": sql("""
+SELECT id AS order_item_id, order_id, TRY_CAST(product_id AS BIGINT) AS product_id,
+       CAST(ROUND(quantity) AS BIGINT) AS quantity, CAST(unit_price AS DECIMAL(38,9)) AS unit_price_local,
+       CAST(net_amount AS DECIMAL(38,9)) AS net_amount_local, default_code, is_recommended, created_at, updated_at, source_ts
+FROM raw_items"""),
+    "csv_load_stores": sql("SELECT * FROM stores_clean"),
+    "csv_load_rates": sql("SELECT currency_code, exchange_date, CAST(rate AS DECIMAL(38,18)) AS rate_to_usd FROM rates"),
     "partitioned_sink": sql(f"""
 SELECT store_id, COUNT(*) AS orders, SUM(net_amount_usd) AS net_amount_usd FROM orders_clean
 WHERE CAST(created_at AS DATE) >= {AS_OF_DATE} - 365 GROUP BY store_id"""),
@@ -386,28 +371,9 @@ WHERE CAST(created_at AS DATE) >= {AS_OF_DATE} - 365 GROUP BY store_id"""),
         f"(SELECT *, LEAST(CAST(created_at AS DATE) + 7, {AS_OF_DATE}) AS last_run FROM raw_items)",
         order="last_run DESC, source_ts DESC",
     )),
-    "stream_items": sql("""
-SELECT order_item_id, order_id, product_id, quantity, net_amount_local, created_at FROM items_clean"""),
-    "synth_cdc": sql(f"""
-SELECT {uuid("seq", "order")} AS id, store_id, {draw("seq", "customer", 50000)} + 1 AS customer_id,
-       {pick(_CURRENCIES, draw("store_id", "country", 10))} AS currency_code,
-       {cents("gross")} AS total_price, {cents("discount")} AS discount, {cents("gross - discount")} AS net_amount,
-       {pick(["app", "pos", "delivery", "kiosk"], draw("seq", "channel", 4))} AS channel,
-       {pick(["paid", "paid", "paid", "paid", "refunded", "cancelled"], draw("seq", "status", 6))} AS status,
-       created_at, created_at AS updated_at,
-       created_at + (late * 3600 + CASE WHEN again = 1 THEN {draw("seq", "again", 3541)} + 60 ELSE 0 END)
-         * INTERVAL 1 SECOND AS source_ts
-FROM made_orders JOIN (VALUES (0), (1)) AS v(again) ON again = 0 OR {draw("seq", "duplicate", 1000)} < 80"""),
-    "synth_cdc_items": sql(f"""
-SELECT {uuid("o.seq || '-' || line", "item")} AS id, {uuid("o.seq", "order")} AS order_id,
-       CASE WHEN {draw("o.seq || '-' || line", "no product", 1000)} >= 5
-            THEN {draw("o.seq || '-' || line", "product", 900)} + 100 END AS product_id,
-       quantity, {cents("price")} AS unit_price,
-       {cents("(2 * price * quantity * (gross - discount) + gross) // (2 * gross)")} AS net_amount,
-       'SKU-' || ({draw("o.seq || '-' || line", "sku", 9000)} + 1000) AS default_code,
-       {draw("o.seq || '-' || line", "recommended", 1000)} < 180 AS is_recommended,
-       created_at, created_at AS updated_at, created_at + late * INTERVAL 1 HOUR AS source_ts
-FROM made_orders o JOIN made_lines l ON l.seq = o.seq"""),
+    "stream_items": sql(f"""
+SELECT order_item_id, order_id, product_id, quantity, net_amount_local, created_at
+FROM ({items(raw="(SELECT * REPLACE (CASE WHEN part_key % 97 > 0 THEN created_at END AS created_at) FROM raw_items)")})"""),
     "refresh_full": sql("SELECT * FROM fct_orders"),
     "refresh_incremental": sql("SELECT * FROM fct_run2"),
 }

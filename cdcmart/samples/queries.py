@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.functions.casts import NUMERIC, safe_cast
+from cdcmart.functions.casts import NUMERIC, cast_columns, safe_cast
 from cdcmart.functions.labels import day_part, local_hour, region_of, store_age_days, store_maturity
 from cdcmart.functions.times import instant_lit
 from cdcmart.operators import quality, reconcile, windows
 from cdcmart.operators.dedup import SOURCE_TS, latest_by_key, with_source_ts
-from cdcmart.operators.rates import convert_to_usd
+from cdcmart.operators.rates import convert_to_usd, one_rate_per_key
 from cdcmart.operators.rollup import item_rollup
 from cdcmart.operators.upsert import upsert
 from cdcmart.plans import gold, jobs, silver, validation
@@ -20,9 +20,8 @@ from cdcmart.samples import views
 from cdcmart.samples.views import AS_OF, ITEM_TIES
 from cdcmart.session import fresh_dir, use_result_conf
 from cdcmart.sinks.tables import snapshot, write_table
-from cdcmart.sources import synth
-from cdcmart.sources.raw import load_raw_csv
-from cdcmart.sources.schemas import METADATA, csv_columns
+from cdcmart.sources.raw import load_raw_csv, read_raw
+from cdcmart.sources.schemas import ITEMS_SPEC, METADATA, csv_columns, landing_schema
 from cdcmart.streaming.items import stream_items
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 CUT = "2001-06-01 00:00:00"
 FACT_FIELDS = ("store_id", "customer_id", "channel", "status", "total_price_usd", "item_count", "total_quantity")
 ITEM_KEY = ["order_item_id"]
+# Sets of files that the stream query lands one after the other.
+DELIVERIES = 3
 
 
 def _until(raw: DataFrame, moment: str) -> DataFrame:
@@ -94,6 +95,8 @@ def safe_casts(spark: SparkSession, sf: str) -> DataFrame:
         safe_cast(t, "timestamp").alias("as_moment"),
         safe_cast(t, "date").alias("as_day"),
         safe_cast(F.col("l_extendedprice") / 8, "bigint").alias("rounded"),
+        safe_cast(F.col("l_suppkey") + F.lit(0.4999999999), "bigint").alias("below_half"),
+        safe_cast(F.col("l_suppkey").cast("decimal(20,0)") + F.lit("0.49999999999999").cast("decimal(14,14)"), "bigint").alias("below_half_wide"),
     )
 
 
@@ -126,6 +129,25 @@ def usd_conversion(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def usd_conversion_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts above 10^14 at rates far below and above those that plain decimals multiply exactly."""
+    k = F.col("o_orderkey")
+    whole = (k % 9973 + 1).cast("decimal(10,0)") * F.lit(10**13).cast("decimal(14,0)")
+    part = F.col("o_custkey").cast("decimal(10,0)") * F.lit("0.000000001").cast("decimal(10,9)")
+    orders = views.table(spark, sf, "orders").select(
+        k.alias("order_id"),
+        views.pick(["TINY", "VAST", "LEAST"], (k % 3).cast("int")).alias("currency_code"),
+        F.col("o_orderdate").cast("timestamp").alias("created_at"),
+        (whole + part).cast(NUMERIC).alias("amount"),
+    )
+    rates = {"TINY": "0.0000000004", "VAST": "250000001", "LEAST": "0.000000000007"}
+    entry = F.explode(F.array(*[F.struct(F.lit(c).alias("currency_code"), F.lit(r).alias("rate_to_usd")) for c, r in rates.items()]))
+    days = orders.select(F.to_date("created_at").alias("exchange_date")).distinct()
+    usd = convert_to_usd(orders, days.select("exchange_date", entry.alias("e")).select("exchange_date", "e.*"), {"amount": "usd"})
+    text = F.split(F.col("usd").cast("string"), "[.]")
+    return usd.select("order_id", "currency_code", text[0].alias("usd_whole"), text[1].cast("bigint").alias("usd_fraction"))
+
+
 def usd_missing_rate(spark: SparkSession, sf: str) -> DataFrame:
     missing = _orders(spark, sf).where(F.col("total_price_usd").isNull())
     return missing.groupBy("currency_code").agg(
@@ -269,12 +291,39 @@ def assert_ref(spark: SparkSession, sf: str) -> DataFrame:
     return quality.assert_ref(_orders(spark, sf), "store_id", _stores(spark, sf), "store_id")
 
 
+def _csv(events: DataFrame, table: str) -> DataFrame:
+    """``events`` written as landing files with a dotted header, and loaded."""
+    path = fresh_dir(events.sparkSession, "landing")
+    flat = events.withColumn(f"{METADATA}.source_timestamp", F.col(SOURCE_TS)) if METADATA in events.columns else events
+    flat.select(*[F.col(f"`{c}`") for c in csv_columns(table)]).write.csv(path, header=True)
+    return load_raw_csv(events.sparkSession, path, table)
+
+
 def nested_csv_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Order events written as landing files with a dotted header, loaded and brought to their latest version."""
+    """Order events loaded from text and brought to their latest version."""
+    return silver.latest_orders(_csv(views.raw_orders(spark, sf), "orders"))
+
+
+def csv_load_items(spark: SparkSession, sf: str) -> DataFrame:
+    """All item events, typed from text."""
+    events = views.raw_order_items(spark, sf).withColumn("quantity", F.col("quantity").cast("bigint"))
+    return cast_columns(_csv(events, "order_items"), [*ITEMS_SPEC, (SOURCE_TS, "source_ts", "timestamp")])
+
+
+def csv_load_stores(spark: SparkSession, sf: str) -> DataFrame:
+    return silver.stores_clean(_csv(views.raw_stores(spark, sf), "stores"))
+
+
+def csv_load_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return one_rate_per_key(_csv(views.raw_rates(spark, sf), "currency_exchange_rates"))
+
+
+def raw_parquet_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Order events as typed landing files, scanned with their explicit schema."""
     path = fresh_dir(spark, "landing")
-    flat = views.raw_orders(spark, sf).withColumn(f"{METADATA}.source_timestamp", F.col(SOURCE_TS))
-    flat.select(*[F.col(f"`{c}`") for c in csv_columns("orders")]).write.csv(path, header=True)
-    return silver.latest_orders(load_raw_csv(spark, path, "orders"))
+    raw = views.raw_orders(spark, sf)
+    raw.select(*[F.col(f.name).cast(f.dataType) for f in landing_schema("orders")]).write.parquet(path)
+    return silver.latest_orders(read_raw(spark, path, "orders"))
 
 
 def _database(spark: SparkSession, name: str) -> str:
@@ -302,11 +351,17 @@ def replay_incremental(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_item_files(spark: SparkSession, sf: str) -> DataFrame:
-    """All item events as a stream of files, in several batches, merged into one table."""
+    """All item events as a stream of deliveries, each of them twice, merged into one table.
+
+    Events of an item are spread over the deliveries, so older ones arrive after newer ones; some lack their creation
+    time."""
     database = _database(spark, "stream")
     landing, checkpoint = fresh_dir(spark, "stream_landing"), fresh_dir(spark, "stream_checkpoint")
     raw = views.raw_order_items(spark, sf)
-    raw.repartition(4, "id").write.parquet(landing)
+    raw = raw.withColumn("created_at", F.when(F.col("part_key") % 97 > 0, F.col("created_at")))
+    delivery = F.pmod(F.xxhash64("id", SOURCE_TS), F.lit(DELIVERIES))
+    for n in [*range(DELIVERIES), *range(DELIVERIES)]:
+        raw.where(delivery == n).write.mode("append").parquet(landing)
     table = f"{database}.order_items_clean"
     stream_items(
         spark,
@@ -348,27 +403,13 @@ def refresh_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return tables["fct_orders_incremental_merge"].select(*gold.FCT_COLUMNS)
 
 
-def _order_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    return views.table(spark, sf, "orders").select(F.col("o_orderkey").alias("seq"))
-
-
-def synth_orders_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """A synthetic order for every order of the sample tables, with duplicate and late events."""
-    made = synth.synth_orders(_order_numbers(spark, sf), 80, AS_OF)
-    return made.select("*", F.col(SOURCE_TS).alias("source_ts")).drop(METADATA)
-
-
-def synth_items_feed(spark: SparkSession, sf: str) -> DataFrame:
-    made = synth.synth_order_items(_order_numbers(spark, sf), 80, AS_OF)
-    return made.select("*", F.col(SOURCE_TS).alias("source_ts")).drop(METADATA)
-
-
 QUERIES: dict[str, Query] = {
     "safe_casts": safe_casts,
     "latest_orders": latest_orders,
     "latest_items": latest_items,
     "latest_items_by_source": latest_items_by_source,
     "usd_conversion": usd_conversion,
+    "usd_conversion_wide": usd_conversion_wide,
     "usd_missing_rate": usd_missing_rate,
     "day_part": day_parts,
     "region": region,
@@ -400,11 +441,13 @@ QUERIES: dict[str, Query] = {
     "assert_not_null": assert_not_null,
     "assert_ref": assert_ref,
     "nested_csv_load": nested_csv_load,
+    "csv_load_items": csv_load_items,
+    "csv_load_stores": csv_load_stores,
+    "csv_load_rates": csv_load_rates,
+    "raw_parquet_load": raw_parquet_load,
     "partitioned_sink": partitioned_sink,
     "replay_incremental": replay_incremental,
     "stream_items": stream_item_files,
-    "synth_cdc": synth_orders_feed,
-    "synth_cdc_items": synth_items_feed,
     "refresh_full": refresh_full,
     "refresh_incremental": refresh_incremental,
 }

@@ -43,17 +43,28 @@ def use_result_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> SparkSession:
+    """Refuse a session in another zone: partition dates are made in the session's zone and pruned in UTC, so rows
+    near midnight would be lost. The caller's session is not changed behind their back."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone.upper() not in ("UTC", "ETC/UTC", "Z", "+00:00", "GMT", "UTC+0"):
+        raise ValueError(f"spark.sql.session.timeZone must be UTC, is {zone}; see session.build_session")
+    return spark
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder every executor can reach, below the one named by ``spark.checkpoint.dir``.
 
-    Where that setting is absent the warehouse folder is used, which is shared storage on a cluster; only a local
-    session gets a folder of its own under the system's temporary directory.
+    Where that setting is absent the warehouse folder is used, if it is on shared storage; only a local session gets
+    a folder of its own under the system's temporary directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root and spark.sparkContext.master.startswith("local"):
         root = _local_root()
     elif not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_cdcmart"
+        if ":" not in root or root.startswith("file:"):
+            raise ValueError(f"executors do not share {root}; set spark.checkpoint.dir to a folder they all reach")
     return f"{root.rstrip('/')}/cdcmart/{name}"
 
 

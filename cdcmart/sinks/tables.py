@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from cdcmart.functions.times import AsOf
 from cdcmart.operators.windows import PARTITION_BY, partition_column, partition_value, since_date
+from cdcmart.session import require_utc
 
 
 def with_partition(df: DataFrame, ts: str = "created_at", unit: str = "day") -> DataFrame:
@@ -29,6 +31,27 @@ def laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str]) -> Da
     return arranged.sortWithinPartitions(*order) if order else arranged
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def _default_location(spark: SparkSession, table: str) -> str:
+    database, _, name = table.rpartition(".")
+    return f"{spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{name}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def finish_switch(spark: SparkSession, table: str) -> None:
+    """Repair after a run that died between the two renames of ``write_table``."""
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(f"{table}__previous"):
+        spark.sql(f"ALTER TABLE {table}__previous RENAME TO {table}")
+
+
 def write_table(
     df: DataFrame,
     table: str,
@@ -37,19 +60,31 @@ def write_table(
     path: str | None = None,
     unit: str = "day",
 ) -> None:
-    """Full refresh: replace the catalog table ``table`` with ``df``, partitioned on the date of ``partition_ts``."""
+    """Full refresh: replace the catalog table ``table`` with ``df``, partitioned on the date of ``partition_ts``.
+
+    The new content is written to a location of its own, below ``path`` or the database, under the name
+    ``table__next``; only a complete table takes the name over, by two renames in the catalog. A failed write leaves
+    the old table as it was, and readers meet no gap while a new one is written. The old files go last.
+    """
+    spark = require_utc(df.sparkSession)
     out = with_partition(df, partition_ts, unit) if partition_ts else df
     partition = PARTITION_BY[unit] if partition_ts else None
-    writer = laid_out(out, partition, cluster).write.mode("overwrite").format("parquet")
+    finish_switch(spark, table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}__next")
+    location = f"{(path or _default_location(spark, table)).rstrip('/')}__{uuid.uuid4().hex}"
+    writer = laid_out(out, partition, cluster).write.format("parquet").option("path", location)
     if partition:
         writer = writer.partitionBy(partition)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-
-
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)
+    writer.saveAsTable(f"{table}__next")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE IF EXISTS {table}__previous")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {table}__previous")
+    spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+    if spark.catalog.tableExists(f"{table}__previous"):
+        old = _location(spark, f"{table}__previous")
+        spark.sql(f"DROP TABLE {table}__previous")
+        _delete(spark, old)
+    spark.catalog.refreshTable(table)
 
 
 def read_target(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cdcmart.operators.upsert import upsert
 from cdcmart.operators.windows import partition_column, partition_value
-from cdcmart.session import conf_set, shared_dir
+from cdcmart.session import conf_set, require_utc, shared_dir
 from cdcmart.sinks.tables import ensure_target, laid_out
 
 PENDING = "cdcmart.pending"
@@ -53,9 +53,10 @@ def apply_staged(spark: SparkSession, table: str, staging: str) -> None:
     column = partition_column(target)
     affected = _values(spark.read.schema(f"`{column}` date").parquet(f"{staging}/affected"), column)
     staged = spark.read.schema(target.schema).parquet(f"{staging}/content")
-    for day in set(affected) - set(_values(staged, column)):
-        value = "null" if day is None else f"'{day.isoformat()}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}={value})")
+    emptied = set(affected) - set(_values(staged, column))
+    if emptied:
+        values = ["null" if day is None else f"'{day.isoformat()}'" for day in emptied]
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({column}={v})" for v in values))
     with conf_set(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
         staged.select(*target.columns).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
@@ -132,6 +133,7 @@ def upsert_into(
     Columns and options are those of ``operators.upsert.upsert``; see there for what matches and what is updated. A
     ``target_filter`` on the partition column keeps the match to those partitions.
     """
+    require_utc(spark)
     if not ensure_target(spark, table, source.schema, unit):
         # Another session may have written since this one last looked at the table's files.
         spark.catalog.refreshTable(table)

@@ -140,7 +140,7 @@ _TYPES = {
     "timestamp": T.TimestampType(),
     "date": T.DateType(),
     NUMERIC: T.DecimalType(38, 9),
-    RATE: T.DecimalType(17, 9),
+    RATE: T.DecimalType(38, 18),
 }
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from cdcmart.functions.casts import cast_columns
 from cdcmart.operators.dedup import SOURCE_TS, latest_by_key, with_source_ts
-from cdcmart.operators.windows import on_or_after
+from cdcmart.operators.windows import on_or_after, partition_column
+from cdcmart.session import require_utc
 from cdcmart.sinks.tables import ensure_target
 from cdcmart.sinks.upserts import recover, upsert_into
 from cdcmart.sources.schemas import ITEMS_CLEAN_SCHEMA, ITEMS_SPEC, landing_schema
@@ -31,7 +32,7 @@ def merge_batch(
     not overwrite it. Repeating a batch changes nothing, which makes the at-least-once delivery of ``foreachBatch``
     exact.
     """
-    spark = events.sparkSession
+    spark = require_utc(events.sparkSession)
     if not ensure_target(spark, table, TARGET_SCHEMA, unit):
         recover(spark, table)
     latest = cast_columns(latest_by_key(with_source_ts(events), ["id"], tie_breakers=tie_breakers), SPEC)
@@ -39,7 +40,9 @@ def merge_batch(
     if target_days is not None:
         first = events.agg(F.to_date(F.min("created_at")).alias("d")).first()["d"]
         if first is not None:
-            only = on_or_after(spark.table(table), first, target_days)
+            target = spark.table(table)
+            # Items without a creation time lie in a partition of their own and match in every batch.
+            only = on_or_after(target, first, target_days) | F.col(partition_column(target)).isNull()
     upsert_into(
         spark,
         table,

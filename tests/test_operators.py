@@ -1,5 +1,6 @@
+import random
 from datetime import datetime, timedelta
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, getcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from cdcmart.functions.times import as_micros
 from cdcmart.operators import quality
 from cdcmart.operators.dedup import latest_by_key, with_source_ts
 from cdcmart.operators.reconcile import only_in
-from cdcmart.operators.rates import convert_to_usd, one_rate_per_key
+from cdcmart.operators.rates import convert_to_usd, money_times_rate, one_rate_per_key
 from cdcmart.operators.rollup import item_rollup
 from cdcmart.operators.upsert import upsert
 from cdcmart.operators.windows import naive_window, retro_bound, retro_window, same_date_range, since, since_date
@@ -110,11 +111,33 @@ def test_rate_digits_survive(spark, rows):
     assert rows(usd, "usd") == [(Decimal("0.002644591"),)]
 
 
-def test_amount_too_large_stops_the_job(spark):
-    rates = spark.createDataFrame(RATES, "currency_code string, exchange_date string, rate_to_usd string")
-    df = spark.createDataFrame([("USD", Decimal(10**11))], "currency_code string, amount decimal(38,9)")
-    with pytest.raises(Exception, match="amount too large"):
-        convert_to_usd(df, rates, {"amount": "usd"}, date=F.lit("2024-01-01").cast("date")).collect()
+def test_only_a_result_too_large_stops_the_job(spark, rows):
+    data = [("A", "2024-01-01", "0.0000000004"), ("B", "2024-01-01", "250000001"), ("C", "2024-01-01", "1"), ("D", "2024-01-01", "0.5")]
+    rates = spark.createDataFrame(data, "currency_code string, exchange_date string, rate_to_usd string")
+    top = Decimal("99999999999999999999999999999.999999999")
+    low = Decimal("-99999999999999999999999999999.999999999")
+    amounts = [("A", Decimal(10**10)), ("B", Decimal(-(10**11))), ("C", top), ("C", low), ("D", Decimal("0.000000001")), ("D", Decimal("-0.000000001"))]
+    df = spark.createDataFrame(amounts, "currency_code string, amount decimal(38,9)")
+    convert = lambda d: convert_to_usd(d, rates, {"amount": "usd"}, date=F.lit("2024-01-01").cast("date"))
+    got = {(r["currency_code"], r["amount"]): r["usd"] for r in convert(df).collect()}
+    want = [Decimal(4), Decimal("-25000000100000000000"), top, low, Decimal("0.000000001"), Decimal("-0.000000001")]
+    assert [got[a] for a in amounts] == want
+    with pytest.raises(Exception, match="amount in USD too large"):
+        convert(spark.createDataFrame([("B", top)], df.schema)).collect()
+
+
+def test_long_multiplication_against_exact_arithmetic(spark):
+    getcontext().prec = 100
+    rng = random.Random(1)
+    data = []
+    while len(data) < 300:
+        a = Decimal(rng.choice((1, -1)) * rng.randrange(10 ** rng.randint(1, 38))).scaleb(-9)
+        r = Decimal(rng.randrange(10 ** rng.randint(1, 38))).scaleb(-18)
+        if abs(a * r) < 10**29 - 1:
+            data.append((a, r))
+    df = spark.createDataFrame(data, "a decimal(38,9), r decimal(38,18)")
+    for a, r, got in df.select("a", "r", money_times_rate(F.col("a"), F.col("r"))).collect():
+        assert got == (a * r).quantize(Decimal("1e-9"), ROUND_HALF_UP)
 
 
 def test_one_rate_per_key_takes_the_larger(spark, rows):

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from cdcmart.operators.upsert import upsert
 from cdcmart.operators.reconcile import abcd_verdict, parity_report
 from cdcmart.plans import gold, jobs, silver, validation
+from cdcmart.session import conf_set
+from cdcmart.sinks.tables import finish_switch, write_table
 from cdcmart.sources.raw import load_raw_csv, read_raw
 from cdcmart.sources.schemas import FCT_ORDERS, METADATA, ORDERS_CLEAN, csv_columns, landing_schema
 from cdcmart.streaming.items import merge_batch, stream_items
@@ -275,3 +277,40 @@ def test_repeated_batch_changes_nothing(spark, database, rows):
     for _ in range(2):
         merge_batch(batch, f"{database}.items", target_days=None)
         assert rows(spark.table(f"{database}.items"), "order_item_id") == [("a",), ("b",)]
+
+
+def test_redelivery_changes_nothing_for_items_without_creation_time(spark, database, rows):
+    batch = typed_items(spark, item("a", "2024-01-01"), item("b", "2024-01-02"), item("c", "2024-01-03"))
+    batch = batch.withColumn("created_at", F.when(F.col("id") != "b", F.col("created_at")))
+    for _ in range(3):
+        merge_batch(batch, f"{database}.items")
+        assert rows(spark.table(f"{database}.items"), "order_item_id") == [("a",), ("b",), ("c",)]
+
+
+def test_other_zones_are_refused(spark, database):
+    batch = typed_items(spark, item("a", "2024-01-01"))
+    with conf_set(spark, spark__sql__session__timeZone="America/Los_Angeles"):
+        for act in (
+            lambda: merge_batch(batch, f"{database}.items"),
+            lambda: jobs.refresh_full(spark, config(spark, database, items_=[item("a", "2024-01-01")]), "2024-01-02"),
+            lambda: jobs.refresh_incremental(spark, config(spark, database, items_=[item("a", "2024-01-01")]), "2024-01-02"),
+        ):
+            with pytest.raises(ValueError, match="must be UTC"):
+                act()
+
+
+def test_failed_refresh_leaves_the_table(spark, database, rows):
+    table = f"{database}.t"
+    good = spark.range(3).withColumn("created_at", F.lit("2024-01-01").cast("timestamp"))
+    write_table(good, table, "created_at")
+    bad = good.withColumn("id", F.when(F.col("id") == 2, F.raise_error(F.lit("boom")).cast("bigint")).otherwise(F.col("id") + 10))
+    with pytest.raises(Exception, match="boom"):
+        write_table(bad, table, "created_at")
+    assert rows(spark.table(table), "id") == [(0,), (1,), (2,)]
+    write_table(good.where("id > 0"), table, "created_at")
+    assert rows(spark.table(table), "id") == [(1,), (2,)]
+    assert [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database}").collect()] == ["t"]
+    # A run that died between the two renames is repaired by the next one.
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__previous")
+    finish_switch(spark, table)
+    assert rows(spark.table(table), "id") == [(1,), (2,)]

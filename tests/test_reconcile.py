@@ -168,3 +168,15 @@ def test_lag_quantiles_against_sorting(spark):
 def test_lag_profile_approx(spark):
     got = {r["quantile"]: r["lag_seconds"] for r in reconcile.lag_profile_approx(lagged(spark, range(1000))).collect()}
     assert got[1.0] == 999 and abs(got[0.5] - 500) <= 2
+
+
+def test_gaps_are_rounded_once(spark):
+    gaps = spark.createDataFrame([(Decimal("0.004999999"),), (Decimal("0.005"),), (Decimal("12345678901.995000001"[:21]),)], "g decimal(38,9)")
+    assert [r[0] for r in gaps.select(reconcile._cents(F.col("g"))).collect()] == [0, 1, 1234567890200]
+
+
+def test_exact_sum_of_a_large_gap(spark):
+    a = spark.createDataFrame([("k", Decimal(10**12))], "k string, m decimal(38,9)")
+    b = spark.createDataFrame([("k", Decimal(1))], "k string, m decimal(38,9)")
+    found = {r["check_name"]: r["failing_rows"] for r in reconcile.abcd_verdict(a, b, ["k"], "m", exact_sum=True).collect()}
+    assert found["parity: sum(m), exact"] == (10**12 - 1) * 10**9
