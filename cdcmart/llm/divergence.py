@@ -2,7 +2,7 @@
 
 Two histograms describe a document: its characters by class, and its words by a short list of common words of its
 language with one bin for all others. The references are the same histograms summed over all documents of the
-language that are long enough and pass the base rules. A document whose Jensen-Shannon distance from a reference
+language that are long enough. A document whose Jensen-Shannon distance from a reference
 exceeds the limit is dropped; below a least length a histogram says too little, and its rule abstains.
 
 Everything is SQL expressions. Two passes read the texts: one adds up the references, a row for each of the listed
@@ -87,9 +87,10 @@ NAMES = {"c": [f"c{i}" for i in range(len(CLASSES) + 1)], "w": [f"w{i}" for i in
 def references(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """One row per listed language with documents to learn from: ``lang`` and the shares ``r_c0.., r_w0..``."""
     long_enough = docs.where(F.col(f"`{lang_col}`").isin(*COMMON_WORDS))
-    rows = _bins(features(long_enough, id_col, text_col, lang_col, base=False)).where(F.col("n_words") >= LEAST_COUNTED)
+    rows = _bins(features(long_enough, id_col, text_col, lang_col, base=False))
     names = NAMES["c"] + NAMES["w"]
-    sums = rows.groupBy("lang").agg(*[F.sum(c).alias(c) for c in names])
+    # Short documents are left out inside the sums: a filter would be pushed below the histograms and split the text twice.
+    sums = rows.groupBy("lang").agg(*[F.sum(F.when(F.col("n_words") >= LEAST_COUNTED, F.col(c))).alias(c) for c in names])
     shares = [(F.col(c) / sum((F.col(o) for o in NAMES[c[0]]), F.lit(0.0))).alias(f"r_{c}") for c in names]
     return sums.select("lang", *shares)
 
