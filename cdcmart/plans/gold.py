@@ -10,7 +10,7 @@ from cdcmart.functions.times import AsOf
 from cdcmart.operators.rollup import item_rollup
 from cdcmart.operators.upsert import upsert
 from cdcmart.operators.windows import on_or_after, since
-from cdcmart.sources.schemas import FCT_ORDERS
+from cdcmart.sources.schemas import DIM_STORES, FCT_ORDERS
 
 FCT_COLUMNS = [name for name, _ in FCT_ORDERS]
 # On a match the merge leaves the key and the creation time as they are.
@@ -18,20 +18,12 @@ FCT_UPDATED = [c for c in FCT_COLUMNS if c not in ("order_id", "created_at")]
 
 
 def dim_stores(stores: DataFrame, as_of: AsOf) -> DataFrame:
-    return stores.select(
-        "store_id",
-        "store_name",
-        "country_code",
-        "currency_code",
-        "timezone",
-        "is_franchise",
-        "opening_date",
-        region_of(F.col("country_code")).alias("region"),
-        store_age_days(F.col("opening_date"), as_of).cast("bigint").alias("store_age_days"),
-        store_maturity(F.col("opening_date"), as_of).alias("store_maturity"),
-        "created_at",
-        "updated_at",
-    )
+    derived = {
+        "region": region_of(F.col("country_code")),
+        "store_age_days": store_age_days(F.col("opening_date"), as_of).cast("bigint"),
+        "store_maturity": store_maturity(F.col("opening_date"), as_of),
+    }
+    return stores.withColumns(derived).select(*DIM_STORES)
 
 
 def _with_items(orders: DataFrame, rollup: DataFrame) -> DataFrame:

@@ -199,34 +199,51 @@ CTES["simulated"] = items(f"CAST(created_at AS DATE) >= {AS_OF_DATE} - 90")
 CTES["simulated_60"] = items(f"CAST(created_at AS DATE) >= {AS_OF_DATE} - 60")
 
 
-def verdict(a: str, b: str, key: str, amount: str) -> str:
+def _per_key(a: str, b: str, key: str, cols: list[str], amount: str) -> str:
+    """One row for each key of either side: rows, money and, where both sides have the key, pairs that differ."""
+    differs = " OR ".join(f"x.{c} IS DISTINCT FROM y.{c}" for c in cols) or "FALSE"
     return f"""
-  SELECT 'C: rows lost (A but not B)' AS check_name,
-         (SELECT COUNT(*) FROM {a} a LEFT JOIN {b} b ON a.{key} = b.{key} WHERE b.{key} IS NULL) AS failing_rows
-  UNION ALL SELECT 'D: rows wrongly added (B but not A)',
-         (SELECT COUNT(*) FROM {b} b LEFT JOIN {a} a ON a.{key} = b.{key} WHERE a.{key} IS NULL)
-  UNION ALL SELECT 'parity: total row count', ABS((SELECT COUNT(*) FROM {a}) - (SELECT COUNT(*) FROM {b}))
-  UNION ALL SELECT 'parity: distinct keys',
-         ABS((SELECT COUNT(DISTINCT {key}) FROM {a}) - (SELECT COUNT(DISTINCT {key}) FROM {b}))
-  UNION ALL SELECT 'parity: sum({amount})',
-         CAST(ROUND(ABS((SELECT SUM({amount}) FROM {a}) - (SELECT SUM({amount}) FROM {b})), 2) AS BIGINT)
-  ORDER BY check_name"""
+  SELECT coalesce(p.k, q.k) AS k, coalesce(p.n, 0) AS n_a, coalesce(q.n, 0) AS n_b, p.m AS m_a, q.m AS m_b, coalesce(d.n, 0) AS differing
+  FROM (SELECT {key} AS k, COUNT(*) AS n, SUM({amount}) AS m FROM {a} GROUP BY 1) p
+  FULL JOIN (SELECT {key} AS k, COUNT(*) AS n, SUM({amount}) AS m FROM {b} GROUP BY 1) q ON p.k = q.k
+  LEFT JOIN (SELECT x.{key} AS k, COUNT(*) AS n FROM {a} x JOIN {b} y ON x.{key} = y.{key} WHERE {differs} GROUP BY 1) d
+    ON d.k = coalesce(p.k, q.k)"""
 
 
-def parity(a: str, live: str, key: str, cols: list[str], amount: str) -> str:
-    differs = " OR ".join(f"a.{c} IS DISTINCT FROM l.{c}" for c in cols)
+def _checks(totals: str, checks: dict[str, str]) -> str:
+    """A row for each check over the one row of ``totals``."""
+    names, values = ", ".join(f"'{n}'" for n in checks), ", ".join(f"CAST({v} AS BIGINT)" for v in checks.values())
     return f"""
-, live_range AS (SELECT * FROM {live} WHERE CAST(created_at AS DATE) BETWEEN
-    (SELECT CAST(MIN(created_at) AS DATE) FROM {a}) AND (SELECT CAST(MAX(created_at) AS DATE) FROM {a}))
-  SELECT 'rows_only_in_baseline' AS check_name,
-         (SELECT COUNT(*) FROM {a} a LEFT JOIN live_range l ON a.{key} = l.{key} WHERE l.{key} IS NULL) AS failing_rows
-  UNION ALL SELECT 'rows_only_in_live',
-         (SELECT COUNT(*) FROM live_range l LEFT JOIN {a} a ON a.{key} = l.{key} WHERE a.{key} IS NULL)
-  UNION ALL SELECT 'rows_with_field_divergence',
-         (SELECT COUNT(*) FROM {a} a JOIN live_range l ON a.{key} = l.{key} WHERE {differs})
-  UNION ALL SELECT 'sum_{amount.removesuffix("_local")}_diff_cents',
-         CAST(ROUND(ABS((SELECT SUM({amount}) FROM {a}) - (SELECT SUM({amount}) FROM live_range)) * 100, 0) AS BIGINT)
-  ORDER BY check_name"""
+  SELECT unnest([{names}]) AS check_name, unnest([{values}]) AS failing_rows FROM ({totals})"""
+
+
+_TOTALS = """
+  SELECT SUM(CASE WHEN n_b = 0 THEN n_a ELSE 0 END) AS only_a, SUM(CASE WHEN n_a = 0 THEN n_b ELSE 0 END) AS only_b,
+         SUM(n_a) - SUM(n_b) AS more_rows, COUNT(k) FILTER (n_a > 0) - COUNT(k) FILTER (n_b > 0) AS more_keys,
+         SUM(differing) AS differing, SUM(m_a) - SUM(m_b) AS more_money FROM per_key"""
+
+
+def verdict(a: str, b: str, key: str, amount: str) -> str:
+    checks = {
+        "C: rows lost (A but not B)": "only_a",
+        "D: rows wrongly added (B but not A)": "only_b",
+        "parity: total row count": "abs(more_rows)",
+        "parity: distinct keys": "abs(more_keys)",
+        f"parity: sum({amount})": "round(round(abs(more_money), 2), 0)",
+    }
+    return f", per_key AS ({_per_key(a, b, key, [], amount)}) {_checks(_TOTALS, checks)}"
+
+
+def parity(a: str, live: str, key: str, cols: list[str], amount: str) -> str:
+    days = f"(SELECT CAST(MIN(created_at) AS DATE) AS lo, CAST(MAX(created_at) AS DATE) AS hi FROM {a})"
+    inside = f"(SELECT {live}.* FROM {live}, {days} WHERE CAST(created_at AS DATE) BETWEEN lo AND hi)"
+    checks = {
+        "rows_only_in_baseline": "only_a",
+        "rows_only_in_live": "only_b",
+        "rows_with_field_divergence": "differing",
+        f"sum_{amount.removesuffix('_local')}_diff_cents": "round(abs(more_money), 2) * 100",
+    }
+    return f", inside AS {inside}, per_key AS ({_per_key(a, 'inside', key, cols, amount)}) {_checks(_TOTALS, checks)}"
 
 
 ITEM_FIELDS = ["order_id", "product_id", "quantity", "net_amount_local", "default_code", "is_recommended"]

@@ -112,6 +112,20 @@ ORDERS_CLEAN = [
     "discount_usd",
     "net_amount_usd",
 ]
+DIM_STORES = [
+    "store_id",
+    "store_name",
+    "country_code",
+    "currency_code",
+    "timezone",
+    "is_franchise",
+    "opening_date",
+    "region",
+    "store_age_days",
+    "store_maturity",
+    "created_at",
+    "updated_at",
+]
 FCT_ORDERS = [
     ("order_id", "string"),
     ("store_id", "bigint"),
