@@ -72,10 +72,12 @@ def retro_window(
     days: int = 7,
     ts: str = "created_at",
     *,
+    target_ts: str | None = None,
     high_water: int | None = None,
     cap: AsOf = None,
 ) -> DataFrame:
-    """Rows of ``df`` not older than ``days`` before the newest row of ``target``.
+    """Rows of ``df`` not older than ``days`` before the newest row of ``target``, by its column ``target_ts`` (``ts``
+    where that is not given).
 
     Without a target (first run) nothing is filtered. A caller who already knows the newest moment of the target,
     from partition metadata for instance, passes it as ``high_water`` to save the aggregate over the target.
@@ -83,7 +85,7 @@ def retro_window(
     if target is None and high_water is None:
         return df
     if high_water is None:
-        high_water = max_instant(target, ts)
+        high_water = max_instant(target, target_ts or ts)
     return _from_micros(df, ts, retro_bound(high_water, days, cap))
 
 

@@ -32,6 +32,9 @@ class MartConfig:
     """Where a mart reads and writes.
 
     ``raw`` holds the landing tables ``orders``, ``order_items``, ``stores`` and ``currency_exchange_rates``.
+    ``items_window_col`` is the raw column the items' window is laid over. ``cap_future`` keeps rows dated after the run
+    from moving that window. ``widen_target`` lets all partitions match that the source window reaches back to, after
+    an outage for instance; without it such rows are inserted again.
     ``partition_unit`` is ``day`` or, for a mart whose days hold little data, ``month``.
     """
 
@@ -40,6 +43,9 @@ class MartConfig:
     gold: str = "gold"
     items_window_days: int = 7
     items_target_days: int = 14
+    items_window_col: str = "created_at"
+    cap_future: bool = False
+    widen_target: bool = False
     fact_window_days: int = 30
     partition_unit: str = "day"
     tie_breakers: Mapping[str, list[str]] = field(default_factory=dict)
@@ -90,8 +96,10 @@ def refresh_items_increment(spark: SparkSession, cfg: MartConfig, as_of: AsOf) -
     if top is None:
         return refresh_items_full(spark, cfg)
     target = spark.table(table)
-    bound = micros_to_date(retro_bound(top, cfg.items_window_days))
-    if bound < as_date(as_of, cfg.items_target_days):
+    cap = as_of if cfg.cap_future else None
+    bound = micros_to_date(retro_bound(top, cfg.items_window_days, cap))
+    behind = bound < as_date(as_of, cfg.items_target_days)
+    if behind and not cfg.widen_target:
         warnings.warn(
             f"{table}: the source window starts {bound}, before the partitions that may match; rows between the two "
             "are inserted again instead of updated",
@@ -100,9 +108,11 @@ def refresh_items_increment(spark: SparkSession, cfg: MartConfig, as_of: AsOf) -
     upsert_into(
         spark,
         table,
-        silver.order_items_increment(raw, target, cfg.items_window_days, ties, high_water=top),
+        silver.order_items_increment(
+            raw, target, cfg.items_window_days, ties, window_col=cfg.items_window_col, high_water=top, cap=cap
+        ),
         ["order_item_id"],
-        target_filter=on_or_after(target, as_of, cfg.items_target_days),
+        target_filter=on_or_after(target, bound, 0) if behind and cfg.widen_target else on_or_after(target, as_of, cfg.items_target_days),
         cluster=CLUSTER["order_items_clean"],
     )
     return spark.table(table)

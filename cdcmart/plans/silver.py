@@ -47,15 +47,17 @@ def order_items_increment(
     tie_breakers: Ties = None,
     *,
     window_col: str = "created_at",
+    target_col: str = "created_at",
     high_water: int | None = None,
     cap: AsOf = None,
 ) -> DataFrame:
     """Incremental mode: only events of the retroactive window before the target's newest row.
 
     ``window_col`` is the raw column the window is laid over. On ``created_at`` an update to a record older than the
-    window is not seen; a table with a column for the moment of arrival can use that instead.
+    window is not seen; a table with a column for the moment of arrival can use that instead. ``target_col`` is the
+    column of the target whose largest value the window goes back from.
     """
-    events = retro_window(with_source_ts(raw), target, window_days, window_col, high_water=high_water, cap=cap)
+    events = retro_window(with_source_ts(raw), target, window_days, window_col, target_ts=target_col, high_water=high_water, cap=cap)
     return cast_columns(latest_by_key(events, ["id"], tie_breakers=tie_breakers), ITEMS_SPEC)
 
 

@@ -332,6 +332,9 @@ FROM raw_stores WHERE source_ts = {AS_OF}"""),
     "fct_orders": sql("SELECT * FROM fct_orders"),
     "fct_orders_window": sql("SELECT * FROM fct_window"),
     "retro_window": sql("SELECT * FROM new_items"),
+    "retro_window_arrival": sql(
+        f"SELECT * FROM ({items('source_ts >= (SELECT MAX(created_at) FROM items_before) - INTERVAL 7 DAY')})"
+    ),
     "naive_window_loss": sql("""
 SELECT n.* FROM new_items n WHERE n.order_item_id NOT IN (SELECT order_item_id FROM naive_after)"""),
     "items_upsert": sql("SELECT * FROM items_after"),

@@ -201,6 +201,13 @@ def retro_window(spark: SparkSession, sf: str) -> DataFrame:
     return _increment(spark, sf, _items_before(spark, sf))
 
 
+def retro_window_arrival(spark: SparkSession, sf: str) -> DataFrame:
+    """The increment by moment of arrival: late updates to old items are seen as well."""
+    raw = views.raw_order_items(spark, sf).withColumn("arrived_at", F.col(SOURCE_TS))
+    target = _items_target(spark, sf)
+    return silver.order_items_increment(raw, target, 7, ITEM_TIES, window_col="arrived_at", target_col="created_at")
+
+
 def naive_window_loss(spark: SparkSession, sf: str) -> DataFrame:
     """Items the retroactive window brings in and a filter on the target's maximum loses."""
     target = _items_target(spark, sf)
@@ -423,6 +430,7 @@ QUERIES: dict[str, Query] = {
     "fct_orders": fct_orders,
     "fct_orders_window": fct_orders_window,
     "retro_window": retro_window,
+    "retro_window_arrival": retro_window_arrival,
     "naive_window_loss": naive_window_loss,
     "items_upsert": items_upsert,
     "fct_orders_merge": fct_orders_merge,

@@ -1,5 +1,6 @@
 """Silver, gold, jobs, validation, landing load and stream on small hand-made tables."""
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -314,3 +315,20 @@ def test_failed_refresh_leaves_the_table(spark, database, rows):
     spark.sql(f"ALTER TABLE {table} RENAME TO {table}__previous")
     finish_switch(spark, table)
     assert rows(spark.table(table), "id") == [(1,), (2,)]
+
+
+def test_widened_target_updates_after_an_outage(spark, database, rows):
+    first = [item("i1", "2024-01-01", quantity="1")]
+    jobs.refresh_incremental(spark, config(spark, database, items_=first), "2024-01-01")
+    cfg = config(spark, database, items_=[*first, item("i1", "2024-01-01", ts="2024-02-28", quantity="5")])
+    jobs.refresh_incremental(spark, replace(cfg, widen_target=True), "2024-03-01")
+    assert rows(spark.table(f"{database}.order_items_clean"), "order_item_id", "quantity") == [("i1", 5)]
+
+
+def test_a_future_row_does_not_move_the_window_of_the_job(spark, database, rows):
+    first = [item("i1", "2024-01-01"), item("future", "2030-01-01")]
+    cfg = replace(config(spark, database, items_=first), cap_future=True)
+    jobs.refresh_incremental(spark, cfg, "2024-01-01")
+    cfg = replace(config(spark, database, items_=[*first, item("i2", "2024-01-02")]), cap_future=True)
+    jobs.refresh_incremental(spark, cfg, "2024-01-02")
+    assert rows(spark.table(f"{database}.order_items_clean"), "order_item_id") == [("future",), ("i1",), ("i2",)]
