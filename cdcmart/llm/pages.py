@@ -46,6 +46,9 @@ BOILER_WORDS = frozenset(
     "sharing social comment comments disqus reply replies discussion newsletter subscribe subscription signup login search "
     "pagination pager toolbar skip".split()
 )
+NOT_OWN = ("has-", "has_", "with-", "without-", "no-", "is-", "layout-")
+# The header of an article belongs to it.
+HEADERS, OWN_HEADER = frozenset(("header", "masthead")), frozenset(("article", "entry", "post", "content", "story"))
 
 
 class Element(NamedTuple):
@@ -61,8 +64,10 @@ class Block(NamedTuple):
     in_links: int
 
 
-def _words_of(attributes: str) -> list[str]:
-    return [w for m in CLASS.finditer(attributes) for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()) if w]
+def _words_of(attributes: str) -> set[str]:
+    """Words of the class, id and role names; names that say what the rest of the page has or lacks do not count."""
+    names = [n for m in CLASS.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").lower().split()]
+    return {w for n in names if not n.startswith(NOT_OWN) for w in re.split(r"[^a-z0-9]+", n) if w}
 
 
 def _classes(attributes: str) -> str:
@@ -137,8 +142,10 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
             continue
         up = elements[stack[-1]]
         words = _words_of(m[4])
+        if not words.isdisjoint(OWN_HEADER):
+            words -= HEADERS
         inside = any(elements[s].tag in ("article", "main") for s in stack)
-        boiler = up.boiler or tag in BOILER_TAGS or (tag == "header" and not inside) or (tag not in ("body", "html") and not BOILER_WORDS.isdisjoint(words))
+        boiler = up.boiler or tag in BOILER_TAGS or (tag == "header" and not inside) or (tag not in ("body", "html", "main") and not BOILER_WORDS.isdisjoint(words))
         elements.append(Element(stack[-1], tag, f"{up.path}/{tag}{_classes(m[4])}", boiler))
         stack.append(len(elements) - 1)
     said(page[at:])
