@@ -12,7 +12,7 @@ from collections.abc import Callable
 SPECIAL = "<|endoftext|>"
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 # Most entries of the table of pieces; it starts anew when it is full, which changes the speed only.
-KEPT_PIECES = 600_000
+KEPT_PIECES = 700_000
 
 
 class PieceTable:
