@@ -210,6 +210,14 @@ def test_pages(spark):
     assert by_id[15] == ["Brief."]
 
 
+def test_names_of_what_a_page_has_are_no_boilerplate():
+    page = (
+        '<body><div class="page has-sidebar"><div class="post"><div class="entry-header"><h1>Title</h1></div><p>Some words of text.</p></div>'
+        '<div class="sidebar"><p>Other words of text.</p></div></div></body>'
+    )
+    assert pages.extract(page, None) == "Title\nSome words of text."
+
+
 def test_sample_pages(spark):
     pages_table = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r["page_id"]: r["text"] for r in pages.main_text(pages_table).collect()}
