@@ -20,7 +20,17 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from cdcmart.samples.queries import QUERIES, prepared  # noqa: E402
 from cdcmart.session import build_session  # noqa: E402
 
-WRITING = ("nested_csv_load", "partitioned_sink", "stream_items", "refresh_full", "refresh_incremental")
+WRITING = (
+    "nested_csv_load",
+    "csv_load_items",
+    "csv_load_stores",
+    "csv_load_rates",
+    "raw_parquet_load",
+    "partitioned_sink",
+    "stream_items",
+    "refresh_full",
+    "refresh_incremental",
+)
 
 
 def timed(query, spark, sf_dir: str) -> float:
