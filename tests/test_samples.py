@@ -7,7 +7,10 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_point
-from conftest import SF
+from cdcmart.samples.oracle import ORACLE
+from cdcmart.samples.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
@@ -34,10 +37,11 @@ def normal(rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = entry_point.queries()[name](spark, SF)
     columns = sorted(df.columns)
