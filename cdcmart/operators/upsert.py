@@ -45,6 +45,7 @@ def upsert(
     update_cols: Sequence[str] | None = None,
     newer_by: str | None = None,
     allow_null_keys: bool = False,
+    matched: DataFrame | None = None,
 ) -> DataFrame:
     """The content of ``target`` after merging ``source`` into it on ``keys``.
 
@@ -55,6 +56,9 @@ def upsert(
       NULL key never matches, so it is inserted again on every run.
     * With ``newer_by`` a target row that is newer than the source row in that column keeps its values.
 
+    A caller who has already written down which keys of the source are among those target rows passes them as
+    ``matched``; the inserts then need no look at the target.
+
     Two joins instead of one full outer join: updates are target ⟕ source, inserts are source ▷ target keys. Adaptive
     execution can split a hot key of the target in the first, the keys of the second are made distinct before they
     are shuffled, and a small source can be broadcast so that the target is not shuffled at all.
@@ -77,7 +81,8 @@ def upsert(
     merged = active.join(renamed, matches, "left").select(
         *[F.when(take, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) if c in updated else F.col(c) for c in cols]
     )
-    inserted = src.join(active.select(*keys).distinct(), list(keys), "left_anti").select(*cols)
+    known = (active if matched is None else matched).select(*keys).distinct()
+    inserted = src.join(known, list(keys), "left_anti").select(*cols)
 
     result = merged.unionByName(inserted).unionByName(_guard(src, keys, allow_null_keys))
     if target_filter is not None:

@@ -338,6 +338,7 @@ FROM raw_stores WHERE source_ts = {AS_OF}"""),
     "naive_window_loss": sql("""
 SELECT n.* FROM new_items n WHERE n.order_item_id NOT IN (SELECT order_item_id FROM naive_after)"""),
     "items_upsert": sql("SELECT * FROM items_after"),
+    "items_upsert_twice": sql("SELECT * FROM items_after"),
     "fct_orders_merge": sql("SELECT * FROM fct_merged"),
     "baseline_profile": sql("""
 SELECT 'baseline_snapshot' AS check_name, COUNT(*) AS total_rows, COUNT(DISTINCT order_item_id) AS distinct_keys,

@@ -221,6 +221,13 @@ def items_upsert(spark: SparkSession, sf: str, target: DataFrame | None = None)
     return upsert(target, _increment(spark, sf, target), ITEM_KEY)
 
 
+def items_upsert_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """The same increment merged a second time changes nothing."""
+    target = _items_target(spark, sf)
+    increment = _stored(_increment(spark, sf, target))
+    return upsert(_stored(upsert(target, increment, ITEM_KEY)), increment, ITEM_KEY)
+
+
 def fct_orders_merge(spark: SparkSession, sf: str) -> DataFrame:
     orders = _orders(spark, sf)
     until = instant_lit(AS_OF, 10)
@@ -433,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "retro_window_arrival": retro_window_arrival,
     "naive_window_loss": naive_window_loss,
     "items_upsert": items_upsert,
+    "items_upsert_twice": items_upsert_twice,
     "fct_orders_merge": fct_orders_merge,
     "baseline_profile": baseline_profile,
     "simulate_incremental": simulate_incremental,

@@ -96,7 +96,10 @@ def stage_upsert(
     incoming = spark.read.schema(target.schema).parquet(f"{staging}/source")
 
     active = target if target_filter is None else target.where(target_filter)
+    # The one look at the keys of the target: it gives the partitions to rewrite and, below, what is to be inserted.
     matched = active.select(*keys, column).join(incoming.select(*keys), list(keys), "left_semi")
+    matched.write.mode("overwrite").parquet(f"{staging}/matched")
+    matched = spark.read.schema(matched.schema).parquet(f"{staging}/matched")
     affected = _values(matched.select(column).unionByName(incoming.select(column)), column)
     if not affected:
         return None
@@ -111,6 +114,7 @@ def stage_upsert(
         update_cols=update_cols if update_cols is None or partition_ts not in update_cols else [*update_cols, column],
         newer_by=newer_by,
         allow_null_keys=allow_null_keys,
+        matched=matched,
     )
     laid_out(content, column, cluster).write.mode("overwrite").parquet(f"{staging}/content")
     listed = spark.createDataFrame([(d,) for d in affected], f"`{column}` date")
