@@ -44,7 +44,7 @@ BOILER_WORDS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo banner cookie cookies consent notice notices alert popup modal "
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget related recommended share "
     "sharing social comment comments disqus reply replies discussion newsletter subscribe subscription signup login search "
-    "pagination pager toolbar skip".split()
+    "pagination pager toolbar skip complementary contentinfo cookiebar cookiebanner adbanner teaser teasers".split()
 )
 NOT_OWN = ("has-", "has_", "with-", "without-", "no-", "is-", "layout-")
 # The header of an article belongs to it.
