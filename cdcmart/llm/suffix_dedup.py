@@ -36,7 +36,7 @@ from cdcmart.llm.common import map_batches, picked, stored
 LENGTH, GRAM, BLOCK = 200, 32, 16
 ANCHORS = LENGTH - GRAM + 1  # q-grams in a window; less than 256, as places in a run are kept in a byte
 PLACE_BITS = 26  # of a position in the text taken at once
-TEXT_AT_ONCE = 1 << 23
+TEXT_AT_ONCE = 1 << 22
 
 U = np.uint64
 
@@ -194,7 +194,8 @@ def _by_document(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 
 def bucketed(rows: DataFrame, by: str, member: str) -> DataFrame:
     """``rows`` with the size of their bucket and whether the pointer of the bucket, its least member, is theirs."""
-    sizes = rows.groupBy(by).agg(F.count("*").alias("size"), F.min(member).alias("pointer")).where("size > 1")
+    # Written first: adaptive execution splits a hot bucket only where both sides of the join are plain shuffles.
+    sizes = stored(rows.groupBy(by).agg(F.count("*").alias("size"), F.min(member).alias("pointer")).where("size > 1"), "bucket_sizes")
     return rows.join(sizes, by, "left").withColumns({"size": F.coalesce("size", F.lit(1)), "first": F.col("pointer").eqNullSafe(F.col(member))}).drop("pointer")
 
 
@@ -288,7 +289,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     # Round 1: q-gram buckets.
     found = all_runs(docs)
-    shared = found.groupBy("key").count().where("count > 1").select("key")
+    shared = stored(found.groupBy("key").count().where("count > 1").select("key"), "shared_keys")
     alive = stored(found.join(shared, "key"), "shared_grams")
     _released(spark)
     # Round 2: whole runs.
@@ -303,7 +304,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     _released(spark)
     # Round 3: blocks that share their common bytes with another, then whole blocks.
     made = stored(blocks(cut), "blocks")
-    cores = made.groupBy("core").count().where("count > 1").select("core")
+    cores = stored(made.groupBy("core").count().where("count > 1").select("core"), "shared_cores")
     block = stored(bucketed(made.join(cores, "core"), "whole", "member"), "block_buckets")
     _released(spark)
     alone = block.where("size = 1")
