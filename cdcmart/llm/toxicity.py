@@ -12,7 +12,6 @@ a few bad words are learned from as well as short ones.
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -28,7 +27,7 @@ GRAM, GRAM_BUCKETS = 4, 1 << 14
 # Bounds of the training sample: documents per class, their length, and the words with an embedding of their own.
 SAMPLE_PER_CLASS, SAMPLE_CHARS, VOCABULARY, LEAST_DOCS = 1500, 8_000, 20_000, 8
 EPOCHS, BATCH, RATE = 8, 64, 0.02
-KEPT_WORDS = 200_000
+KEPT_WORDS = 150_000
 THRESHOLD = 0.3
 
 Params = dict[str, np.ndarray]
@@ -50,7 +49,7 @@ class Model(NamedTuple):
 
 
 class Lexicon:
-    """Words as rows of character and word inputs."""
+    """Words as rows of character and word inputs, numbered as they come."""
 
     def __init__(self, vocabulary: dict[str, int]):
         self.vocabulary, self.row, self.grams, self.own = vocabulary, {}, [], []
@@ -60,7 +59,7 @@ class Lexicon:
         for w in words:
             r = self.row.get(w)
             if r is None:
-                r = self.row[w] = len(self.grams)
+                r = self.row[w] = len(self.row)
                 self.grams.append(_grams(w))
                 self.own.append(self.vocabulary.get(w, -1))
             out.append(r)
@@ -256,7 +255,7 @@ class Scorer:
         if self.model.base_rate is not None:
             return np.full(len(texts), self.model.base_rate)
         p = self.model.params
-        if len(self.lexicon.grams) > KEPT_WORDS:
+        if len(self.lexicon.row) > KEPT_WORDS:
             self._reset()
         windows, owner = [], []
         for k, text in enumerate(texts):
@@ -264,31 +263,20 @@ class Scorer:
             for s, e in windows_of(len(rows)):
                 windows.append(rows[s:e])
                 owner.append(k)
-        total = len(self.lexicon.grams)
+        total = len(self.lexicon.row)
         if total > len(self.projected):
             grown = np.zeros((max(total, 2 * len(self.projected)), 6 * HIDDEN), np.float32)
             grown[: self.done] = self.projected[: self.done]
             self.projected = grown
-        self.projected[self.done : total] = embed(p, self.lexicon.grams[self.done :], self.lexicon.own[self.done :]) @ p["w"] + p["b"]
-        self.done = total
+        self.projected[self.done : total] = embed(p, self.lexicon.grams, self.lexicon.own) @ p["w"] + p["b"]
+        # A projected word is known by its row alone.
+        self.lexicon.grams, self.lexicon.own, self.done = [], [], total
         out = np.zeros(len(texts))  # a text without words has no window to be toxic
         if windows:
             np.maximum.at(out, owner, _sigmoid(_logits(p, self.projected, windows).astype(np.float64)))
         return out
 
 
-@lru_cache(1)
-def _scorer(key: int, holder: Holder) -> Scorer:
-    return Scorer(holder.model)
-
-
-class Holder:
-    """Compares by identity, so that the worker's scorer is kept for one model at a time."""
-
-    def __init__(self, model: Model):
-        self.model = model
-
-
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[list[str], list[int]]:
     """Texts and labels of a bounded sample: up to SAMPLE_PER_CLASS documents of each class, drawn by hash among the
     labelled ones outside the held-out quarter, of up to SAMPLE_CHARS characters."""
@@ -325,12 +313,13 @@ def toxicity(
     are not read. The sample is fitted when this is called; scoring shuffles nothing.
     """
     model = train(*sample(docs, labels, id_col, text_col, label_col))
-    score = scorer_of(model)
 
     def make():
+        score = Scorer(model).scores  # of one task: what it keeps goes with it
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score()(texts))], ["id", "score"])
+            return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score(texts))], ["id", "score"])
 
         return step
 
@@ -342,26 +331,18 @@ def toxicity(
     )
 
 
-def scorer_of(model: Model):
-    """A function to be sent to workers that gives the scoring function of ``model``, one per worker process."""
-    holder = Holder(model)
-
-    def get():
-        return _scorer(id(holder), holder).scores
-
-    return get
-
-
 def drop_toxic(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, whole; a text without words is kept."""
-    score = scorer_of(train(*sample(docs, labels, id_col, text_col, label_col)))
+    model = train(*sample(docs, labels, id_col, text_col, label_col))
 
     def make():
+        score = Scorer(model).scores
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            scores = score()([t or "" for t in batch.column(text_col).to_pylist()])
+            scores = score([t or "" for t in batch.column(text_col).to_pylist()])
             return batch.filter(pa.array(scores < threshold))
 
         return step
