@@ -52,12 +52,17 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
+        yield from slices(step, batches)
+        # What a step has kept for its task goes before the worker takes up another operator.
+        getattr(step, "close", lambda: None)()
+
+    def slices(step, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # Slices keep what a step holds at once small, however long the texts are.
             start = 0
             while start < batch.num_rows:
                 rows = min(batch.num_rows - start, 2000)
-                while rows > 1 and batch.slice(start, rows).nbytes > 16 << 20:
+                while rows > 1 and batch.slice(start, rows).nbytes > 8 << 20:
                     rows //= 2
                 out = step(batch.slice(start, rows))
                 if out is not None and out.num_rows:

@@ -68,7 +68,8 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, size: in
     """``id, start, length, ids_crc32, doc_tokens`` of every piece: a document is cut every ``size`` tokens."""
 
     def make():
-        encode = encoder(tokenizer).encode
+        own = encoder(tokenizer)
+        encode = own.encode
         end = np.array([END_ID], "<u4").tobytes()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -87,6 +88,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, size: in
             names = ["id", "start", "length", "ids_crc32", "doc_tokens"]
             return pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(rows, pa.int64())), *longs], names)
 
+        step.close = own.table.after.clear
         return step
 
     kind = docs.schema[id_col].dataType.simpleString()

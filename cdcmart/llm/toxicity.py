@@ -27,7 +27,7 @@ GRAM, GRAM_BUCKETS = 4, 1 << 14
 # Bounds of the training sample: documents per class, their length, and the words with an embedding of their own.
 SAMPLE_PER_CLASS, SAMPLE_CHARS, VOCABULARY, LEAST_DOCS = 1500, 8_000, 20_000, 8
 EPOCHS, BATCH, RATE = 8, 64, 0.02
-KEPT_WORDS = 150_000
+KEPT_WORDS = 100_000
 THRESHOLD = 0.3
 
 Params = dict[str, np.ndarray]
@@ -163,8 +163,8 @@ def _logits(p: Params, projected: np.ndarray, windows: list[np.ndarray]) -> np.n
     """Scores of windows given as rows of ``projected``; windows of like length share a batch."""
     out = np.empty(len(windows), np.float32)
     order = sorted(range(len(windows)), key=lambda i: len(windows[i]))
-    for at in range(0, len(order), 2048):
-        some = order[at : at + 2048]
+    for at in range(0, len(order), 1024):
+        some = order[at : at + 1024]
         idx = _padded([windows[i] for i in some])
         mask = (idx >= 0).astype(np.float32)[:, :, None]
         out[some] = forward(p, projected[idx], mask)[0]
