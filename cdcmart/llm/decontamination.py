@@ -4,7 +4,7 @@ The index stores where training tokens stand: (token, document, position). A pos
 and its neighbour are neighbours in some test item as well (or the token is an item of its own), since no other token
 can be part of a phrase; the pairs come from the tests, so the stored part of the corpus stays small. Each window of a
 test item then intersects its posting lists, shifted by their offsets, from its rarest token on: the rarest list gives
-candidate starts, the next rarest thins them out, the rest confirm them.
+candidate starts, the next rarest thins them out, the rest confirm them. Proximity matches (altered copies) have a result of their own, ``proximity``.
 
 Tokens are compared by 64-bit hash. Everything is DataFrame and SQL expressions.
 """
@@ -108,27 +108,86 @@ def phrase_matches(postings: DataFrame, tests: Tests) -> DataFrame:
     return stored(starts.where("n = 1").union(two.where("n = 2")).union(three), "phrases")
 
 
+def _words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    keyed = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
+    return keyed.select("id", F.xxhash64("text").alias("h"), F.expr(_tokens("text")).alias("tokens"))
+
+
 def near_matches(postings: DataFrame, tests: Tests, slop: int = 3, share: float = 0.8) -> DataFrame:
-    """Proximity matches ``id, h, window, start``: at least ``share`` of the tokens of a window, each within ``slop``
-    positions of where it belongs for the same start, counted where a token stands beside its neighbour of a test.
+    """``near_in`` for the tokens of an index alone; the places that it leaves out match nothing."""
+    at = postings.groupBy(*DOC).agg(F.map_from_entries(F.collect_set(F.struct("pos", "token"))).alias("at"), F.max("pos").alias("last"))
+    return near_in(at.select(*DOC, F.expr("transform(sequence(0, last), p -> try_element_at(at, p))").alias("tokens")), tests, slop, share)
 
-    Starts are those that the rarest token of the window gives."""
-    frequency = postings.groupBy("token").count()
-    terms = tests.windows.select("window", F.size("tokens").alias("n"), F.posexplode("tokens").alias("offset", "token"))
-    rank = F.row_number().over(Window.partitionBy("window").orderBy("count", "offset"))
-    known = terms.join(frequency, "token").withColumn("rank", rank)
-    rows = tests.n_windows * WINDOW
-    first = known.where("rank = 1").select("window", "n", "token", "offset")
-    starts = postings.join(_sent(first, tests.n_windows), "token")
-    starts = starts.select(*DOC, "window", "n", (F.col("pos") - F.col("offset")).alias("start"))
-    wanted = starts.join(_sent(known.select("window", "token", "offset"), rows), "window")
-    wanted = wanted.withColumn("pos", F.explode(F.sequence(F.col("start") + F.col("offset") - slop, F.col("start") + F.col("offset") + slop)))
-    lists = postings.select(*DOC, "token", "pos")
-    hit = wanted.join(lists, [wanted["id"].eqNullSafe(lists["id"])] + [wanted[c] == lists[c] for c in ("h", "token", "pos")]).select(
-        wanted["id"], wanted["h"], "window", "n", "start", "offset"
-    )
-    counted = hit.dropDuplicates().groupBy(*DOC, "window", "n", "start").count()
-    return counted.where(F.col("count") >= F.ceil(F.col("n") * share)).select(*DOC, "window", "start")
+
+def near_in(words: DataFrame, tests: Tests, slop: int = 3, share: float = 0.8) -> DataFrame:
+    """Proximity matches ``id, h, window, start`` in ``id, h, tokens``: at least ``share`` of the tokens of a window, each
+    within ``slop`` positions of where it belongs for the same start. Of the starts around one place, the best counts.
+
+    If m tokens of a window may be missing, one of its rarest m + 1 is there. That one, beside another token of the
+    window, both in the order of the window and at most m + 1 apart in window and text, makes a place to look at. So
+    nothing with up to m tokens replaced is missed; what has none of these pairs is no match.
+    """
+    size = tests.windows.agg(F.max(F.size("tokens"))).first()[0] or 1
+    need = f"cast(ceil(size(tokens) * {share} - 1e-9) as int)"
+    windows = tests.windows.withColumn("need", F.expr(need)).withColumnRenamed("tokens", "w")
+    apart = max(windows.agg(F.max(F.size("w") - F.col("need"))).first()[0] or 0, 0) + 1
+    terms = windows.select("window", F.size("w").alias("n"), "need", F.posexplode("w").alias("offset", "token"))
+    vocabulary = terms.select("token").dropDuplicates()
+    frequency = words.select(F.explode("tokens").alias("token")).join(_sent(vocabulary, tests.n_windows * WINDOW), "token").groupBy("token").count()
+    rarity = Window.partitionBy("window").orderBy(F.coalesce("count", F.lit(0)), "offset")
+    rare = terms.join(frequency, "token", "left").withColumn("rank", F.row_number().over(rarity)).where("rank <= n - need + 1")
+    rare = rare.groupBy("window").agg(F.collect_set("offset").alias("rare"))
+    pair = """flatten(transform(sequence(0, size(w) - 1), i -> transform(
+        filter(sequence(1, size(w) - need + 1), g -> i + g < size(w) and (array_contains(rare, i) or array_contains(rare, i + g))),
+        g -> struct(xxhash64(w[i], w[i + g]) as pair, i as offset))))"""
+    alone = "array(struct(xxhash64(w[0]) as pair, 0 as offset))"
+    anchors = windows.join(rare, "window").select("window", F.explode(F.expr(f"if(size(w) = 1, {alone}, {pair})")).alias("a"))
+    anchors = stored(anchors.select("window", "a.*").dropDuplicates(), "anchors")
+    # Each position with the tokens around it, so that a place is judged where it is found; long texts go in parts.
+    around, part = size - 1 + 2 * slop, 1000
+    parts = f"""transform(sequence(0, (size(tokens) - 1) div {part}), k -> struct(cast(k * {part} as int) as first,
+        slice(tokens, cast(greatest(k * {part} - {around}, 0) as int) + 1, {part + 2 * around}) as c))"""
+    cut = words.where(F.size("tokens") > 0).select(*DOC, F.explode(F.expr(parts)).alias("p")).select(*DOC, "p.*")
+    cut = cut.withColumn("from", F.greatest(F.col("first") - around, F.lit(0)))
+    entry = f"""transform(sequence(first, least(first + {part}, from + size(c)) - 1), p ->
+        struct(p as pos, slice(c, greatest(p - {around}, 0) - from + 1, {2 * around + 1}) as c))"""
+    at = cut.select(*DOC, F.explode(F.expr(entry)).alias("e")).select(*DOC, "e.*").withColumn("from", F.greatest(F.col("pos") - around, F.lit(0)))
+    beside = [f"xxhash64(get(c, pos - from), get(c, pos - from + {g}))" for g in range(1, apart + 1)]
+    keys = F.expr(f"array_distinct(array({', '.join(beside + ['xxhash64(get(c, pos - from))'] * tests.singles)}))")
+    at = at.select(*DOC, "pos", "from", "c", F.explode(keys).alias("pair")).join(_sent(anchors, anchors.count()), "pair")
+    at = at.join(_sent(windows, tests.n_windows), "window").withColumn("d", F.col("pos") - F.col("offset"))
+    at = at.where("size(filter(w, x -> array_contains(c, x))) >= need")
+    # A token that a window has twice must be there twice.
+    twice = "aggregate(array_distinct(w), 0, (n, x) -> n + least(size(filter(w, y -> y = x)), size(filter(c, y -> y = x))))"
+    at = at.where(f"{twice} >= need")
+    low, high = f"greatest(s + i - {slop} - from, 0)", f"s + i + {slop} - from"
+    count = f"size(filter(sequence(0, size(w) - 1), i -> array_contains(slice(c, {low} + 1, greatest({high} + 1 - {low}, 0)), w[i])))"
+    best = f"array_max(transform(sequence(d - {slop}, d + {slop}), s -> struct({count} as n, -abs(s - d) as off, s as start)))"
+    found = at.select(*DOC, "window", "need", F.expr(best).alias("best")).where("best.n >= need")
+    return stored(found.select(*DOC, "window", "best.start").dropDuplicates(), "near")
+
+
+def proximity(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text", size: int = WINDOW,
+) -> DataFrame:
+    """``id_col, n_near, n_near_items, near_items_sha256`` per row of ``docs``: windows with a proximity match, and their
+    items. Exact matches are among them. Rows, keys and NULLs as in ``decontaminate``, whose verdict this leaves alone."""
+    tests = test_windows(benchmark, item_col, item_text_col, size)
+    words = _words(docs, id_col, text_col)
+    found = near_in(words, tests).select(*DOC, "window").dropDuplicates()
+    windows = found.groupBy(*DOC).count()
+    of_items = found.join(_sent(tests.items, tests.n_windows), "window").groupBy(*DOC).agg(F.array_sort(F.collect_set("item")).alias("items"))
+    result = words.select(*DOC)
+    for part in (windows, of_items):
+        part = part.withColumnsRenamed({"id": "other_id", "h": "other_h"})
+        result = result.join(part, result["id"].eqNullSafe(part["other_id"]) & (result["h"] == part["other_h"]), "left").drop("other_id", "other_h")
+    return result.select(
+        F.col("id").alias(id_col), F.coalesce("count", F.lit(0)).alias("n_near"),
+        F.when(F.col("items").isNotNull(), F.size("items")).otherwise(0).cast("bigint").alias("n_near_items"),
+        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("near_items_sha256"),
+    )
 
 
 def decontaminate(

@@ -42,6 +42,10 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.decontaminate(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
 
+def op7_proximity(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.proximity(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
 def op8_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return pages.main_text(read(spark, sf, "pages"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
         op5_toxicity,
         op6_token_counts,
         op7_decontamination,
+        op7_proximity,
         op8_main_text,
         op9_repeats,
         op10_licenses,

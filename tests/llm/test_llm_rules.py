@@ -122,3 +122,39 @@ def test_proximity(spark):
     postings = decontamination.index(words, tests)
     assert {r["id"] for r in decontamination.phrase_matches(postings, tests).collect()} == {1}
     assert {r["id"] for r in decontamination.near_matches(postings, tests, slop=3).collect()} == {1, 2, 3}
+
+
+def test_proximity_with_tokens_replaced(spark):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+
+    def without(*places):
+        return " ".join(f"other{k}" if k in places else w for k, w in enumerate(words))
+
+    lead = "some words before it and "
+    near = {(i, j): without(i, j) for i in range(10) for j in range(i, 10)}
+    far = [without(i, i + 2, i + 4) for i in range(6)] + ["alpha " * 10, " ".join(words[::-1]), "kappa beta " * 6]
+    texts = [" ".join(words), *near.values(), *(lead + t for t in near.values()), " ".join(["x"] * 995 + words), "alpha beta gamma x delta epsilon zeta eta theta y iota kappa", *far]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(None, " ".join(words)), (900, None)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "omega"), (None, "some words")], "item_id bigint, text string")
+    got = {r["doc_id"]: (r["n_near"], r["n_near_items"]) for r in decontamination.proximity(docs, bench).collect()}
+    last = len(texts) - len(far)
+    assert all(got[k] == (1, 1) for k in range(last)), [texts[k] for k in range(last) if got[k] != (1, 1)]
+    assert all(got[k] == (0, 0) for k in range(last, len(texts))) and got[None] == (1, 1) and got[900] == (0, 0)
+    exact = decontamination.decontaminate(docs, bench).where("contaminated").select("doc_id").collect()
+    assert {0, None} <= {r["doc_id"] for r in exact} <= {k for k, v in got.items() if v[0]}
+    tests = decontamination.test_windows(bench, "item_id", "text", 10)
+    keyed = docs.select(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.expr(decontamination._tokens("coalesce(text, '')")).alias("tokens"))
+    by_index = {r["id"] for r in decontamination.near_matches(decontamination.index(keyed, tests), tests).collect()}
+    assert {k for k in range(last) if k < 56 and len(set(list(near)[k - 1])) == 1 or k == 0} <= by_index
+
+
+def test_registered_proximity(spark):
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+    import __spark_entry__ as entry
+
+    exact = {r["doc_id"]: r["n_items"] for r in entry.queries()["op7_decontamination"](spark, "/root/testdata/sf0.001").collect()}
+    near = {r["doc_id"]: r["n_near_items"] for r in entry.queries()["op7_proximity"](spark, "/root/testdata/sf0.001").collect()}
+    assert near.keys() == exact.keys() and all(near[k] >= n for k, n in exact.items()) and any(exact.values())
