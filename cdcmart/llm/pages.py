@@ -2,7 +2,7 @@
 
 Every page scores its containers by the text they hold outside links and boilerplate and votes for the generalised
 tag-class path of the best one. Spark adds the votes by host and path. Each page is then extracted again from its
-best container on the winning path of its host; a page that lacks the path keeps its own best container. So a page
+containers on the winning path of its host, all of them; a page that lacks the path goes by its own best one. So a page
 whose own scores mislead (a short article beside long comments) follows the layout of its site.
 """
 
@@ -155,19 +155,20 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
 
 def scores(elements: list[Element], blocks: list[Block]) -> dict[int, float]:
     """Text outside links that each container holds: all of what stands directly in it or in its paragraphs, half of
-    what its inner containers hold directly. Articles and main parts count half as much again."""
+    what its inner containers hold directly. Articles and main parts count all that they hold, half as much again."""
     found: dict[int, float] = {}
     for block in blocks:
         if elements[block.element].boiler:
             continue
-        weight = float(max(len(block.text) - 2 * block.in_links, 0))
+        whole = weight = float(max(len(block.text) - 2 * block.in_links, 0))
         at = block.element
-        while at > 0 and weight >= 1:
-            if elements[at].tag in CONTAINERS:
-                found[at] = found.get(at, 0.0) + weight * (1.5 if elements[at].tag in ("article", "main") else 1.0)
+        while at > 0 and whole >= 1:
+            if elements[at].tag in ("article", "main"):
+                found[at] = found.get(at, 0.0) + whole * 1.5
+                break
+            if elements[at].tag in CONTAINERS and weight >= 1:
+                found[at] = found.get(at, 0.0) + weight
                 weight /= 2
-                if elements[at].tag in ("article", "main"):
-                    break
             at = elements[at].parent
     return found
 
@@ -176,12 +177,11 @@ def best(found: dict[int, float]) -> int:
     return max(found, key=lambda e: (found[e], -e)) if found else 0
 
 
-def text_of(elements: list[Element], blocks: list[Block], container: int) -> str:
-    """Blocks inside ``container`` (0: the page) outside boilerplate, one a line."""
-    inside = [False] * len(elements)
-    inside[container] = True
-    for k in range(container + 1, len(elements)):
-        inside[k] = inside[elements[k].parent]
+def text_of(elements: list[Element], blocks: list[Block], containers: set[int]) -> str:
+    """Blocks inside ``containers`` (0: the page) outside boilerplate, in page order, one a line."""
+    inside = [k in containers for k in range(len(elements))]
+    for k in range(1, len(elements)):
+        inside[k] = inside[k] or inside[elements[k].parent]
     return "\n".join(b.text for b in blocks if inside[b.element] and not elements[b.element].boiler)
 
 
@@ -195,8 +195,13 @@ def vote(page: str) -> tuple[str, float]:
 def extract(page: str, path: str | None) -> str:
     elements, blocks = parse(page)
     found = scores(elements, blocks)
-    on_path = {e: v for e, v in found.items() if elements[e].path == path}
-    return text_of(elements, blocks, best(on_path or found))
+    if not any(elements[e].path == path for e in found):
+        path = elements[best(found)].path
+    parts = {e for e in found if elements[e].path == path}
+    # Sections beside a part belong to the same text, whatever their classes.
+    beside = {elements[e].parent for e in parts if elements[e].tag == "section"}
+    parts |= {e for e in found if elements[e].tag == "section" and elements[e].parent in beside}
+    return text_of(elements, blocks, parts or {0})
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

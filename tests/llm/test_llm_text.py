@@ -230,3 +230,16 @@ def test_sample_pages(spark):
 
 def test_no_pages(spark):
     assert pages.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
+def test_nothing_of_an_article_is_lost():
+    body, lead = "Body words here. " * 40, "A short lead."
+    for inner in ('div class="entry-content"', "section", "blockquote"):
+        page = f"<body><article><h1>Title</h1><p>{lead}</p><{inner}><p>{body}</p></{inner.split()[0]}></article><div><p>Elsewhere.</p></div></body>"
+        assert pages.extract(page, pages.vote(page)[0]) == f"Title\n{lead}\n{body.strip()}"
+    sections = [f"Part {k} says. " * n for k, n in enumerate((3, 50, 1, 9))]
+    for around in ("<article>{}</article>", "<main><div><div>{}</div></div></main>", "{}"):
+        for name in ("", " class=part{}"):
+            inner = "".join(f"<section{name.format('abcd'[k])}><p>{x}</p></section>" for k, x in enumerate(sections))
+            page = f"<body><nav><p>Menu</p></nav>{around.format(inner)}<footer><p>End</p></footer></body>"
+            assert pages.extract(page, pages.vote(page)[0]) == "\n".join(x.strip() for x in sections) == pages.extract(page, None)
