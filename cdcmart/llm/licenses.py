@@ -2,8 +2,8 @@
 
 Sparse word n-grams feed a softmax regression over licence families and an unknown class. It is trained here on the
 templates, on damaged copies of them, and on ordinary sentences that use the same words. A temperature fitted on other
-damaged copies calibrates its probabilities. A prediction counts only if the paragraph also shares enough word pairs
-with a template of the predicted family.
+damaged copies calibrates its probabilities. Every line is looked at whole and in overlapping windows of the lengths of the
+templates. A prediction counts only if the window also shares enough word pairs with a template of the predicted family.
 """
 
 from __future__ import annotations
@@ -80,7 +80,12 @@ OTHER = (
     "They discussed whether the license should be renewed.", "The terms of the agreement were not published.", "Under the law all men have rights.",
 )
 # A paragraph without any of these cannot be a notice; every template has one.
-STEMS = ("licen", "copyright", "rights reserved", "redistribut", "permission", "public domain", "gpl")
+STEMS = (
+    "licen", "copyright", "rights reserved", "redistribut", "permission", "public domain", "gpl", "creative commons", "cc by", "cc-by", "cc0",
+    "apache", "mozilla public", "bsd", "free software", "related rights",
+)
+# Words of the windows that a line is cut into, as long as the examples of the training.
+LENGTHS = (4, 8, 16, 32, 48)
 WORD = re.compile(r"[a-z0-9]+(?:[.][0-9]+)*")
 LEAST_PROBABILITY, LEAST_SHARED = 0.5, 0.6
 SEED, COPIES, ROUNDS, PENALTY = 5, 16, 80, 1e-4
@@ -175,35 +180,80 @@ def confirmed(words: list[str], family: str) -> bool:
     return any(len(own & t) >= LEAST_SHARED * min(len(own), len(t)) for t in template_pairs(family))
 
 
+def shared_span(words: list[str], family: str) -> tuple[int, int, int]:
+    """How many word pairs are shared with the closest template of ``family``, and the shortest span that holds them."""
+    own = list(zip(words, words[1:])) or [tuple(words)]
+    template = max(template_pairs(family), key=lambda t: len(t.intersection(own)))
+    last: dict[tuple[str, ...], int] = {}
+    spans = []
+    for i, pair in enumerate(own):
+        if pair in template:
+            last[pair] = i
+            spans.append((-len(last), i + 2 - min(last.values()), min(last.values()), i + 2))
+    return (-min(spans)[0], *min(spans)[2:]) if spans else (0, 0, len(words))
+
+
+@cache
+def known_words() -> frozenset[str]:
+    return frozenset(w for notices in TEMPLATES.values() for t in notices for w in words_of(t))
+
+
+def windows_of(words: list[str]) -> list[tuple[int, int]]:
+    """The line, and overlapping windows of it around words of templates: a notice stands in one of about its length."""
+    n = len(words)
+    spans = {(0, n)}
+    known = known_words()
+    marks = np.cumsum([0] + [w in known for w in words])
+    for size in LENGTHS:
+        if size < n:
+            starts = np.minimum(np.arange(0, n - size + size // 4, max(size // 4, 1)), n - size)
+            # A window that holds less than two words of templates shares no pair with one.
+            spans.update((int(i), int(i) + size) for i in starts[marks[starts + size] - marks[starts] >= 2])
+    return sorted(spans)
+
+
 def paragraphs(text: str) -> list[str]:
     """Lines that hold a word; notices of several lines are told by any of them."""
     return [p for p in text.split("\n") if p.strip()]
 
 
 def classify(texts: list[str], m: Model) -> list[list[tuple[int, str, float]]]:
-    """(paragraph number, family, probability) of the notices of each text."""
-    where, rows = [], []
+    """(paragraph number, family, probability) of the notices of each text, each family once a paragraph."""
+    out: list[list[tuple[int, str, float]]] = [[] for _ in texts]
     for k, text in enumerate(texts):
         lower = text.lower()
         if not any(s in lower for s in STEMS):
             continue
         for i, p in enumerate(paragraphs(lower)):
             if any(s in p for s in STEMS):
-                where.append((k, i))
-                rows.append(words_of(p))
-    out: list[list[tuple[int, str, float]]] = [[] for _ in texts]
-    if rows:
-        chance = _softmax(m.logits(rows))
-        for (k, i), words, p in zip(where, rows, chance):
-            family = m.classes[int(p.argmax())]
-            if family != UNKNOWN and p.max() >= LEAST_PROBABILITY and confirmed(words, family):
-                out[k].append((i, family, float(p.max())))
+                out[k] += [(i, f, c) for f, c in notices_in(words_of(p), m)]
     return out
 
 
+def notices_in(words: list[str], m: Model) -> list[tuple[str, float]]:
+    """Families and probabilities of a line. Where windows overlap, the one that shares most with a template counts, so
+    that a part of a notice is not told as another one."""
+    spans = windows_of(words)
+    candidates = []
+    for at in range(0, len(spans), 1000):
+        some = spans[at : at + 1000]
+        for (start, end), p in zip(some, _softmax(m.logits([words[s:e] for s, e in some]))):
+            family, part = m.classes[int(p.argmax())], words[start:end]
+            if family != UNKNOWN and p.max() >= LEAST_PROBABILITY and confirmed(part, family):
+                shared, first, last = shared_span(part, family)
+                candidates.append((-shared, -float(p.max()), start + first, start + last, family))
+    taken: list[tuple[int, int]] = []
+    found: dict[str, float] = {}
+    for _, p, first, last, family in sorted(candidates):
+        if all(last <= s or first >= e for s, e in taken):
+            taken.append((first, last))
+            found[family] = max(found.get(family, 0.0), -p)
+    return sorted(found.items())
+
+
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_paragraphs, n_notices, families, notices`` per row of ``docs``: families sorted and comma-joined,
-    notices as ``paragraph:family``, comma-joined.
+    notices as ``paragraph:family``, comma-joined; a paragraph has one of each of its families.
 
     A NULL text counts as empty. Repeated rows and NULL keys give a row each; other columns are not read. Nothing is
     shuffled.

@@ -243,3 +243,20 @@ def test_nothing_of_an_article_is_lost():
             inner = "".join(f"<section{name.format('abcd'[k])}><p>{x}</p></section>" for k, x in enumerate(sections))
             page = f"<body><nav><p>Menu</p></nav>{around.format(inner)}<footer><p>End</p></footer></body>"
             assert pages.extract(page, pages.vote(page)[0]) == "\n".join(x.strip() for x in sections) == pages.extract(page, None)
+
+
+def test_notices_inside_long_lines():
+    m = licenses.model()
+    fill = "the river ran past old houses while children played near trees and nobody spoke about how long winter had been".split()
+    rng = random.Random(6)
+    prose = lambda n: " ".join(rng.choice(fill) for _ in range(n))
+    assert licenses.classify([prose(500) + " license " + prose(20)], m) == [[]]
+    for family, notices in licenses.TEMPLATES.items():
+        for notice in notices:
+            for before in (0, 37, 250, 499):
+                line = f"{prose(before)} {notice} {prose(500 - before)}"
+                assert [f for _, f, _ in licenses.classify([line], m)[0]] == [family], (family, notice, before)
+    two = "Licensed under the MIT license. " + "{} This work is licensed under the GNU General Public License, version 3."
+    for between in ("", prose(30), prose(300)):
+        assert [f for _, f, _ in licenses.classify([two.format(between)], m)[0]] == ["gpl", "mit"]
+    assert [f for _, f, _ in licenses.classify(["CC BY 4.0"], m)[0]] == ["cc-by"]
