@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcmart.llm import decontamination, divergence, licenses, packing, pages, pii, simhash, suffix_dedup, token_counts, toxicity
+from cdcmart.llm import (
+    alignment,
+    decontamination,
+    divergence,
+    licenses,
+    packing,
+    pages,
+    pii,
+    prefix_trie,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    window_dedup,
+)
 from cdcmart.llm.common import read
 from cdcmart.llm.oracle import ORACLE  # noqa: F401
 
@@ -58,6 +72,18 @@ def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.license_scan(read(spark, sf, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(read(spark, sf, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf, "conversations"))
+
+
+def op13_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return window_dedup.remove_repeated_windows(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -72,5 +98,8 @@ QUERIES: dict[str, Query] = {
         op8_main_text,
         op9_repeats,
         op10_licenses,
+        op11_alignment,
+        op12_prefix_trie,
+        op13_windows,
     )
 }

@@ -19,6 +19,11 @@ def with_clashes(df):
     return df.withColumns({c: F.lit(f"other {c}") for c in CLASHING})
 
 
+@pytest.fixture(scope="session")
+def with_clash():
+    return with_clashes
+
+
 @pytest.fixture(scope="session")
 def documents(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", ["op1_quality", "op7_decontamination"])
