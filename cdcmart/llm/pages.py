@@ -11,9 +11,11 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,40 +24,58 @@ from cdcmart.llm.common import map_batches, stored
 # Most hosts whose winning path is sent to all executors; more are joined by shuffle.
 BROADCAST_HOSTS = 500_000
 
-RAW = "script|style|noscript|template|textarea|iframe|svg|title|head"
+# Elements whose content is no text of the page. An open script or style goes on to the end, the others do not.
+RAW = "script|style|noscript|template|textarea|iframe|svg|title"
+ATTRIBUTES = r"""(?:[^\s"'>=]++|=\s*+(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*+)?|["']|\s++)*+"""
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z",
+    rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:{ATTRIBUTES})>.*?</\1\s*>|<(?:script|style)\b(?:{ATTRIBUTES})>.*\Z"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({ATTRIBUTES})>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z",
     re.S | re.I,
 )
-CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 SPACE = re.compile(r"\s+")
 DIGITS = re.compile(r"[0-9]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 "
-    "h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
+    "h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = frozenset("article main section div body td blockquote html".split())
+ARTICLES = frozenset(("article", "main"))
 # Start tags that end an open element of their own kind.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-BOILER_TAGS = frozenset("nav footer aside form select button dialog menu label input".split())
-BOILER_WORDS = frozenset(
+# Controls hold a few words and no blocks: the next block ends one that was left open.
+CONTROLS = ("button", "select", "label")
+BOILER_TAGS = frozenset(("nav", "footer", "aside", "dialog", "menu", *CONTROLS))
+COMMENT_WORDS = frozenset("comment comments disqus reply replies discussion".split())
+BOILER_WORDS = COMMENT_WORDS | frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo banner cookie cookies consent notice notices alert popup modal "
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget related recommended share "
-    "sharing social comment comments disqus reply replies discussion newsletter subscribe subscription signup login search "
+    "sharing social newsletter subscribe subscription signup login search "
     "pagination pager toolbar skip complementary contentinfo cookiebar cookiebanner adbanner teaser teasers".split()
 )
-NOT_OWN = ("has-", "has_", "with-", "without-", "no-", "is-", "layout-")
+# Words around a name of boilerplate that say what an element has, lacks or belongs to, not what it is.
+BEFORE = frozenset("has with without no is layout category tag type format in".split())
+BEHIND = frozenset("open opened closed enabled disabled on off allowed".split())
 # The header of an article belongs to it.
 HEADERS, OWN_HEADER = frozenset(("header", "masthead")), frozenset(("article", "entry", "post", "content", "story"))
 
+# Why an element may be boilerplate: for its tag; by a name of its own, or of comments; by a word in a longer name; as a
+# form or a header, which some pages put around everything.
+TAG, COMMENTS, NAME, WORD, FORM = "tag", "comments", "name", "word", "form"
+
 
 class Element(NamedTuple):
+    """``path`` is a hash of the generalised tags and classes down to the element. ``container`` is the nearest
+    container, ``article`` the nearest article or main part, counted from the element itself; 0 if there is none."""
+
     parent: int
     tag: str
     path: str
-    boiler: bool
+    doubt: str
+    container: int
+    article: int
 
 
 class Block(NamedTuple):
@@ -64,24 +84,50 @@ class Block(NamedTuple):
     in_links: int
 
 
-def _words_of(attributes: str) -> set[str]:
-    """Words of the class, id and role names; names that say what the rest of the page has or lacks do not count."""
-    names = [n for m in CLASS.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").lower().split()]
-    return {w for n in names if not n.startswith(NOT_OWN) for w in re.split(r"[^a-z0-9]+", n) if w}
+def _names(attributes: str) -> list[str]:
+    return [n for m in NAMES.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").lower().split()]
+
+
+def _doubt(tag: str, attributes: str, in_article: bool) -> str:
+    """Why an element may be boilerplate, "" if nothing says so."""
+    if tag in BOILER_TAGS:
+        return TAG
+    if tag == "form" or (tag == "header" and not in_article):
+        return FORM
+    if tag in ("body", "html", "main"):
+        return ""
+    names = _names(attributes)
+    split = [[w for w in re.split(r"[^a-z0-9]+", n) if w] for n in names]
+    own = any(w in OWN_HEADER for words in split for w in words)
+    found = ""
+    for name, words in zip(names, split):
+        for k, word in enumerate(words):
+            if word not in BOILER_WORDS or (own and word in HEADERS):
+                continue
+            if (k and words[k - 1] in BEFORE) or (k + 1 < len(words) and words[k + 1] in BEHIND):
+                continue
+            if len(words) == 1:
+                return COMMENTS if word in COMMENT_WORDS else NAME
+            # An article may be called after what belongs to it.
+            if tag != "article":
+                found = COMMENTS if word in COMMENT_WORDS else found or WORD
+    return found
 
 
 def _classes(attributes: str) -> str:
     """Classes with numbers generalised, as part of a path."""
-    m = re.search(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", attributes, re.I)
+    m = CLASS.search(attributes)
     return "".join(f".{DIGITS.sub('0', c)}" for c in sorted((m[1] or m[2] or m[3] or "").lower().split())) if m else ""
 
 
 def parse(page: str) -> tuple[list[Element], list[Block]]:
     """Elements with their generalised paths, and the blocks of text in page order. Open elements are ended as
-    browsers do in the usual cases: a block ends an open paragraph, an end tag ends what it encloses."""
-    elements = [Element(-1, "", "", False)]
+    browsers do in the usual cases: a block ends an open paragraph or control, an end tag ends what it encloses. Time
+    and memory grow with the page, however deep it is."""
+    elements = [Element(-1, "", "", "", 0, 0)]
     blocks: list[Block] = []
     stack = [0]
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked, in_link = 0, 0
 
@@ -97,10 +143,13 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
 
     def close(tags: tuple[str, ...], within: frozenset[str]) -> None:
         """End the nearest open element of ``tags`` unless one of ``within`` lies nearer."""
+        if not any(opened[t] for t in tags):
+            return
         for k in range(len(stack) - 1, 0, -1):
             tag = elements[stack[k]].tag
             if tag in tags:
                 flush()
+                opened.subtract(elements[e].tag for e in stack[k:])
                 del stack[k:]
                 return
             if tag in within:
@@ -121,55 +170,88 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
         if tag is None:
             continue
         tag = tag.lower()
+        known = tag in BLOCKS or tag in BOILER_TAGS
         if m[2]:
             if tag == "a":
                 in_link = 0
-            if tag in BLOCKS:
-                close((tag,), frozenset())
+            if known:
+                # Controls are ended by their own end tags only from inside.
+                close((tag,), CONTAINERS if tag in CONTROLS else frozenset())
             continue
         if tag == "br":
             text.append(" ")
         if tag == "a":
             in_link = 1
-        if tag not in BLOCKS and tag not in BOILER_TAGS:
+        if not known:
             continue
         flush()
         if tag in BLOCKS:
+            close(CONTROLS, CONTAINERS)
             close(("p",), CONTAINERS)
         if tag in CLOSES:
             close(CLOSES[tag], frozenset(("ul", "ol", "dl", "table")))
         if tag in VOID:
             continue
-        up = elements[stack[-1]]
-        words = _words_of(m[4])
-        if not words.isdisjoint(OWN_HEADER):
-            words -= HEADERS
-        inside = any(elements[s].tag in ("article", "main") for s in stack)
-        boiler = up.boiler or tag in BOILER_TAGS or (tag == "header" and not inside) or (tag not in ("body", "html", "main") and not BOILER_WORDS.isdisjoint(words))
-        elements.append(Element(stack[-1], tag, f"{up.path}/{tag}{_classes(m[4])}", boiler))
-        stack.append(len(elements) - 1)
+        up, here = elements[stack[-1]], len(elements)
+        path = xxhash.xxh3_64_hexdigest(f"{up.path}/{tag}{_classes(m[4])}")
+        container = here if tag in CONTAINERS else up.container
+        article = here if tag in ARTICLES else up.article
+        elements.append(Element(stack[-1], tag, path, _doubt(tag, m[4], up.article > 0), container, article))
+        stack.append(here)
+        opened[tag] += 1
     said(page[at:])
     flush()
     return elements, blocks
 
 
-def scores(elements: list[Element], blocks: list[Block]) -> dict[int, float]:
+def boilerplate(elements: list[Element], blocks: list[Block], sure_only: bool = False) -> list[bool]:
+    """Which elements are boilerplate, or lie in some. A name or a form counts as far as the element does not hold the
+    page itself: more than half of the text outside links, and a heading, an article or a main part too where the name
+    is its own. Comments are comments, however long. With ``sure_only``, forms and words in longer names do not count."""
+    n = len(elements)
+    held, main = [0] * n, [False] * n
+    for b in blocks:
+        held[b.element] += max(len(b.text) - 2 * b.in_links, 0)
+    dropped = [0] * n
+    for k in range(n - 1, 0, -1):
+        e = elements[k]
+        if e.doubt == TAG:
+            dropped[0] += held[k]
+            continue
+        held[e.parent] += held[k]
+        main[e.parent] = main[e.parent] or main[k] or e.tag in ("h1", "article", "main")
+    out = [False] * n
+    for k in range(1, n):
+        e = elements[k]
+        most = 2 * held[k] > held[0]
+        if e.doubt == TAG:
+            own = True
+        elif e.doubt == COMMENTS:
+            own = True
+        elif e.doubt == NAME:
+            own = not (most and main[k])
+        else:
+            own = not sure_only and e.doubt in (WORD, FORM) and not most
+        out[k] = own or out[e.parent]
+    return out
+
+
+def scores(elements: list[Element], blocks: list[Block], boiler: list[bool]) -> dict[int, float]:
     """Text outside links that each container holds: all of what stands directly in it or in its paragraphs, half of
     what its inner containers hold directly. Articles and main parts count all that they hold, half as much again."""
     found: dict[int, float] = {}
     for block in blocks:
-        if elements[block.element].boiler:
-            continue
+        e = elements[block.element]
         whole = weight = float(max(len(block.text) - 2 * block.in_links, 0))
-        at = block.element
-        while at > 0 and whole >= 1:
-            if elements[at].tag in ("article", "main"):
-                found[at] = found.get(at, 0.0) + whole * 1.5
-                break
-            if elements[at].tag in CONTAINERS and weight >= 1:
-                found[at] = found.get(at, 0.0) + weight
-                weight /= 2
-            at = elements[at].parent
+        if boiler[block.element] or whole < 1:
+            continue
+        if e.article:
+            found[e.article] = found.get(e.article, 0.0) + whole * 1.5
+        at = e.container
+        while at > 0 and at != e.article and weight >= 1:
+            found[at] = found.get(at, 0.0) + weight
+            weight /= 2
+            at = elements[elements[at].parent].container
     return found
 
 
@@ -177,31 +259,37 @@ def best(found: dict[int, float]) -> int:
     return max(found, key=lambda e: (found[e], -e)) if found else 0
 
 
-def text_of(elements: list[Element], blocks: list[Block], containers: set[int]) -> str:
+def text_of(elements: list[Element], blocks: list[Block], boiler: list[bool], containers: set[int]) -> str:
     """Blocks inside ``containers`` (0: the page) outside boilerplate, in page order, one a line."""
     inside = [k in containers for k in range(len(elements))]
     for k in range(1, len(elements)):
         inside[k] = inside[k] or inside[elements[k].parent]
-    return "\n".join(b.text for b in blocks if inside[b.element] and not elements[b.element].boiler)
+    return "\n".join(b.text for b in blocks if inside[b.element] and not boiler[b.element])
 
 
 def vote(page: str) -> tuple[str, float]:
     elements, blocks = parse(page)
-    found = scores(elements, blocks)
+    found = scores(elements, blocks, boilerplate(elements, blocks))
     top = best(found)
     return elements[top].path, math.log1p(found.get(top, 0.0))
 
 
 def extract(page: str, path: str | None) -> str:
     elements, blocks = parse(page)
-    found = scores(elements, blocks)
-    if not any(elements[e].path == path for e in found):
-        path = elements[best(found)].path
-    parts = {e for e in found if elements[e].path == path}
-    # Sections beside a part belong to the same text, whatever their classes.
-    beside = {elements[e].parent for e in parts if elements[e].tag == "section"}
-    parts |= {e for e in found if elements[e].tag == "section" and elements[e].parent in beside}
-    return text_of(elements, blocks, parts or {0})
+    for sure_only in (False, True):
+        boiler = boilerplate(elements, blocks, sure_only)
+        found = scores(elements, blocks, boiler)
+        if not any(elements[e].path == path for e in found):
+            path = elements[best(found)].path
+        parts = {e for e in found if elements[e].path == path}
+        # Sections and articles beside a part belong to the same text, whatever their classes.
+        beside = {(elements[e].parent, elements[e].tag) for e in parts if elements[e].tag in ("section", "article")}
+        parts |= {e for e in found if (elements[e].parent, elements[e].tag) in beside}
+        text = text_of(elements, blocks, boiler, parts or {0})
+        # A page that calls everything after what lies beside it is taken again by tags and plain names.
+        if text:
+            break
+    return text
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -218,6 +219,53 @@ def test_names_of_what_a_page_has_are_no_boilerplate():
     assert pages.extract(page, None) == "Title\nSome words of text."
 
 
+P = "<p>A paragraph of some words, long enough to count.</p>"
+COMMENT = "<p>A reader says something about that.</p>"
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<article><h1>T</h1><button>Share</button>{P}{P}</article>",
+        "<article><button>Share<h1>T</h1>{P}{P}</article>",
+        "<article><label>Name</label><h1>T</h1>{P}{P}</article>",
+        "<article><label>Name<h1>T</h1>{P}{P}</article>",
+        "<article><h1>T</h1>{P}<select><option>a<option>b</select>{P}</article>",
+        "<article><h1>T</h1>{P}<menu><li>a<li>b</menu>{P}</article>",
+        "<form id='aspnetForm'><input type=hidden><div><h1>T</h1>{P}{P}</div></form>",
+        "<div><h1>T</h1>{P}{P}</div><form><p>Your name</p><input></form>",
+        '<div class="page-with-sidebar"><h1>T</h1>{P}{P}</div>',
+        '<div class="site sidebar-right"><h1>T</h1>{P}{P}<div class="sidebar"><p>Other words.</p></div></div>',
+        '<div class="site sidebar"><main><h1>T</h1>{P}{P}</main></div>',
+        '<article class="post comments-open"><h1>T</h1>{P}{P}</article>',
+        '<article class="post category-search"><h1>T</h1>{P}{P}</article>',
+        "<article><h1>T</h1>{P}<p data-x=it's class=y>A paragraph of some words, long enough to count.</p></article>",
+        "<article title='a > b' data-x=o'clock><h1>T</h1>{P}{P}</article><p>It's over.</p>",
+        '<article class="a"><h1>T</h1>{P}</article><article class="b">{P}</article>',
+        "<article><h1>T</h1>{P}{P}</article><div class='comments'>" + COMMENT * 40 + "</div>",
+        "<div class=text><h1>T</h1>{P}{P}</div><div class='comment-list'>" + COMMENT * 40 + "</div>",
+        "<article><h1>T</h1>{P}{P}<section id=comments>" + f"<article class=comment>{COMMENT}</article>" * 20 + "</section></article>",
+        "<header><div class=top><h1>T</h1>{P}{P}</div></header>",
+    ],
+)
+def test_ordinary_pages_keep_their_article(body):
+    for head in ("<head><title>X</title></head>", "<head><meta charset=utf-8><title>X</title><style>p{}</style>"):
+        page = f"<html>{head}<body>{body.replace('{P}', P)}</body></html>"
+        text = "T\nA paragraph of some words, long enough to count.\nA paragraph of some words, long enough to count."
+        assert pages.extract(page, pages.vote(page)[0]) == pages.extract(page, None) == text
+
+
+@pytest.mark.parametrize("open_tags", ['<div class="row">', '<div class="row"><p>x</section>', "<ul><li><b>", "<table><tr><td>", "<a b='", '<p x="'])
+def test_deep_pages_take_linear_time(open_tags):
+    def seconds(n):
+        page = f"<body><article><h1>T</h1>{P}</article>" + open_tags * (n // len(open_tags))
+        start = time.process_time()
+        assert pages.extract(page, pages.vote(page)[0]).startswith("T\nA paragraph")
+        return time.process_time() - start
+
+    assert seconds(400_000) < 6 * max(seconds(100_000), 0.1)
+
+
 def test_sample_pages(spark):
     pages_table = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r["page_id"]: r["text"] for r in pages.main_text(pages_table).collect()}
