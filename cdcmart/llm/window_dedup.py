@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from cdcmart.llm.common import map_batches, picked, ship, stored
 
 WINDOW, GRAM = 50, 8
-# Most different strings of a minimiser that are sorted together, a few hundred bytes each.
-LARGE_BUCKET = 512
+# Most different strings of a minimiser that are sorted together: some 80,000 windows, of a few hundred bytes each.
+LARGE_BUCKET = 2_000
 # Longer words travel as a tab, which no word holds, and their SHA-256.
 LONG_WORD = 64
 U = np.uint64
@@ -232,10 +232,16 @@ def _by_window(strings: DataFrame, kind: str, window: int) -> DataFrame:
         return step
 
     rows = stored(map_batches(strings.select("string_id", "string", "least_id"), make, f"string_id binary, least_id {kind}, place bigint, window binary"), "windows")
-    # Written first, so that the join below can split a window that very many strings hold.
-    least = stored(rows.groupBy("window").agg(F.min("least_id").alias("least")), "least")
-    placed = rows.join(least, "window").groupBy("string_id").agg(F.sort_array(F.collect_list(F.struct("place", "least"))).alias("places"))
-    return placed.select("string_id", F.col("places.least").alias("least"))
+    # Only windows of strings with different ids say anything. They are written first, so that the join can split a
+    # window that very many strings hold.
+    least = rows.groupBy("window").agg(F.min("least_id").alias("least"), F.max("least_id").alias("most"))
+    shared = stored(least.where("least < most").select("window", "least"), "windows_shared")
+    lower = rows.join(shared, "window").where(F.col("least") < F.col("least_id"))
+    places = stored(lower.groupBy("string_id").agg(F.map_from_entries(F.collect_list(F.struct("place", "least"))).alias("lower")), "windows_lower")
+    # Windows of a string, counted by the spaces in it; where no lesser id is known, its own least one holds.
+    n = F.length(F.col("string")) - F.length(F.replace(F.col("string").cast("string"), F.lit(" "), F.lit("")).cast("binary")) + 2 - window
+    every = F.transform(F.sequence(F.lit(0).cast("bigint"), n.cast("bigint") - 1), lambda i: F.coalesce(F.try_element_at("lower", i), F.col("least_id")))
+    return strings.join(places, "string_id", "left").select("string_id", every.alias("least"))
 
 
 def _removed(docs: DataFrame, kind: str, window: int) -> DataFrame:
