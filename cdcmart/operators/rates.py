@@ -38,63 +38,47 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-# Digits of an amount and a rate in groups of nine, least group first: (start, length) in their text without the point.
-_GROUPS = [(30, 9), (21, 9), (12, 9), (3, 9), (1, 2)]
-_MONEY_TEXT = "S" + "0" * 29 + "D" + "0" * 9
-_RATE_TEXT = "S" + "0" * 20 + "D" + "0" * 18
-
-
-def _groups(value: Column, text: str) -> Column:
-    # From signed text: taking the absolute value of a decimal keeps only 34 digits.
-    digits = F.translate(F.to_char(value, F.lit(text)), "+-. ", "")
-    return F.array(*[F.substring(digits, start, length).cast("bigint") for start, length in _GROUPS])
+def _whole_and_rest(value: Column, unit: int, whole: str, rest: str) -> tuple[Column, Column]:
+    """``value`` as a whole number of ``unit`` and a rest, both with the sign of ``value``. A remainder is exact; what
+    is left is a multiple of the unit, so the decimal places that its type may lose are all zero."""
+    part = (value % F.lit(unit).cast("decimal(10,0)")).cast(rest)
+    share = F.lit(f"{1 / unit:.9f}").cast("decimal(10,9)") if unit > 1 else F.lit(1).cast("decimal(1,0)")
+    return ((value - part) * share).cast(whole), part
 
 
 def _wide_product(amount: Column, rate: Column) -> Column:
-    """Product over the full range of both types, by long multiplication in groups of nine digits.
+    """Product over the full range of both types, from partial products that are all exact in 38 digits.
 
-    Sums of at most five products of two groups stay within a long. The product is counted in units of 10^-27, so its
-    two lowest groups lie behind the last place of money; they are rounded half away from zero.
+    The amount is a * 10^9 + b + c, with b whole and c below one, the rate p + q, with q below one; and q * 10^9 is
+    u + v with u whole. The product then is (a*p) * 10^9 + a*u + b*p + a*v + c*p + (b + c)*q, and only the last term
+    reaches behind the last place of money. Whole numbers and fractions are summed apart and put together as text, as
+    a sum of decimals reserves a digit for a carry and would give up the last place for it. No term has a sign of its
+    own, so none is larger than the product.
     """
-    base, zero = F.lit(10**9), F.lit(0).cast("bigint")
-
-    def digits_of(g: Column) -> Column:
-        def column_sum(k: Column) -> Column:
-            def term(t: Column, i: Column) -> Column:
-                other = k - i
-                inside = other.between(0, 4)
-                return t + F.when(inside, g["a"][i] * g["b"][F.when(inside, other).otherwise(0)]).otherwise(zero)
-
-            return F.aggregate(F.sequence(F.lit(0), F.lit(4)), zero, term)
-
-        def carried(state: Column, k: Column) -> Column:
-            def split(t: Column) -> Column:
-                half = F.when((k == 1) & (t % base >= 500_000_000), 1).otherwise(0)
-                carry = F.call_function("div", t, base) + half
-                return F.struct(carry.alias("carry"), F.array_append(state["digits"], t % base).alias("digits"))
-
-            return F.transform(F.array(state["carry"] + column_sum(k)), split)[0]
-
-        start = F.struct(zero.alias("carry"), F.array().cast("array<bigint>").alias("digits"))
-        return F.aggregate(F.sequence(F.lit(0), F.lit(8)), start, carried)["digits"]
+    a, low = _whole_and_rest(amount, 10**9, "decimal(20,0)", "decimal(18,9)")
+    b, c = _whole_and_rest(low, 1, "decimal(9,0)", "decimal(9,9)")
+    p, q = _whole_and_rest(rate, 1, "decimal(20,0)", "decimal(18,18)")
+    u, v = _whole_and_rest(q * F.lit(10**9).cast("decimal(10,0)"), 1, "decimal(9,0)", "decimal(9,9)")
 
-    def money(d: Column) -> Column:
-        text = F.concat(*[F.lpad(d[k].cast("string"), 9, "0") for k in (6, 5, 4, 3, 2)])
-        # The sign is set in the text, as negating loses digits, too.
-        sign = F.when((amount < 0) != (rate < 0), "-").otherwise("")
-        text = F.concat(sign, F.substring(text, 8, 29), F.lit("."), F.substring(text, 37, 9))
-        failed = F.raise_error(F.concat(F.lit("amount in USD too large: "), amount.cast("string"), F.lit(" at "), rate.cast("string")))
-        return F.when((d[6] >= 100) | (d[7] > 0) | (d[8] > 0), failed.cast(NUMERIC)).otherwise(text.cast(NUMERIC))
+    # Each fraction has at most 21 digits before the point, so the next sum of wholes takes up its whole part.
+    fraction = a * v + c * p + (low * q).cast("decimal(19,9)")
+    carry, rest = _whole_and_rest(fraction, 1, "decimal(23,0)", "decimal(9,9)")
+    high = F.try_multiply(a, p).try_cast("decimal(20,0)") * F.lit(10**9).cast("decimal(10,0)")
+    whole = (high + a * u + b * p + carry).try_cast("decimal(29,0)")
 
-    groups = F.struct(_groups(amount, _MONEY_TEXT).alias("a"), _groups(rate, _RATE_TEXT).alias("b"))
-    return F.transform(F.transform(F.array(groups), digits_of), money)[0]
+    negative = (whole < 0) | (rest < 0)
+    digits = F.replace(whole.cast("string"), F.lit("-"), F.lit(""))
+    places = F.lpad(F.replace((rest * F.lit(10**9).cast("decimal(10,0)")).cast("bigint").cast("string"), F.lit("-"), F.lit("")), 9, "0")
+    product = F.concat(F.when(negative, "-").otherwise(""), digits, F.lit("."), places).cast(NUMERIC)
+    failed = F.raise_error(F.concat(F.lit("amount in USD too large: "), amount.cast("string"), F.lit(" at "), rate.cast("string")))
+    return F.when(whole.isNull(), failed.cast(NUMERIC)).otherwise(product)
 
 
 def money_times_rate(amount: Column, rate: Column) -> Column:
     """Exact product, rounded once to the money type. It fails only where the result itself leaves that type.
 
     Amounts below 10^11 at rates of up to eight digits before and nine behind the point take the plain product, which
-    is exact in 38 digits; all others are multiplied in groups of digits.
+    is exact in 38 digits; all others are put together from partial products.
     """
     short = rate.try_cast("decimal(17,9)")
     limit = F.lit(10**11).cast("decimal(12,0)")

@@ -1,8 +1,8 @@
 """Reconciliation of two versions of a table.
 
-The reports never join the two sides row by row. Both are put under one another with a side marker and counted per
-key, so a report is a chain of aggregations with partial sums before every shuffle: repeated or hot keys cost
-nothing extra and no pairs are formed. NULL keys match nothing, as in a join.
+The reports never join the two sides row by row. Both are put under one another with a side marker and summed up per
+key, with partial sums before the one shuffle of all rows: repeated or hot keys cost nothing extra and no pairs are
+formed. NULL keys match nothing, as in a join.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from cdcmart.functions.casts import round_to_long, safe_cast
 from cdcmart.operators.dedup import SOURCE_TS, with_source_ts
 from cdcmart.operators.windows import same_date_range
+from cdcmart.session import fresh_dir
 
 # Names of the checks, in the order they are reported.
 LOST = "C: rows lost (A but not B)"
@@ -143,18 +144,50 @@ def abcd_verdict(
     return _as_rows(totals, checks)
 
 
-def _versions(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Sequence[str], amount: str | None) -> DataFrame:
-    """Per key: rows on each side, and how many of the n_a x n_b pairs agree in all of ``cols``.
+def _print(cols: Sequence[str]) -> Column:
+    # A hash passes over NULL, so that is a value of its own beside every column.
+    return F.xxhash64(*[c for name in cols for c in (F.col(name), F.col(name).isNull())]) if cols else F.lit(0).cast("bigint")
 
-    Grouping treats NULL as equal to NULL, so the number of agreeing pairs is the sum, over the distinct versions of
-    a key, of the product of their row counts: counted, not formed.
+
+def _agreement(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Sequence[str], amount: str | None) -> DataFrame:
+    """Per key: rows and money on each side, and how many of the n_a x n_b pairs agree in all of ``cols``.
+
+    All rows are shuffled once, after partial sums per key: of each side the rows, the money and a fingerprint, which
+    adds up from 64-bit hashes of the rows in any order. Where a key has one row on each side, as most do, comparing
+    the fingerprints compares the rows; one in 2^64 pairs that differ would be taken for equal.
+
+    Keys with several rows go the exact way, and only the rows of these are read again: grouping treats NULL as equal
+    to NULL, so the number of agreeing pairs is the sum, over the distinct versions of a key, of the product of their
+    row counts: counted, not formed. Whether there are such keys is known from the written sums per key.
     """
+    spark = a.sparkSession
     compared = [c for c in cols if c not in keys]
-    version = _counted(_stacked(a, b, list(dict.fromkeys([*keys, *compared])), amount), [*keys, *compared])
-    return version.groupBy(*keys).agg(
+    stacked = _stacked(a, b, list(dict.fromkeys([*keys, *compared])), amount)
+    marked = stacked.withColumn("print", _print(compared))
+    sums = marked.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ("n_a", "n_b", "m_a", "m_b")],
+        F.bit_xor(F.when(F.col("n_a") > 0, F.col("print"))).alias("print_a"),
+        F.bit_xor(F.when(F.col("n_b") > 0, F.col("print"))).alias("print_b"),
+    )
+    path = fresh_dir(spark, "reconcile/sums")
+    sums.write.parquet(path)
+    sums = spark.read.schema(sums.schema).parquet(path)
+
+    one_each = (F.col("n_a") == 1) & (F.col("n_b") == 1) & (F.col("print_a") == F.col("print_b"))
+    # A plain flag: NULL keys have pairs with nothing, however many rows they have.
+    several = (F.col("n_a") > 0) & (F.col("n_b") > 0) & (F.col("n_a") + F.col("n_b") > 2) & ~_null_key(keys)
+    by_print = sums.where(~several).select(*keys, "n_a", "n_b", "m_a", "m_b", one_each.cast("bigint").alias("agreeing"))
+    repeated = sums.where(several).select(*keys)
+    if repeated.isEmpty():
+        return by_print
+    own = F.pmod(F.xxhash64(*keys), F.lit(1)).alias(_OWN)
+    rows = stacked.select("*", own).join(repeated.select("*", own), [*keys, _OWN], "left_semi")
+    version = _counted(rows, list(dict.fromkeys([*keys, *compared])))
+    counted = version.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in ("n_a", "n_b", "m_a", "m_b")],
         F.sum(F.col("n_a") * F.col("n_b")).alias("agreeing"),
     )
+    return by_print.unionByName(counted)
 
 
 def compared_columns(a: DataFrame, keys: Sequence[str], cols: Sequence[str] | str) -> list[str]:
@@ -169,7 +202,7 @@ def diverging(
 
     ``diverging_rows`` is the number of rows an inner join on the keys with a null-safe inequality would return.
     """
-    per_key = _versions(a, b, keys, compared_columns(a, keys, cols), None)
+    per_key = _agreement(a, b, keys, compared_columns(a, keys, cols), None)
     pairs = F.col("n_a") * F.col("n_b") - F.col("agreeing")
     return (
         per_key.where(~_null_key(keys))
@@ -191,7 +224,7 @@ def parity_report(
     The live table is restricted to the dates the baseline covers. The money gap is in cents.
     """
     live = same_date_range(live, baseline, ts)
-    per_key = _versions(baseline, live, keys, compared_columns(baseline, keys, cols), amount)
+    per_key = _agreement(baseline, live, keys, compared_columns(baseline, keys, cols), amount)
     no_match = _null_key(keys)
     totals = per_key.agg(
         _count(F.col("n_a"), no_match | (F.col("n_b") == 0)).alias("only_a"),

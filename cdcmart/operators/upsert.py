@@ -9,7 +9,13 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdcmart.session import fresh_dir
+
 _HIT = "__hit"
+FILE = "__file"
+ROW = "__row"
+# Most files that are named in a filter.
+LISTED_FILES = 2_000
 _N = "__rows"
 
 
@@ -36,6 +42,106 @@ def _guard(source: DataFrame, keys: Sequence[str], allow_null_keys: bool) -> Dat
     return counted.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema])
 
 
+def _updates(cols: Sequence[str], updated: set[str], newer_by: str | None) -> list[Column]:
+    """``cols`` of target rows joined with their source rows, where there is one."""
+    take = F.coalesce(F.col(_HIT), F.lit(False))
+    if newer_by is not None:
+        take = take & F.coalesce(F.col(f"__s_{newer_by}") >= F.col(newer_by), F.col(newer_by).isNull())
+    return [F.when(take, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) if c in updated else F.col(c) for c in cols]
+
+
+def _updated_columns(cols: Sequence[str], keys: Sequence[str], update_cols: Sequence[str] | None) -> set[str]:
+    updated = {c for c in cols if c not in keys} if update_cols is None else set(update_cols)
+    unknown = updated - set(cols)
+    if unknown:
+        raise ValueError(f"update columns not in the target: {sorted(unknown)}")
+    return updated
+
+
+def _renamed(source: DataFrame) -> DataFrame:
+    return source.select(*[F.col(c).alias(f"__s_{c}") for c in source.columns], F.lit(True).alias(_HIT))
+
+
+def located(table: DataFrame) -> DataFrame:
+    """Rows of a table of files with the place of each: its file and its number in there."""
+    return table.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
+
+
+def matches(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], target_filter: Column | None = None, also: Sequence[str] = ()
+) -> DataFrame:
+    """The one look at the keys of ``target``, a table of files: keys (and the columns ``also``) and place of every row
+    that passes ``target_filter`` and whose key is in ``source``. Only these columns are read and shuffled."""
+    active = located(target if target_filter is None else target.where(target_filter))
+    return active.select(*keys, *also, FILE, ROW).join(source.select(*keys), list(keys), "left_semi")
+
+
+def _by_files(target: DataFrame, files: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of the named files with their places, rows of all other files). Up to ``most`` names stand in the filter,
+    where they keep the scan from opening other files; beyond that the names are joined."""
+    rows = located(target)
+    names = [row[0] for row in files.limit(most + 1).collect()]
+    if len(names) > most:
+        return rows.join(files, FILE, "left_semi"), rows.join(files, FILE, "left_anti")
+    path = F.col("_metadata.file_path")
+    return located(target.where(path.isin(names))), located(target.where(~path.isin(names)))
+
+
+def upsert_located(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    matched: DataFrame,
+    *,
+    files: DataFrame | None = None,
+    update_cols: Sequence[str] | None = None,
+    newer_by: str | None = None,
+    allow_null_keys: bool = False,
+    listed_files: int = LISTED_FILES,
+) -> DataFrame:
+    """Like ``upsert``, for a target of files, from the places that ``matches`` has found; both these and the source
+    should be written down, as they are used more than once.
+
+    The target's keys are not looked at again. Files without a match are copied as they are, without a shuffle; in the
+    others a row finds its new values by its place. A place is one row, so no key of the target, however hot, gathers
+    in one task; source and places are joined to each other only. ``files`` may name the files that hold a match.
+    """
+    cols = target.columns
+    updated = _updated_columns(cols, keys, update_cols)
+    src = source.select(*cols)
+    new = _renamed(src)
+    placed = matched.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col(FILE).alias("__at_file"), F.col(ROW).alias("__at_row"))
+    same = reduce(and_, [F.col(f"__k_{k}") == F.col(f"__s_{k}") for k in keys])
+    values = placed.join(new, same).select("__at_file", "__at_row", *new.columns)
+
+    hit, untouched = _by_files(target, matched.select(FILE).distinct() if files is None else files, listed_files)
+    here = (F.col(FILE) == F.col("__at_file")) & (F.col(ROW) == F.col("__at_row"))
+    merged = hit.join(values, here, "left").select(*_updates(cols, updated, newer_by))
+    inserted = src.join(matched.select(*keys).distinct(), list(keys), "left_anti").select(*cols)
+    return untouched.select(*cols).unionByName(merged).unionByName(inserted).unionByName(_guard(src, keys, allow_null_keys))
+
+
+def upsert_files(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    *,
+    target_filter: Column | None = None,
+    **options,
+) -> DataFrame:
+    """``upsert`` of a target of files, with one look at its keys. Source and matches are written to the shared folder."""
+    spark = target.sparkSession
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = fresh_dir(spark, f"upsert/{name}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    source = written(source.select(*target.columns), "source")
+    matched = written(matches(target, source, keys, target_filter), "matched")
+    return upsert_located(target, source, keys, matched, files=written(matched.select(FILE).distinct(), "files"), **options)
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -45,7 +151,6 @@ def upsert(
     update_cols: Sequence[str] | None = None,
     newer_by: str | None = None,
     allow_null_keys: bool = False,
-    matched: DataFrame | None = None,
 ) -> DataFrame:
     """The content of ``target`` after merging ``source`` into it on ``keys``.
 
@@ -56,32 +161,21 @@ def upsert(
       NULL key never matches, so it is inserted again on every run.
     * With ``newer_by`` a target row that is newer than the source row in that column keeps its values.
 
-    A caller who has already written down which keys of the source are among those target rows passes them as
-    ``matched``; the inserts then need no look at the target.
+    For a target that is a table of files, ``upsert_files`` does the same with a single look at its keys.
 
     Two joins instead of one full outer join: updates are target ⟕ source, inserts are source ▷ target keys. Adaptive
     execution can split a hot key of the target in the first, the keys of the second are made distinct before they
     are shuffled, and a small source can be broadcast so that the target is not shuffled at all.
     """
     cols = target.columns
-    rest_cols = [c for c in cols if c not in keys]
-    updated = set(rest_cols if update_cols is None else update_cols)
-    unknown = updated - set(cols)
-    if unknown:
-        raise ValueError(f"update columns not in the target: {sorted(unknown)}")
-
+    updated = _updated_columns(cols, keys, update_cols)
     active = target if target_filter is None else target.where(target_filter)
     src = source.select(*cols)
 
-    renamed = src.select(*[F.col(c).alias(f"__s_{c}") for c in cols], F.lit(True).alias(_HIT))
-    matches = reduce(and_, [active[k] == renamed[f"__s_{k}"] for k in keys])
-    take = F.coalesce(F.col(_HIT), F.lit(False))
-    if newer_by is not None:
-        take = take & F.coalesce(F.col(f"__s_{newer_by}") >= F.col(newer_by), F.col(newer_by).isNull())
-    merged = active.join(renamed, matches, "left").select(
-        *[F.when(take, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) if c in updated else F.col(c) for c in cols]
-    )
-    known = (active if matched is None else matched).select(*keys).distinct()
+    renamed = _renamed(src)
+    same = reduce(and_, [active[k] == renamed[f"__s_{k}"] for k in keys])
+    merged = active.join(renamed, same, "left").select(*_updates(cols, updated, newer_by))
+    known = active.select(*keys).distinct()
     inserted = src.join(known, list(keys), "left_anti").select(*cols)
 
     result = merged.unionByName(inserted).unionByName(_guard(src, keys, allow_null_keys))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,9 +47,12 @@ def fct_orders_window(orders: DataFrame, items: DataFrame, as_of: AsOf, window_d
     return _with_items(since(orders, as_of, window_days), item_rollup(items, as_of, window_days))
 
 
-def merge_fct_orders(target: DataFrame, source: DataFrame, as_of: AsOf, window_days: int = 30) -> DataFrame:
-    """Content of the fact after the incremental merge; only target rows of the window can match."""
-    return upsert(
+def merge_fct_orders(
+    target: DataFrame, source: DataFrame, as_of: AsOf, window_days: int = 30, merge: Callable[..., DataFrame] = upsert
+) -> DataFrame:
+    """Content of the fact after the incremental merge; only target rows of the window can match. For a target of files
+    ``merge`` may be ``upsert_files``."""
+    return merge(
         target,
         source,
         ["order_id"],

@@ -12,9 +12,9 @@ from cdcmart.functions.times import AsOf, as_date, as_instant, micros_to_date
 from cdcmart.operators.windows import on_or_after, retro_bound
 from cdcmart.plans import gold, silver
 from cdcmart.session import require_utc
-from cdcmart.sinks.tables import ensure_target, high_water, write_table
+from cdcmart.sinks.tables import ensure_target, high_water, read_target, write_table
 from cdcmart.sinks.upserts import recover, upsert_into
-from cdcmart.sources.schemas import FCT_ORDERS_SCHEMA
+from cdcmart.sources.schemas import FCT_ORDERS_SCHEMA, ITEMS_CLEAN_SCHEMA
 
 # Cluster columns of the mart tables.
 CLUSTER = {
@@ -95,7 +95,7 @@ def refresh_items_increment(spark: SparkSession, cfg: MartConfig, as_of: AsOf) -
     top = high_water(spark, table)
     if top is None:
         return refresh_items_full(spark, cfg)
-    target = spark.table(table)
+    target = read_target(spark, table, ITEMS_CLEAN_SCHEMA)
     cap = as_of if cfg.cap_future else None
     bound = micros_to_date(retro_bound(top, cfg.items_window_days, cap))
     behind = bound < as_date(as_of, cfg.items_target_days)

@@ -115,6 +115,18 @@ CTES["new_items"] = items(f"created_at >= (SELECT MAX(created_at) FROM items_bef
 CTES["naive_items"] = items(f"created_at > (SELECT MAX(created_at) FROM items_before)")
 
 
+# The feed of a job that ran every day, with ten days without events, and what its target held before each run.
+CTES["outage_feed"] = """
+  SELECT * REPLACE (CASE WHEN source_ts >= TIMESTAMP '1998-03-01' AND source_ts < TIMESTAMP '1998-03-11'
+                         THEN TIMESTAMP '1998-03-11' ELSE source_ts END AS source_ts)
+  FROM raw_items WHERE NOT (created_at >= TIMESTAMP '1998-03-01' AND created_at < TIMESTAMP '1998-03-11')"""
+CTES["outage_held"] = f"""
+  SELECT run, MAX(top) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
+  FROM (SELECT CAST(d AS DATE) AS run FROM generate_series(TIMESTAMP '1995-01-01', {AS_OF}, INTERVAL 1 DAY) AS g(d)) days
+  LEFT JOIN (SELECT GREATEST(CAST(source_ts AS DATE), DATE '1995-01-01') AS run, MAX(created_at) AS top
+             FROM outage_feed GROUP BY 1) tops USING (run)"""
+
+
 def upserted(target: str, source: str, key: str, cond: str = "TRUE", keep: tuple[str, ...] = ()) -> str:
     """Content of ``target`` after the merge; ``cond`` restricts matching, columns in ``keep`` are not updated."""
     repl = ", ".join(f"t.{c} AS {c}" for c in keep)
@@ -343,6 +355,10 @@ SELECT n.* FROM new_items n WHERE n.order_item_id NOT IN (SELECT order_item_id F
     "baseline_profile": sql("""
 SELECT 'baseline_snapshot' AS check_name, COUNT(*) AS total_rows, COUNT(DISTINCT order_item_id) AS distinct_keys,
        MIN(created_at) AS window_start, MAX(created_at) AS window_end, SUM(net_amount_local) AS sum_net_amount_local
+FROM baseline"""),
+    "baseline_named": sql("""
+SELECT 'baseline_snapshot' AS check_name, COUNT(*) AS total_rows, COUNT(DISTINCT order_item_id) AS distinct_keys,
+       MIN(created_at) AS window_start, MAX(created_at) AS window_end, SUM(net_amount_local) AS sum_net_amount_local
 FROM baseline"""),
     "simulate_incremental": sql("SELECT * FROM simulated"),
     "rows_lost": sql("""
@@ -392,6 +408,14 @@ WHERE CAST(created_at AS DATE) >= {AS_OF_DATE} - 365 GROUP BY store_id"""),
         f"(SELECT *, LEAST(CAST(created_at AS DATE) + 7, {AS_OF_DATE}) AS last_run FROM raw_items)",
         order="last_run DESC, source_ts DESC",
     )),
+    "replay_target_window": sql(f"""
+SELECT * FROM ({items(
+        f"GREATEST(CAST(source_ts AS DATE), DATE '1995-01-01') <= last_run AND CAST(source_ts AS DATE) <= {AS_OF_DATE}",
+        "(SELECT f.*, COALESCE(w.run, (SELECT MAX(run) FROM outage_held WHERE top IS NULL)) AS last_run "
+        "FROM outage_feed f ASOF LEFT JOIN (SELECT top, MAX(run) AS run FROM outage_held WHERE top IS NOT NULL GROUP BY top) w "
+        "ON f.created_at + INTERVAL 7 DAY >= w.top)",
+        order="last_run DESC, source_ts DESC",
+    )})"""),
     "stream_items": sql(f"""
 SELECT order_item_id, order_id, product_id, quantity, net_amount_local, created_at
 FROM ({items(raw="(SELECT * REPLACE (CASE WHEN part_key % 97 > 0 THEN created_at END AS created_at) FROM raw_items)")})"""),

@@ -14,12 +14,12 @@ from cdcmart.operators import quality, reconcile, windows
 from cdcmart.operators.dedup import SOURCE_TS, latest_by_key, with_source_ts
 from cdcmart.operators.rates import convert_to_usd, one_rate_per_key
 from cdcmart.operators.rollup import item_rollup
-from cdcmart.operators.upsert import upsert
+from cdcmart.operators.upsert import upsert, upsert_files
 from cdcmart.plans import gold, jobs, silver, validation
 from cdcmart.samples import views
 from cdcmart.samples.views import AS_OF, ITEM_TIES
 from cdcmart.session import fresh_dir, use_result_conf
-from cdcmart.sinks.tables import snapshot, write_table
+from cdcmart.sinks.tables import publish_snapshot, snapshot, write_table
 from cdcmart.sources.raw import load_raw_csv, read_raw
 from cdcmart.sources.schemas import ITEMS_SPEC, METADATA, csv_columns, landing_schema
 from cdcmart.streaming.items import stream_items
@@ -30,6 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 CUT = "2001-06-01 00:00:00"
 FACT_FIELDS = ("store_id", "customer_id", "channel", "status", "total_price_usd", "item_count", "total_quantity")
 ITEM_KEY = ["order_item_id"]
+# First day without events of the feed of replay_target_window, and the first day with events again.
+OUTAGE = ("1998-03-01", "1998-03-11")
 # Sets of files that the stream query lands one after the other.
 DELIVERIES = 3
 
@@ -218,21 +220,21 @@ def naive_window_loss(spark: SparkSession, sf: str) -> DataFrame:
 
 def items_upsert(spark: SparkSession, sf: str, target: DataFrame | None = None) -> DataFrame:
     target = _items_target(spark, sf) if target is None else target
-    return upsert(target, _increment(spark, sf, target), ITEM_KEY)
+    return upsert_files(target, _increment(spark, sf, target), ITEM_KEY)
 
 
 def items_upsert_twice(spark: SparkSession, sf: str) -> DataFrame:
     """The same increment merged a second time changes nothing."""
     target = _items_target(spark, sf)
     increment = _stored(_increment(spark, sf, target))
-    return upsert(_stored(upsert(target, increment, ITEM_KEY)), increment, ITEM_KEY)
+    return upsert_files(_stored(upsert(target, increment, ITEM_KEY)), increment, ITEM_KEY)
 
 
 def fct_orders_merge(spark: SparkSession, sf: str) -> DataFrame:
     orders = _orders(spark, sf)
     until = instant_lit(AS_OF, 10)
     before = gold.fct_orders(orders.where(F.col("created_at") <= until), _items_before(spark, sf))
-    return gold.merge_fct_orders(_stored(before), fct_orders_window(spark, sf), AS_OF)
+    return gold.merge_fct_orders(_stored(before), fct_orders_window(spark, sf), AS_OF, merge=upsert_files)
 
 
 def _baseline(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,6 +246,14 @@ def baseline_profile(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.profile(_baseline(spark, sf), "order_item_id", "created_at", "net_amount_local")
 
 
+def baseline_named(spark: SparkSession, sf: str) -> DataFrame:
+    """The baseline behind a name of the catalog, taken a second time a month later, and read by that name."""
+    name = f"{_database(spark, 'baseline')}.items_baseline"
+    publish_snapshot(_items_before(spark, sf), name, CUT, 90)
+    publish_snapshot(_items(spark, sf), name, AS_OF, 90)
+    return reconcile.profile(spark.table(name), "order_item_id", "created_at", "net_amount_local")
+
+
 def simulate_incremental(spark: SparkSession, sf: str, total_days: int = 90) -> DataFrame:
     return validation.simulate_incremental(views.raw_order_items(spark, sf), AS_OF, total_days, ITEM_TIES)
 
@@ -364,6 +374,15 @@ def replay_incremental(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def replay_target_window(spark: SparkSession, sf: str) -> DataFrame:
+    """A daily job over years, whose feed stood still for ten days: nothing was created, late events came afterwards."""
+    first, behind = (F.lit(day).cast("timestamp") for day in OUTAGE)
+    created, ts = F.col("created_at"), F.col(SOURCE_TS)
+    raw = views.raw_order_items(spark, sf).where((created < first) | (created >= behind))
+    feed = raw.withColumn(METADATA, F.struct(F.when((ts >= first) & (ts < behind), behind).otherwise(ts).alias("source_timestamp")))
+    return validation.replay_to_target(feed, "1995-01-01", AS_OF, window_days=7, tie_breakers=ITEM_TIES)
+
+
 def stream_item_files(spark: SparkSession, sf: str) -> DataFrame:
     """All item events as a stream of deliveries, each of them twice, merged into one table.
 
@@ -443,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "items_upsert_twice": items_upsert_twice,
     "fct_orders_merge": fct_orders_merge,
     "baseline_profile": baseline_profile,
+    "baseline_named": baseline_named,
     "simulate_incremental": simulate_incremental,
     "rows_lost": rows_lost,
     "rows_added": rows_added,
@@ -463,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "raw_parquet_load": raw_parquet_load,
     "partitioned_sink": partitioned_sink,
     "replay_incremental": replay_incremental,
+    "replay_target_window": replay_target_window,
     "stream_items": stream_item_files,
     "refresh_full": refresh_full,
     "refresh_incremental": refresh_incremental,

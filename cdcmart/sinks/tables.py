@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -41,9 +42,38 @@ def _default_location(spark: SparkSession, table: str) -> str:
     return f"{spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{name}"
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _folder(spark: SparkSession, path: str):
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def list_dir(spark: SparkSession, path: str) -> list[str]:
+    """Folders right below ``path``, sorted; none if it does not exist."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    return sorted(f.getPath().toString() for f in files.listStatus(folder) if f.isDirectory())
+
+
+def _plain(path: str) -> str:
+    # file:/x, file:///x and /x are one folder.
+    return re.sub(r"^file:/*", "/", path).rstrip("/")
+
+
+def _sweep(spark: SparkSession, base: str, kept: Sequence[str]) -> None:
+    """Delete the locations made for the table at ``base``, but for those in ``kept``: versions that no reader of the
+    current one can still be on, and what a run that died has left."""
+    parent, _, name = base.rpartition("/")
+    version = re.compile(re.escape(name) + "__[0-9a-f]{32}$")
+    wanted = {_plain(k) for k in kept}
+    for folder in list_dir(spark, parent):
+        if version.match(folder.rpartition("/")[2]) and _plain(folder) not in wanted:
+            delete_dir(spark, folder)
 
 
 def finish_switch(spark: SparkSession, table: str) -> None:
@@ -64,14 +94,16 @@ def write_table(
 
     The new content is written to a location of its own, below ``path`` or the database, under the name
     ``table__next``; only a complete table takes the name over, by two renames in the catalog. A failed write leaves
-    the old table as it was, and readers meet no gap while a new one is written. The old files go last.
+    the old table as it was, and readers meet no gap while a new one is written. The old files stay until the next
+    refresh, for queries that were planned on them.
     """
     spark = require_utc(df.sparkSession)
     out = with_partition(df, partition_ts, unit) if partition_ts else df
     partition = PARTITION_BY[unit] if partition_ts else None
     finish_switch(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {table}__next")
-    location = f"{(path or _default_location(spark, table)).rstrip('/')}__{uuid.uuid4().hex}"
+    base = (path or _default_location(spark, table)).rstrip("/")
+    location = f"{base}__{uuid.uuid4().hex}"
     writer = laid_out(out, partition, cluster).write.format("parquet").option("path", location)
     if partition:
         writer = writer.partitionBy(partition)
@@ -80,10 +112,11 @@ def write_table(
         spark.sql(f"DROP TABLE IF EXISTS {table}__previous")
         spark.sql(f"ALTER TABLE {table} RENAME TO {table}__previous")
     spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
+    old = []
     if spark.catalog.tableExists(f"{table}__previous"):
-        old = _location(spark, f"{table}__previous")
+        old = [_location(spark, f"{table}__previous")]
         spark.sql(f"DROP TABLE {table}__previous")
-        _delete(spark, old)
+    _sweep(spark, base, [location, *old])
     spark.catalog.refreshTable(table)
 
 
@@ -128,6 +161,51 @@ def high_water(spark: SparkSession, table: str, ts: str = "created_at") -> int |
     return None
 
 
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """Tables that hold the versions of ``name``, oldest first."""
+    database, _, short = name.rpartition(".")
+    where = f" IN {database}" if database else ""
+    pattern = re.compile(re.escape(short.lower()) + r"__v\d{6}$")
+    names = [row["tableName"] for row in spark.sql(f"SHOW TABLES{where}").collect()]
+    return [f"{database}.{n}" if database else n for n in sorted(names) if pattern.match(n)]
+
+
+def publish(
+    df: DataFrame, name: str, partition_ts: str | None = None, cluster: Sequence[str] = (), unit: str = "day", keep: int = 2
+) -> str:
+    """Replace what ``name`` stands for by ``df``, in one statement, and return the table that now holds it.
+
+    Every version is a table of its own, ``name__v000001`` and so on, and ``name`` is a view on one of them. The view
+    is replaced only when the new version is complete, so a reader by name gets the old content or the new, never
+    none; a query that runs on an older version goes on, as ``keep`` versions stay, the new one included. A version
+    that a failed run has left unfinished is not on view and its number is not used again before it is dropped.
+    """
+    spark = require_utc(df.sparkSession)
+    if keep < 1:
+        raise ValueError("the current version is always kept")
+    before = versions(spark, name)
+    table = f"{name}__v{int(before[-1][-6:]) + 1 if before else 1:06d}"
+    out = with_partition(df, partition_ts, unit) if partition_ts else df
+    partition = PARTITION_BY[unit] if partition_ts else None
+    location = f"{_default_location(spark, name).rstrip('/')}__{uuid.uuid4().hex}"
+    writer = laid_out(out, partition, cluster).write.format("parquet").option("path", location)
+    (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
+    for old in [*before, table][:-keep]:
+        files = _location(spark, old)
+        spark.sql(f"DROP TABLE {old}")
+        delete_dir(spark, files)
+    return table
+
+
+def publish_snapshot(
+    df: DataFrame, name: str, as_of: AsOf, window_days: int = 90, ts: str = "created_at", cluster: Sequence[str] = ("order_id",), keep: int = 2
+) -> DataFrame:
+    """``snapshot`` under a name of the catalog: the last ``window_days`` days of ``df`` as the new version of ``name``."""
+    publish(since_date(df, as_of, window_days, ts), name, ts, cluster, keep=keep)
+    return df.sparkSession.table(name)
+
+
 def snapshot(
     df: DataFrame,
     path: str,

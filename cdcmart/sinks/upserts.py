@@ -6,7 +6,7 @@ Parquet has no MERGE, so the partitions that change are rewritten, and only thos
    (those of matched target rows and of incoming rows). Last of all, the table property ``cdcmart.pending`` is set.
 2. *Apply.* Affected partitions without any staged row are dropped - a key may have moved away from a date and left
    it empty, which an overwrite of the other partitions would not notice - and the others are overwritten.
-3. *Clear* the property.
+3. *Clear* the property and delete what was staged.
 
 Apply only replaces whole partitions by fixed content, so it can be repeated. A run that finds the property set, left by
 one that died inside apply, repeats apply first. One writer per table at a time.
@@ -19,11 +19,12 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from cdcmart.operators.upsert import upsert
+from cdcmart.operators.upsert import FILE, matches, upsert_located
 from cdcmart.operators.windows import partition_column, partition_value
 from cdcmart.session import conf_set, require_utc, shared_dir
-from cdcmart.sinks.tables import ensure_target, laid_out
+from cdcmart.sinks.tables import delete_dir, ensure_target, laid_out
 
 PENDING = "cdcmart.pending"
 
@@ -39,6 +40,11 @@ def _values(df: DataFrame, column: str) -> list[date | None]:
     return [row[0] for row in df.select(column).distinct().collect()]
 
 
+def _written(df: DataFrame, path: str, schema: StructType | None = None) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
+
+
 def pending(spark: SparkSession, table: str) -> str | None:
     """Staging folder of an apply that was begun and not finished."""
     for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect():
@@ -69,6 +75,7 @@ def recover(spark: SparkSession, table: str) -> bool:
         return False
     apply_staged(spark, table, staging)
     spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
+    delete_dir(spark, staging)
     return True
 
 
@@ -92,29 +99,27 @@ def stage_upsert(
 
     # The source is typically a deduplicated window of raw events: written once, it is read several times below.
     incoming = source.withColumn(column, partition_value(column, partition_ts)).select(*target.columns)
-    incoming.write.mode("overwrite").parquet(f"{staging}/source")
-    incoming = spark.read.schema(target.schema).parquet(f"{staging}/source")
-
-    active = target if target_filter is None else target.where(target_filter)
-    # The one look at the keys of the target: it gives the partitions to rewrite and, below, what is to be inserted.
-    matched = active.select(*keys, column).join(incoming.select(*keys), list(keys), "left_semi")
-    matched.write.mode("overwrite").parquet(f"{staging}/matched")
-    matched = spark.read.schema(matched.schema).parquet(f"{staging}/matched")
+    incoming = _written(incoming, f"{staging}/source", target.schema)
+
+    # The one look at the keys of the target: it gives the partitions to rewrite, the places of the rows to update and
+    # what is to be inserted.
+    matched = _written(matches(target, incoming, keys, target_filter, also=[column]), f"{staging}/matched")
+    files = _written(matched.select(FILE).distinct(), f"{staging}/files")
     affected = _values(matched.select(column).unionByName(incoming.select(column)), column)
     if not affected:
         return None
 
     touched = target.where(_in_partitions(column, affected))
-    content = upsert(
+    content = upsert_located(
         touched,
         incoming,
         keys,
-        target_filter=target_filter,
+        matched,
+        files=files,
         # The partition follows the creation time, so it is updated exactly if that is.
         update_cols=update_cols if update_cols is None or partition_ts not in update_cols else [*update_cols, column],
         newer_by=newer_by,
         allow_null_keys=allow_null_keys,
-        matched=matched,
     )
     laid_out(content, column, cluster).write.mode("overwrite").parquet(f"{staging}/content")
     listed = spark.createDataFrame([(d,) for d in affected], f"`{column}` date")
@@ -146,6 +151,7 @@ def upsert_into(
         spark, table, source, keys, target_filter=target_filter, update_cols=update_cols, **options
     )
     if staging is None:
+        delete_dir(spark, shared_dir(spark, f"staging/{table}"))
         return
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PENDING}'='{staging}')")
     recover(spark, table)

@@ -11,7 +11,7 @@ from cdcmart.operators.dedup import latest_by_key, with_source_ts
 from cdcmart.operators.reconcile import only_in
 from cdcmart.operators.rates import convert_to_usd, money_times_rate, one_rate_per_key
 from cdcmart.operators.rollup import item_rollup
-from cdcmart.operators.upsert import upsert
+from cdcmart.operators.upsert import matches, upsert, upsert_files
 from cdcmart.operators.windows import naive_window, retro_bound, retro_window, same_date_range, since, since_date
 
 
@@ -264,6 +264,62 @@ def test_upsert_with_a_hot_target_key(spark):
     assert {r["v"]: r["count"] for r in out.collect()} == {1: 19_999, 2: 10_000, 3: 1, 4: 1}
 
 
+def as_files(df, path, n=3):
+    df.repartition(n).write.parquet(str(path))
+    return df.sparkSession.read.schema(df.schema).parquet(str(path))
+
+
+@pytest.mark.parametrize("listed", [0, 2000])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_merge_by_place_equals_merge_by_key(spark, rows, tmp_path, seed, listed):
+    """Repeated and NULL keys in the target, rows outside the filter, newer rows in the target."""
+    rng = random.Random(seed)
+    draw = lambda k: (k, rng.randint(0, 9), rng.choice([None, *range(5)]))
+    target = as_files(spark.createDataFrame([draw(rng.choice([None, *"abcdefgh"])) for _ in range(30)], "k string, v int, t int"), tmp_path / "t")
+    keys = [*rng.sample("abcdefghij", 6), None]
+    source = as_files(spark.createDataFrame([draw(k) for k in keys], target.schema), tmp_path / "s")
+    for options in ({}, {"target_filter": F.col("v") > 4}, {"update_cols": ["v"]}, {"newer_by": "t"}):
+        options["allow_null_keys"] = True
+        got = upsert_files(target, source, ["k"], listed_files=listed, **options)
+        assert rows(got) == rows(upsert(target, source, ["k"], **options))
+    with pytest.raises(Exception, match="NULL key"):
+        upsert_files(target, source, ["k"]).collect()
+    with pytest.raises(Exception, match="several rows"):
+        upsert_files(target, source.where("k IS NOT NULL").unionAll(source), ["k"], allow_null_keys=True).collect()
+    with pytest.raises(ValueError, match="not in the target"):
+        upsert_files(target, source, ["k"], update_cols=["w"])
+
+
+def test_merge_by_place_looks_at_the_keys_of_the_target_once(spark, tiny_skew, tmp_path):
+    big = spark.range(20_000).select(F.concat(F.lit("k"), F.col("id") % 9_000).alias("k"), F.col("id").alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    target = as_files(big.sortWithinPartitions("k"), tmp_path / "t", 1)
+    extra = spark.range(5).select(F.concat(F.lit("other"), "id").alias("k"), F.col("id").alias("v"), F.lit("x").alias("t"))
+    extra.write.mode("append").parquet(str(tmp_path / "t"))
+    target = spark.read.schema(big.schema).parquet(str(tmp_path / "t"))
+    source = as_files(spark.createDataFrame([("other1", 100, "y"), ("new", 1, "z")], big.schema), tmp_path / "s")
+    found = matches(target, source, ["k"])
+    text = plan(found)
+    reads = [line for line in text.splitlines() if "FileScan" in line and "/t]" in line]
+    assert len(reads) == 1 and "ReadSchema: struct<k:string,_tmp_metadata_row_index:bigint>" in reads[0]
+    assert text.count("Exchange hashpartitioning") == 2  # the keys of the target and those of the source
+    merged = upsert_files(target, source, ["k"])
+    assert merged.count() == 20_006 and merged.where("k = 'other1'").first()["v"] == 100
+    # The file without a match is left out of the scan whose rows are shuffled, by place, and copied by another one.
+    text = plan(merged)
+    shuffled = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("file_path" in line or "__file" in line for line in shuffled) == 1
+    assert sum("FileScan" in line and "/t]" in line for line in text.splitlines()) == 2
+
+
+def test_merge_by_place_with_a_hot_target_key(spark, tiny_skew, tmp_path):
+    target = as_files(_hot(spark).select(F.col("currency_code").alias("k"), "order_id"), tmp_path / "t", 6)
+    source = as_files(target.dropDuplicates(["k"]).withColumn("order_id", F.lit("new")), tmp_path / "s")
+    found = matches(target, source, ["k"])
+    assert len(found.collect()) == 60_000
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    assert upsert_files(target, source, ["k"]).where("order_id = 'new'").count() == 60_000
+
+
 def test_assertions(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", None), ("b", 2), (None, 2)], "k string, v int")
     assert rows(quality.assert_not_null(df, ["k", "v"])) == [("k", 1), ("v", 1)]
