@@ -86,4 +86,70 @@ def decontamination(documents: str = "documents") -> str:
     from docs left join hit using (doc_id) left join items using (doc_id)"""
 
 
-ORACLE: dict[str, str] = {"op1_quality": _quality(), "op7_decontamination": decontamination()}
+PREFIX_TRIE = """
+WITH turns AS (
+  SELECT conv_id, COALESCE(role, '') AS role, COALESCE(text, '') AS text,
+         ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(CONCAT(length(COALESCE(role, '')), ':', COALESCE(role, ''), ':', COALESCE(text, '')))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         -- CRC-32, a byte at a time
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+             lambda acc, b: list_reduce(list_prepend(xor(acc, b), range(8)),
+                                        lambda v, i: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+heads AS (
+  SELECT c.conv_id, t.k AS depth, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.k <= c.h),
+rebuilt AS (
+  SELECT * FROM heads
+  UNION ALL
+  SELECT c.conv_id, COALESCE(n, 0) + t.k - c.h AS depth, t.role, t.text
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.k > c.h
+  LEFT JOIN (SELECT conv_id, COUNT(*) AS n FROM heads GROUP BY conv_id) g ON g.conv_id = c.conv_id),
+paths AS (
+  SELECT conv_id, 0 AS depth, '' AS path, 0 AS bytes FROM convs
+  UNION ALL
+  SELECT conv_id, depth, string_agg(sha256(CONCAT(length(role), ':', role, ':', text)), '') OVER (PARTITION BY conv_id ORDER BY depth), strlen(text)
+  FROM rebuilt),
+marked AS (
+  SELECT conv_id, depth, sha256(path) AS node, bytes, LAG(sha256(path)) OVER (PARTITION BY conv_id ORDER BY depth) AS up,
+         depth = MAX(depth) OVER (PARTITION BY conv_id) AS ends
+  FROM paths),
+nodes AS (
+  SELECT node, depth, MIN(conv_id) AS conv_id, ANY_VALUE(up) AS up, COUNT(*) AS n_convs, (COUNT(*) - 1) * ANY_VALUE(bytes) AS saved,
+         sha256(COALESCE(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM marked GROUP BY node, depth),
+children AS (SELECT up AS node, COUNT(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up),
+sums AS (
+  SELECT m.node, SUM(n.saved) AS saved_tokens, SUM(CASE WHEN c.node IS NULL THEN 1 ELSE 0 END) AS n_leaves
+  FROM nodes n JOIN marked m ON m.conv_id = n.conv_id AND m.depth <= n.depth LEFT JOIN children c ON c.node = n.node
+  GROUP BY m.node)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, COALESCE(c.n_children, 0)::BIGINT AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.up LEFT JOIN children c ON c.node = n.node JOIN sums s ON s.node = n.node"""
+
+WINDOWS = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS k, len(w) AS n FROM docs),
+windows AS (
+  SELECT doc_id, k, n, md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) AS h
+  FROM words WHERE n >= 50),
+least AS (SELECT h, MIN(doc_id) AS least FROM windows WHERE k + 50 <= n GROUP BY h),
+begins AS (SELECT doc_id, k FROM windows JOIN least USING (h) WHERE k + 50 <= n AND least < doc_id),
+marked AS (
+  SELECT w.doc_id, w.k, w.word,
+         COUNT(b.k) OVER (PARTITION BY w.doc_id ORDER BY w.k ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0 AS gone
+  FROM words w LEFT JOIN begins b ON b.doc_id = w.doc_id AND b.k = w.k),
+kept AS (
+  SELECT doc_id, COUNT(*) AS n_words, COUNT(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY k) FILTER (WHERE NOT gone) AS t
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, COALESCE(n_words, 0) AS n_words, COALESCE(n_removed, 0) AS n_removed, sha256(COALESCE(t, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept USING (doc_id)"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_quality": _quality(),
+    "op7_decontamination": decontamination(),
+    "op12_prefix_trie": PREFIX_TRIE,
+    "op13_windows": WINDOWS,
+}

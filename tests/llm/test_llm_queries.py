@@ -18,10 +18,10 @@ def test_every_operator_is_registered():
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op1_quality", "op7_decontamination"])
+@pytest.mark.parametrize("name", ["op1_quality", "op7_decontamination", "op12_prefix_trie", "op13_windows"])
 def test_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         con.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     want = con.sql(entry.oracle_sql()[name])
     got = entry.queries()[name](spark, SF)
