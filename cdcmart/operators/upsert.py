@@ -121,6 +121,20 @@ def upsert_located(
     return untouched.select(*cols).unionByName(merged).unionByName(inserted).unionByName(_guard(src, keys, allow_null_keys))
 
 
+def merge_images(
+    target: DataFrame, source: DataFrame, matched: DataFrame, keys: Sequence[str], files: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows before, rows after) of what a merge of whole rows changes: the rows at the matched places as they were, and
+    the source rows that take their places or are inserted. Tables that sum up the target follow it by the difference."""
+    cols = target.columns
+    hit, _ = _by_files(target, matched.select(FILE).distinct() if files is None else files, LISTED_FILES)
+    before = hit.join(matched.select(FILE, ROW), [FILE, ROW], "left_semi").select(*cols)
+    src = source.select(*cols)
+    updated = matched.select(*keys).join(src, list(keys)).select(*cols)
+    inserted = src.join(matched.select(*keys).distinct(), list(keys), "left_anti").select(*cols)
+    return before, updated.unionByName(inserted)
+
+
 def upsert_files(
     target: DataFrame,
     source: DataFrame,

@@ -19,14 +19,14 @@ CTES["raw_orders"] = """
   SELECT CAST(o_orderkey AS VARCHAR) AS id,
          o_custkey % 100 AS store_id,
          o_custkey AS customer_id,
-         CASE o_custkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'BRL' WHEN 2 THEN 'EUR' ELSE 'XXX' END AS currency_code,
+         CASE o_custkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'PLN' WHEN 2 THEN 'CHF' ELSE 'XXX' END AS currency_code,
          total AS total_price,
          disc AS discount,
          total - disc AS net_amount,
-         CASE o_orderkey % 4 WHEN 0 THEN 'app' WHEN 1 THEN 'pos' WHEN 2 THEN 'delivery' ELSE 'kiosk' END AS channel,
-         CASE WHEN again > 0 THEN 'refunded'
-              WHEN o_orderkey % 6 < 4 THEN 'paid'
-              WHEN o_orderkey % 6 = 4 THEN 'refunded' ELSE 'cancelled' END AS status,
+         CASE o_orderkey % 4 WHEN 0 THEN 'web' WHEN 1 THEN 'counter' WHEN 2 THEN 'courier' ELSE 'phone' END AS channel,
+         CASE WHEN again > 0 THEN 'returned'
+              WHEN o_orderkey % 6 < 2 THEN 'open' WHEN o_orderkey % 6 < 4 THEN 'closed'
+              WHEN o_orderkey % 6 = 4 THEN 'returned' ELSE 'void' END AS status,
          o_orderdate AS created_at,
          o_orderdate + again * INTERVAL 1 SECOND AS updated_at,
          o_orderdate + again * INTERVAL 1 SECOND
@@ -56,13 +56,15 @@ CTES["raw_items"] = """
 CTES["raw_stores"] = """
   SELECT s_suppkey AS id,
          CONCAT(s_name, CASE WHEN older > 0 THEN ' (old)' ELSE '' END) AS name,
-         CASE s_nationkey % 10 WHEN 0 THEN 'BR' WHEN 1 THEN 'US' WHEN 2 THEN 'GB' WHEN 3 THEN 'JP' WHEN 4 THEN 'DE'
-              WHEN 5 THEN 'FR' WHEN 6 THEN 'CZ' WHEN 7 THEN 'CO' WHEN 8 THEN 'KR' ELSE 'SG' END AS country_code,
-         CASE s_nationkey % 10 WHEN 0 THEN 'BRL' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' WHEN 3 THEN 'JPY' WHEN 4 THEN 'EUR'
-              WHEN 5 THEN 'EUR' WHEN 6 THEN 'CZK' WHEN 7 THEN 'COP' WHEN 8 THEN 'KRW' ELSE 'SGD' END AS currency_code,
-         CASE s_nationkey % 10 WHEN 0 THEN 'America/Sao_Paulo' WHEN 1 THEN 'America/New_York' WHEN 2 THEN 'Europe/London'
-              WHEN 3 THEN 'Asia/Tokyo' WHEN 4 THEN 'Europe/Berlin' WHEN 5 THEN 'Europe/Paris' WHEN 6 THEN 'Europe/Prague'
-              WHEN 7 THEN 'America/Bogota' WHEN 8 THEN 'Asia/Seoul' ELSE 'Asia/Singapore' END AS timezone,
+         CASE s_nationkey % 10 WHEN 0 THEN 'ZA' WHEN 1 THEN 'CA' WHEN 2 THEN 'PE' WHEN 3 THEN 'IE'
+              WHEN 4 THEN 'TH' WHEN 5 THEN 'RS' WHEN 6 THEN 'NZ' WHEN 7 THEN 'UY'
+              WHEN 8 THEN 'IT' ELSE 'VN' END AS country_code,
+         CASE s_nationkey % 10 WHEN 0 THEN 'ZAR' WHEN 1 THEN 'CAD' WHEN 2 THEN 'PEN' WHEN 3 THEN 'EUR'
+              WHEN 4 THEN 'THB' WHEN 5 THEN 'RSD' WHEN 6 THEN 'NZD' WHEN 7 THEN 'UYU'
+              WHEN 8 THEN 'EUR' ELSE 'VND' END AS currency_code,
+         CASE s_nationkey % 10 WHEN 0 THEN 'Africa/Johannesburg' WHEN 1 THEN 'America/Toronto' WHEN 2 THEN 'America/Lima'
+              WHEN 3 THEN 'Europe/Dublin' WHEN 4 THEN 'Asia/Bangkok' WHEN 5 THEN 'Europe/Belgrade'
+              WHEN 6 THEN 'Pacific/Auckland' WHEN 7 THEN 'America/Montevideo' WHEN 8 THEN 'Europe/Rome' ELSE 'Asia/Ho_Chi_Minh' END AS timezone,
          s_suppkey % 20 < 13 AS is_franchise,
          s_suppkey % 20 = 0 OR older > 0 AS is_dev,
          CASE WHEN s_suppkey % 7 <> 0 THEN s_suppkey % 50 = 1 END AS is_excluded,
@@ -75,8 +77,8 @@ CTES["raw_rates"] = """
          CAST(ROUND(base * CAST((990 + dayofyear(exchange_date) % 21 - 100 * copy)
                                 AS DECIMAL(5,0)) * CAST(0.001 AS DECIMAL(4,3)), 6) AS DECIMAL(17,9)) AS rate_to_usd
   FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS exchange_date FROM orders) d
-  CROSS JOIN (VALUES ('USD', CAST(1.0 AS DECIMAL(9,6))), ('BRL', CAST(0.20 AS DECIMAL(9,6))),
-                     ('EUR', CAST(1.08 AS DECIMAL(9,6)))) AS c(currency_code, base)
+  CROSS JOIN (VALUES ('USD', CAST(1.0 AS DECIMAL(9,6))), ('PLN', CAST(0.20 AS DECIMAL(9,6))),
+                     ('CHF', CAST(1.08 AS DECIMAL(9,6)))) AS c(currency_code, base)
   JOIN (VALUES (0), (1)) AS v(copy) ON copy = 0 OR day(exchange_date) = 1"""
 
 CTES["rates"] = """
@@ -140,6 +142,15 @@ def upserted(target: str, source: str, key: str, cond: str = "TRUE", keep: tuple
 CTES["items_after"] = upserted("items_before", "new_items", "order_item_id")
 CTES["naive_after"] = upserted("items_before", "naive_items", "order_item_id")
 
+# The second run of the items increment by moment of arrival, whose target window is as wide as its source window.
+CTES["new_by_arrival"] = items("source_ts >= (SELECT MAX(created_at) FROM items_before) - INTERVAL 7 DAY")
+CTES["arrival_after"] = upserted(
+    "items_before",
+    "new_by_arrival",
+    "order_item_id",
+    "t.created_at >= date_trunc('day', (SELECT MAX(created_at) FROM items_before) - INTERVAL 7 DAY)",
+)
+
 CTES["stores_clean"] = """
   SELECT id AS store_id, name AS store_name, country_code, currency_code, timezone, is_franchise, opening_date,
          CAST(opening_date AS TIMESTAMP) AS created_at, source_ts AS updated_at
@@ -182,6 +193,7 @@ CTES["fct_orders"] = fact("item_rollup")
 CTES["fct_window"] = fact("item_rollup_30d", where=f"o.created_at >= {AS_OF} - INTERVAL 30 DAY")
 # The fact as it was at CUT: orders created until then, items as recorded until then.
 CTES["rollup_before"] = rollup("items_before")
+CTES["rollup_after"] = rollup("items_after")
 CTES["fct_before"] = fact("rollup_before", where=f"o.created_at <= {AS_OF} - INTERVAL 10 DAY")
 CTES["fct_merged"] = upserted(
     "fct_before",
@@ -342,6 +354,8 @@ FROM raw_stores WHERE source_ts = {AS_OF}"""),
     "item_rollup": sql("SELECT * FROM item_rollup"),
     "item_rollup_30d": sql("SELECT * FROM item_rollup_30d"),
     "fct_orders": sql("SELECT * FROM fct_orders"),
+    "item_rollup_by_deltas": sql("SELECT * FROM rollup_after"),
+    "fct_orders_bucketed": sql("SELECT * FROM fct_orders"),
     "fct_orders_window": sql("SELECT * FROM fct_window"),
     "retro_window": sql("SELECT * FROM new_items"),
     "retro_window_arrival": sql(
@@ -385,6 +399,13 @@ GROUP BY a.id"""),
 SELECT unnest([0.5, 0.9, 0.99, 1.0])::DOUBLE AS quantile,
        unnest(quantile_cont(CAST(epoch(source_ts) - epoch(created_at) AS DOUBLE), [0.5, 0.9, 0.99, 1.0])) AS lag_seconds
 FROM raw_items"""),
+    "lag_profile_merged": sql("""
+SELECT q AS quantile, COUNT(*) AS rows, CASE q WHEN 0.0 THEN MIN(lag) WHEN 1.0 THEN MAX(lag) END AS exact_lag, TRUE AS within
+FROM (SELECT unnest([0.0, 0.5, 0.9, 0.99, 1.0])::DOUBLE AS q, CAST(epoch(source_ts) - epoch(created_at) AS BIGINT) AS lag FROM raw_items)
+GROUP BY q"""),
+    "distinct_keys_by_day": sql("""
+SELECT CAST(date_trunc('month', source_ts) AS DATE) AS first, last_day(CAST(source_ts AS DATE)) AS last, COUNT(DISTINCT id) AS distinct_keys
+FROM raw_items GROUP BY 1, 2"""),
     "assert_unique": sql("SELECT id, COUNT(*) AS failing_rows FROM raw_items GROUP BY id HAVING COUNT(*) > 1"),
     "assert_not_null": sql("""
 SELECT 'product_id' AS column_name, COUNT(*) AS failing_rows FROM items_clean WHERE product_id IS NULL"""),
@@ -398,6 +419,16 @@ SELECT id AS order_item_id, order_id, TRY_CAST(product_id AS BIGINT) AS product_
        CAST(ROUND(quantity) AS BIGINT) AS quantity, CAST(unit_price AS DECIMAL(38,9)) AS unit_price_local,
        CAST(net_amount AS DECIMAL(38,9)) AS net_amount_local, default_code, is_recommended, created_at, updated_at, source_ts
 FROM raw_items"""),
+    "raw_parquet_items": sql("""
+SELECT id AS order_item_id, order_id, TRY_CAST(product_id AS BIGINT) AS product_id,
+       CAST(ROUND(quantity) AS BIGINT) AS quantity, CAST(unit_price AS DECIMAL(38,9)) AS unit_price_local,
+       CAST(net_amount AS DECIMAL(38,9)) AS net_amount_local, default_code, is_recommended, created_at, updated_at, source_ts
+FROM raw_items"""),
+    "raw_parquet_stores": sql("SELECT * FROM stores_clean"),
+    "raw_parquet_rates": sql("SELECT currency_code, exchange_date, CAST(rate AS DECIMAL(38,18)) AS rate_to_usd FROM rates"),
+    "checked_sink": sql("""
+SELECT COUNT(*) AS rows_seen, COUNT(*) FILTER (WHERE total_price_usd IS NULL) AS without_rate,
+       SUM(net_amount_usd) AS net_amount_usd, COUNT(*) AS rows_written FROM orders_clean"""),
     "csv_load_stores": sql("SELECT * FROM stores_clean"),
     "csv_load_rates": sql("SELECT currency_code, exchange_date, CAST(rate AS DECIMAL(38,18)) AS rate_to_usd FROM rates"),
     "partitioned_sink": sql(f"""
@@ -421,4 +452,5 @@ SELECT order_item_id, order_id, product_id, quantity, net_amount_local, created_
 FROM ({items(raw="(SELECT * REPLACE (CASE WHEN part_key % 97 > 0 THEN created_at END AS created_at) FROM raw_items)")})"""),
     "refresh_full": sql("SELECT * FROM fct_orders"),
     "refresh_incremental": sql("SELECT * FROM fct_run2"),
+    "refresh_by_arrival": sql("SELECT * FROM arrival_after"),
 }

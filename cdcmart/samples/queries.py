@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,18 +11,18 @@ from pyspark.sql import functions as F
 from cdcmart.functions.casts import NUMERIC, cast_columns, safe_cast
 from cdcmart.functions.labels import day_part, local_hour, region_of, store_age_days, store_maturity
 from cdcmart.functions.times import instant_lit
-from cdcmart.operators import quality, reconcile, windows
+from cdcmart.operators import key_days, lag_states, quality, reconcile, windows
 from cdcmart.operators.dedup import SOURCE_TS, latest_by_key, with_source_ts
 from cdcmart.operators.rates import convert_to_usd, one_rate_per_key
-from cdcmart.operators.rollup import item_rollup
-from cdcmart.operators.upsert import upsert, upsert_files
+from cdcmart.operators.rollup import item_rollup, rollup_changed, rollup_changes, rollup_of, rollup_state
+from cdcmart.operators.upsert import matches, merge_images, upsert, upsert_files
 from cdcmart.plans import gold, jobs, silver, validation
 from cdcmart.samples import views
 from cdcmart.samples.views import AS_OF, ITEM_TIES
 from cdcmart.session import fresh_dir, use_result_conf
-from cdcmart.sinks.tables import publish_snapshot, snapshot, write_table
+from cdcmart.sinks.tables import publish_snapshot, snapshot, write_bucketed, write_table
 from cdcmart.sources.raw import load_raw_csv, read_raw
-from cdcmart.sources.schemas import ITEMS_SPEC, METADATA, csv_columns, landing_schema
+from cdcmart.sources.schemas import ITEMS_CLEAN_SCHEMA, ITEMS_SPEC, METADATA, csv_columns, landing_schema
 from cdcmart.streaming.items import stream_items
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,7 @@ FACT_FIELDS = ("store_id", "customer_id", "channel", "status", "total_price_usd"
 ITEM_KEY = ["order_item_id"]
 # First day without events of the feed of replay_target_window, and the first day with events again.
 OUTAGE = ("1998-03-01", "1998-03-11")
+BUCKETS = 8
 # Sets of files that the stream query lands one after the other.
 DELIVERIES = 3
 
@@ -191,10 +193,28 @@ def item_rollup_30d(spark: SparkSession, sf: str) -> DataFrame:
     return item_rollup(_items(spark, sf), AS_OF, 30)
 
 
+def item_rollup_by_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    """The rollup of the items before a merge, kept up by what the merge changes."""
+    target = _items_target(spark, sf)
+    state = _stored(rollup_state(target))
+    increment = _stored(_increment(spark, sf, target))
+    matched = _stored(matches(target, increment, ITEM_KEY))
+    before, after = merge_images(target, increment, matched, ITEM_KEY)
+    return rollup_of(rollup_changed(state, rollup_changes(before, after)))
+
+
 def fct_orders(spark: SparkSession, sf: str) -> DataFrame:
     return gold.fct_orders(_orders(spark, sf), _items(spark, sf))
 
 
+def fct_orders_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact from tables that are bucketed on the order, joined and grouped without a shuffle."""
+    database = _database(spark, "bucketed")
+    write_bucketed(_orders(spark, sf), f"{database}.orders_clean", "order_id", BUCKETS)
+    write_bucketed(_items(spark, sf), f"{database}.order_items_clean", "order_id", BUCKETS)
+    return gold.fct_orders(spark.table(f"{database}.orders_clean"), spark.table(f"{database}.order_items_clean"))
+
+
 def fct_orders_window(spark: SparkSession, sf: str) -> DataFrame:
     return gold.fct_orders_window(_orders(spark, sf), _items(spark, sf), AS_OF)
 
@@ -303,6 +323,27 @@ def lag_profile(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.lag_profile(views.raw_order_items(spark, sf))
 
 
+def lag_profile_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles from states per day, those of late events merged in, and whether they are as near as promised."""
+    raw = views.raw_order_items(spark, sf)
+    late = F.col("supp_key") % 5 == 0
+    states = lag_states.merged_states(_stored(lag_states.lag_states(raw.where(~late))), lag_states.lag_states(raw.where(late)))
+    profile = lag_states.lag_profile_merged(_stored(states), [0.0, 0.5, 0.9, 0.99, 1.0])
+    exact = F.when(F.col("quantile").isin(0.0, 1.0), F.col("lag_seconds")).alias("exact_lag")
+    return lag_states.rank_within(raw, profile).select("quantile", "rows", exact, "within")
+
+
+def distinct_keys_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct items with events in each month, from numbers per day; a fifth of the events is taken up later."""
+    raw = views.raw_order_items(spark, sf)
+    late, day = F.col("supp_key") % 5 == 0, F.to_date(F.col(SOURCE_TS))
+    pairs = _stored(key_days.key_days(raw.where(~late), ["id"], day))
+    numbers = _stored(key_days.returns(pairs, ["id"]))
+    numbers = _stored(key_days.added(numbers, pairs, key_days.key_days(raw.where(late), ["id"], day), ["id"])[0])
+    months = numbers.select(F.trunc("day", "month").alias("first"), F.last_day("day").alias("last")).distinct()
+    return key_days.distinct_keys(numbers, months)
+
+
 def assert_unique(spark: SparkSession, sf: str) -> DataFrame:
     return quality.assert_unique(views.raw_order_items(spark, sf), ["id"])
 
@@ -350,6 +391,26 @@ def raw_parquet_load(spark: SparkSession, sf: str) -> DataFrame:
     return silver.latest_orders(read_raw(spark, path, "orders"))
 
 
+def _typed(events: DataFrame, table: str) -> DataFrame:
+    """``events`` as typed landing files, scanned with their explicit schema."""
+    path = fresh_dir(events.sparkSession, "landing")
+    events.select(*[F.col(f.name).try_cast(f.dataType) for f in landing_schema(table)]).write.parquet(path)
+    return read_raw(events.sparkSession, path, table)
+
+
+def raw_parquet_items(spark: SparkSession, sf: str) -> DataFrame:
+    events = _typed(views.raw_order_items(spark, sf), "order_items")
+    return cast_columns(events, [*ITEMS_SPEC, (SOURCE_TS, "source_ts", "timestamp")])
+
+
+def raw_parquet_stores(spark: SparkSession, sf: str) -> DataFrame:
+    return silver.stores_clean(_typed(views.raw_stores(spark, sf), "stores"))
+
+
+def raw_parquet_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return one_rate_per_key(_typed(views.raw_rates(spark, sf), "currency_exchange_rates"))
+
+
 def _database(spark: SparkSession, name: str) -> str:
     """A database of its own for one run of a query that writes tables."""
     path = fresh_dir(spark, name)
@@ -368,6 +429,27 @@ def partitioned_sink(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def checked_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """What the checks of a written table have seen of it on the way, beside what is in it."""
+    table = f"{_database(spark, 'checked')}.orders_clean"
+    measured = write_table(
+        _orders(spark, sf),
+        table,
+        "created_at",
+        ["store_id"],
+        unit="month",
+        checks={"every order has a key": F.count_if(F.col("order_id").isNull()) == 0, "some orders": F.count(F.lit(1)) > 0},
+        measures={
+            "rows_seen": F.count(F.lit(1)),
+            "without_rate": F.count_if(F.col("total_price_usd").isNull()),
+            "net_amount_usd": F.sum("net_amount_usd"),
+        },
+    )
+    seen = spark.createDataFrame([tuple(measured.values())], "rows_seen bigint, without_rate bigint, net_amount_usd decimal(38,9)")
+    written = spark.table(table).agg(F.count(F.lit(1)).alias("rows_written"))
+    return seen.join(written, F.lit(True))  # one row each
+
+
 def replay_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return validation.replay_incremental(
         views.raw_order_items(spark, sf), "1995-01-01", AS_OF, window_days=7, tie_breakers=ITEM_TIES
@@ -428,6 +510,18 @@ def refresh_full(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.refresh_full(spark, cfg, AS_OF)["fct_orders"].select(*gold.FCT_COLUMNS)
 
 
+def refresh_by_arrival(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of the items increment by moment of arrival, with the future capped and a target window of five days,
+    which is widened to the seven of the source window."""
+    database = _database(spark, "arrival")
+    for moment, as_of in ((CUT, CUT), (None, AS_OF)):
+        cfg = _mart(spark, sf, database, moment)
+        raw = {**cfg.raw, "order_items": cfg.raw["order_items"].withColumn("arrived_at", F.col(SOURCE_TS))}
+        cfg = replace(cfg, raw=raw, items_window_col="arrived_at", items_target_days=5, cap_future=True, widen_target=True)
+        items = jobs.refresh_items_increment(spark, cfg, as_of)
+    return items.select(*ITEMS_CLEAN_SCHEMA.names)
+
+
 def refresh_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs of the hot path: one on the feed up to CUT, one on the whole feed."""
     database = _database(spark, "incremental")
@@ -454,6 +548,8 @@ QUERIES: dict[str, Query] = {
     "item_rollup": item_rollups,
     "item_rollup_30d": item_rollup_30d,
     "fct_orders": fct_orders,
+    "item_rollup_by_deltas": item_rollup_by_deltas,
+    "fct_orders_bucketed": fct_orders_bucketed,
     "fct_orders_window": fct_orders_window,
     "retro_window": retro_window,
     "retro_window_arrival": retro_window_arrival,
@@ -473,6 +569,8 @@ QUERIES: dict[str, Query] = {
     "parity_report": parity_report,
     "drift_full_vs_incremental": drift_full_vs_incremental,
     "lag_profile": lag_profile,
+    "lag_profile_merged": lag_profile_merged,
+    "distinct_keys_by_day": distinct_keys_by_day,
     "assert_unique": assert_unique,
     "assert_not_null": assert_not_null,
     "assert_ref": assert_ref,
@@ -481,12 +579,17 @@ QUERIES: dict[str, Query] = {
     "csv_load_stores": csv_load_stores,
     "csv_load_rates": csv_load_rates,
     "raw_parquet_load": raw_parquet_load,
+    "raw_parquet_items": raw_parquet_items,
+    "raw_parquet_stores": raw_parquet_stores,
+    "raw_parquet_rates": raw_parquet_rates,
+    "checked_sink": checked_sink,
     "partitioned_sink": partitioned_sink,
     "replay_incremental": replay_incremental,
     "replay_target_window": replay_target_window,
     "stream_items": stream_item_files,
     "refresh_full": refresh_full,
     "refresh_incremental": refresh_incremental,
+    "refresh_by_arrival": refresh_by_arrival,
 }
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,10 @@ from cdcmart.operators.windows import PARTITION_BY, partition_column, partition_
 from cdcmart.session import require_utc
 
 
+class RefusedContent(ValueError):
+    """New content of a table that fails one of its checks."""
+
+
 def with_partition(df: DataFrame, ts: str = "created_at", unit: str = "day") -> DataFrame:
     column = PARTITION_BY[unit]
     return df.withColumn(column, partition_value(column, ts))
@@ -89,13 +93,19 @@ def write_table(
     cluster: Sequence[str] = (),
     path: str | None = None,
     unit: str = "day",
-) -> None:
+    checks: Mapping[str, Column] | None = None,
+    measures: Mapping[str, Column] | None = None,
+) -> dict[str, object]:
     """Full refresh: replace the catalog table ``table`` with ``df``, partitioned on the date of ``partition_ts``.
 
     The new content is written to a location of its own, below ``path`` or the database, under the name
     ``table__next``; only a complete table takes the name over, by two renames in the catalog. A failed write leaves
     the old table as it was, and readers meet no gap while a new one is written. The old files stay until the next
     refresh, for queries that were planned on them.
+
+    ``checks`` are conditions on aggregates of the new content, by name, and ``measures`` aggregates of it, which are
+    returned. Both are observed while the rows are written, in the same pass. If a check does not hold, the table is
+    not switched and ``RefusedContent`` is raised; what was written is deleted.
     """
     spark = require_utc(df.sparkSession)
     out = with_partition(df, partition_ts, unit) if partition_ts else df
@@ -104,10 +114,22 @@ def write_table(
     spark.sql(f"DROP TABLE IF EXISTS {table}__next")
     base = (path or _default_location(spark, table)).rstrip("/")
     location = f"{base}__{uuid.uuid4().hex}"
-    writer = laid_out(out, partition, cluster).write.format("parquet").option("path", location)
+    arranged, observed = laid_out(out, partition, cluster), None
+    if checks or measures:
+        # Behind the last shuffle, where only tasks that have succeeded report.
+        observed = Observation()
+        wanted = {**(checks or {}), **(measures or {})}
+        arranged = arranged.observe(observed, *[c.alias(name) for name, c in wanted.items()])
+    writer = arranged.write.format("parquet").option("path", location)
     if partition:
         writer = writer.partitionBy(partition)
     writer.saveAsTable(f"{table}__next")
+    seen = observed.get if observed else {}
+    failed = [name for name in checks or () if seen[name] is not True]
+    if failed:
+        spark.sql(f"DROP TABLE {table}__next")
+        delete_dir(spark, location)
+        raise RefusedContent(f"{table} is left as it was; its new content fails: {', '.join(failed)}")
     if spark.catalog.tableExists(table):
         spark.sql(f"DROP TABLE IF EXISTS {table}__previous")
         spark.sql(f"ALTER TABLE {table} RENAME TO {table}__previous")
@@ -118,6 +140,19 @@ def write_table(
         spark.sql(f"DROP TABLE {table}__previous")
     _sweep(spark, base, [location, *old])
     spark.catalog.refreshTable(table)
+    return {name: seen[name] for name in measures or ()}
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Replace the catalog table ``table`` by ``df``, dealt into ``buckets`` files sorted by ``key``.
+
+    Tables with the same number of buckets on the same key are joined and grouped by it without a shuffle. A bucket is
+    read by one task, so this is for keys of which none holds a large share of the rows; the number of buckets should
+    give each some hundred megabytes.
+    """
+    require_utc(df.sparkSession)
+    dealt = df.repartition(buckets, key)  # as the buckets are, so that each is written by one task as one file
+    dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
 
 
 def read_target(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:

@@ -16,7 +16,8 @@ from cdcmart.session import conf_set
 from cdcmart.sinks.tables import finish_switch, write_table
 from cdcmart.sources.raw import load_raw_csv, read_raw
 from cdcmart.sources.schemas import FCT_ORDERS, METADATA, ORDERS_CLEAN, csv_columns, landing_schema
-from cdcmart.streaming.items import merge_batch, stream_items
+from cdcmart.streaming import items as stream
+from cdcmart.streaming.items import append_events, compact, current_items, merge_batch, pending_events, stream_items
 
 
 def cdc(spark, data, columns):
@@ -309,6 +310,35 @@ def test_stream_merges_files_and_goes_on_where_it_stopped(spark, database, rows,
     assert spark.table(table).count() == 2
 
 
+def test_backlog_is_merged_once_and_read_before_it_is(spark, database, rows, tmp_path, monkeypatch):
+    landing, checkpoint, table = str(tmp_path / "in"), str(tmp_path / "cp"), f"{database}.items"
+    options = {"schema": landing_schema("order_items")}
+    deliveries = [
+        [item("a", "2024-01-01", quantity="1"), item("b", "2024-01-01", quantity="2")],
+        [item("a", "2024-01-01", ts="2024-01-03", quantity="3")],
+        [item("a", "2024-01-01", ts="2024-01-02", quantity="4"), item("c", "2024-01-02", quantity="5")],
+    ]
+    for d in [*deliveries, deliveries[0]]:
+        typed_items(spark, *d).coalesce(1).write.mode("append").parquet(landing)
+    append_events(spark, landing, checkpoint, max_files_per_batch=1, **options)
+    assert not spark.catalog.tableExists(table) and pending_events(spark, checkpoint).count() == 7
+    want = [("a", 3), ("b", 2), ("c", 5)]
+    assert rows(current_items(spark, table, checkpoint), "order_item_id", "quantity") == want
+    merges = []
+    monkeypatch.setattr(stream, "merge_batch", lambda *a: merges.append(merge_batch(*a)))
+    # A compaction whose driver dies before the folders go is repeated without harm.
+    monkeypatch.setattr(stream, "delete_dir", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        compact(spark, table, checkpoint)
+    monkeypatch.undo()
+    monkeypatch.setattr(stream, "merge_batch", lambda *a: merges.append(merge_batch(*a)))
+    assert rows(current_items(spark, table, checkpoint), "order_item_id", "quantity") == want
+    assert compact(spark, table, checkpoint) == 4 and len(merges) == 2
+    assert rows(spark.table(table), "order_item_id", "quantity") == want
+    assert compact(spark, table, checkpoint) == 0 and pending_events(spark, checkpoint) is None
+    assert rows(current_items(spark, table, checkpoint), "order_item_id", "quantity") == want
+
+
 def test_repeated_batch_changes_nothing(spark, database, rows):
     batch = typed_items(spark, item("a", "2024-01-01"), item("b", "2024-01-02"))
     for _ in range(2):
