@@ -14,7 +14,10 @@ k similar words has k - 1 edges and not all pairs.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +34,10 @@ SHAPED, UNSHAPED, DISAGREE, CHAIN, OBSERVED = -2.0, -12.0, -5.0, 0.3, 30.0
 ROUNDS, DAMPING = 8, 0.3
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# Nothing follows the repeated groups, so giving back what they have taken never helps; possessive, they keep no trail.
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
-CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 SALIENT = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
@@ -114,17 +118,16 @@ def _shapes(word: str) -> list[bool]:
 
 
 class Graph:
-    """Factor graphs of many documents side by side."""
+    """Factor graphs of many documents side by side, in arrays of numbers: a word costs some tens of bytes."""
 
     def __init__(self):
-        self.unary: list[list[float]] = []
-        self.spans: list[tuple[int, int, int] | None] = []  # of unobserved nodes: document, start, end
-        self.chain: list[tuple[int, int]] = []
-        self.skip: list[tuple[int, int]] = []
+        self.texts: list[str] = []
+        self.doc, self.start, self.end, self.kind = array("i"), array("i"), array("i"), array("b")
+        self.linked = array("b")  # whether a node shares a chain potential with the one before
+        self.skip = array("q")  # ends of skip edges, one after the other
 
-    def add(self, doc: int, text: str, base: list[Span]) -> None:
-        nodes = [(start, end, kind) for kind, start, end in base]
-        taken = sorted((s, e) for _, s, e in base)
+    def _words(self, text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        """Words that hold a digit or an ``@``, without punctuation around them, outside the base spans."""
         k = 0
         for m in SALIENT.finditer(text):
             start, end = m.span()
@@ -135,60 +138,98 @@ class Graph:
             while k < len(taken) and taken[k][1] <= start:
                 k += 1
             if end > start and not any(s < end and start < e for s, e in taken[k : k + 8]):
-                nodes.append((start, end, -1))
-        nodes.sort()
-        groups: dict[str, list[int]] = {}
+                yield start, end
+
+    def add(self, doc: int, text: str, base: list[Span]) -> None:
+        self.texts.append(text)
+        spans = sorted((start, end, kind) for kind, start, end in base)
+        words = ((start, end, -1) for start, end in self._words(text, [s[:2] for s in spans]))
+        first = len(self.doc)
         before = None
-        for start, end, kind in nodes:
-            at = len(self.unary)
-            word = text[start:end]
+        hubs: dict[str, int] = {}
+        for start, end, kind in heapq.merge(spans, words):
+            at = len(self.doc)
+            for column, value in zip((self.doc, self.start, self.end, self.kind), (doc, start, end, kind)):
+                column.append(value)
+            self.linked.append(before is not None and start >= before and not text[before:start].strip())
+            before = end
+            for key in _keys(text[start:end]):
+                hub = hubs.setdefault(key, at)
+                if kind >= 0 and self.kind[hub] < 0:
+                    hubs[key] = at
+        for at in range(first, len(self.doc)):
+            for key in _keys(text[self.start[at] : self.end[at]]):
+                if hubs[key] != at:
+                    self.skip.extend((hubs[key], at))
+
+    def _unary(self, at: np.ndarray, texts: dict[int, str]) -> np.ndarray:
+        rows = []
+        for i in at.tolist():
+            kind = self.kind[i]
             if kind >= 0:
-                self.unary.append([-OBSERVED] + [0.0 if i == kind else -OBSERVED for i in range(4)])
-                self.spans.append(None)
+                rows.append([-OBSERVED] + [0.0 if k == kind else -OBSERVED for k in range(4)])
             else:
-                self.unary.append([0.0] + [SHAPED if fits else UNSHAPED for fits in _shapes(word)])
-                self.spans.append((doc, start, end))
-            if before is not None and start >= before[0] and not text[before[0] : start].strip():
-                self.chain.append((before[1], at))
-            before = (end, at)
-            for key in _keys(word):
-                groups.setdefault(key, []).append(at)
-        for members in groups.values():
-            hub = next((m for m in members if self.spans[m] is None), members[0])
-            self.skip += [(hub, m) for m in members if m != hub]
-
-    def marginals(self) -> np.ndarray:
-        """Log beliefs by loopy sum-product, damped, all edges at once."""
-        unary = np.array(self.unary)
-        pairs = np.array(self.chain + self.skip, np.int64).reshape(-1, 2)
-        if not len(pairs):
-            return unary
-        chain = np.eye(5) * CHAIN
-        chain[0, 0] = 0.0
-        skip = (1 - np.eye(5)) * DISAGREE
-        factor = np.concatenate([np.broadcast_to(chain, (len(self.chain), 5, 5)), np.broadcast_to(skip, (len(self.skip), 5, 5))])
-        source, target = np.concatenate([pairs[:, 0], pairs[:, 1]]), np.concatenate([pairs[:, 1], pairs[:, 0]])
-        factor = np.concatenate([factor, factor])  # symmetric
-        back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
-        message = np.zeros((len(source), 5))
-        for _ in range(ROUNDS):
-            belief = unary.copy()
-            np.add.at(belief, target, message)
-            out = belief[source] - message[back]
-            new = np.logaddexp.reduce(out[:, :, None] + factor, axis=1)
-            new -= new.max(axis=1, keepdims=True)
-            message = DAMPING * message + (1 - DAMPING) * new
-        belief = unary.copy()
-        np.add.at(belief, target, message)
-        return belief
+                word = texts[self.doc[i]][self.start[i] : self.end[i]]
+                rows.append([0.0] + [SHAPED if fits else UNSHAPED for fits in _shapes(word)])
+        return np.array(rows).reshape(-1, 5)
 
     def found(self) -> list[tuple[int, int, int, int]]:
-        """(document, kind, start, end) of the words labelled as personal data."""
-        free = [i for i, s in enumerate(self.spans) if s is not None]
-        if not free:
+        """(document, kind, start, end) of the words labelled as personal data.
+
+        In the rounds there are, a label travels that many edges. So only words as near to an observed node can take
+        one, and what they take depends on nodes twice as far at most; all others leave the graph before it is solved.
+        """
+        kind = np.frombuffer(self.kind, np.int8)
+        linked, skip = np.frombuffer(self.linked, np.int8)[1:] > 0, np.frombuffer(self.skip, np.int64).reshape(-1, 2)
+        if not (kind < 0).any() or not (kind >= 0).any():
             return []
-        label = self.marginals().argmax(axis=1)
-        return [(self.spans[i][0], int(label[i]) - 1, *self.spans[i][1:]) for i in free if label[i]]
+        steps = np.where(kind >= 0, 0, 4 * ROUNDS).astype(np.int8)
+        for n in range(1, 2 * ROUNDS + 1):
+            near = steps < n
+            steps[1:][linked & near[:-1] & ~near[1:]] = n
+            steps[:-1][linked & near[1:] & ~near[:-1]] = n
+            for a, b in ((0, 1), (1, 0)):
+                reached = skip[near[skip[:, a]], b]
+                steps[reached] = np.minimum(steps[reached], n)
+        kept = np.flatnonzero(steps <= 2 * ROUNDS)
+        second = np.flatnonzero((np.diff(kept) == 1) & linked[kept[1:] - 1]) + 1
+        chain = np.stack([second - 1, second], axis=1)
+        skip = np.searchsorted(kept, skip[(steps[skip] <= 2 * ROUNDS).all(axis=1)])
+        unary = self._unary(kept, dict(zip(dict.fromkeys(self.doc), self.texts)))
+        label = marginals(unary, chain, skip).argmax(axis=1)
+        out = []
+        for k in np.flatnonzero((label > 0) & (kind[kept] < 0) & (steps[kept] <= ROUNDS)).tolist():
+            i = int(kept[k])
+            out.append((self.doc[i], int(label[k]) - 1, self.start[i], self.end[i]))
+        return out
+
+
+def marginals(unary: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> np.ndarray:
+    """Log beliefs by loopy sum-product, damped, all edges at once. Both potentials are the same for all edges of a kind,
+    so a message is a sum over the labels and a correction of the one that is equal."""
+    pairs = np.concatenate([chain, skip])
+    if not len(pairs):
+        return unary
+    source, target = np.concatenate([pairs[:, 0], pairs[:, 1]]), np.concatenate([pairs[:, 1], pairs[:, 0]])
+    back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
+    in_chain = np.tile(np.arange(len(pairs)) < len(chain), 2)
+    others = np.where(in_chain, 1.0, np.exp(DISAGREE))[:, None]
+    equal = np.where(in_chain[:, None], np.exp(CHAIN), 1.0) * np.ones(5)
+    equal[in_chain, 0] = 1.0
+    message = np.zeros((len(source), 5))
+    for _ in range(ROUNDS):
+        belief = unary.copy()
+        np.add.at(belief, target, message)
+        out = belief[source]
+        out -= message[back]
+        np.exp(out - out.max(axis=1, keepdims=True), out=out)
+        new = np.log(out.sum(axis=1, keepdims=True) * others + out * (equal - others))
+        new -= new.max(axis=1, keepdims=True)
+        message *= DAMPING
+        message += (1 - DAMPING) * new
+    belief = unary.copy()
+    np.add.at(belief, target, message)
+    return belief
 
 
 def find(texts: list[str]) -> list[tuple[list[Span], list[Span]]]:

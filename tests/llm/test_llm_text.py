@@ -1,9 +1,11 @@
 """Personal data, token counts, packing, licences and pages."""
 
 import hashlib
+import itertools
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -184,6 +186,48 @@ def test_license_table(mixed, texts, empty):
     assert licenses.license_scan(empty).count() == 0
 
 
+def exact_labels(unary, chain, skip):
+    """Labels of largest marginal probability, from the sum over all labellings."""
+    n = len(unary)
+    total = np.zeros((n, 5))
+    for labels in itertools.product(range(5), repeat=n):
+        weight = sum(unary[i][k] for i, k in enumerate(labels))
+        weight += sum(pii.CHAIN for a, b in chain if labels[a] == labels[b] != 0) + sum(pii.DISAGREE for a, b in skip if labels[a] != labels[b])
+        for i, k in enumerate(labels):
+            total[i, k] += np.exp(weight)
+    return total.argmax(axis=1).tolist()
+
+
+def test_labels_against_all_labellings():
+    rng = random.Random(8)
+    for _ in range(60):
+        n = rng.randint(2, 5)
+        unary = np.full((n, 5), pii.UNSHAPED)
+        unary[:, 0] = 0.0
+        for i in range(n):
+            if rng.random() < 0.4:
+                unary[i] = -pii.OBSERVED
+                unary[i, rng.randint(1, 4)] = 0.0
+            else:
+                unary[i, rng.sample(range(1, 5), 2)] = pii.SHAPED
+        chain = np.array([(i, i + 1) for i in range(n - 1) if rng.random() < 0.5], np.int64).reshape(-1, 2)
+        skip = np.array([(0, i) for i in range(1, n) if rng.random() < 0.6], np.int64).reshape(-1, 2)
+        assert pii.marginals(unary, chain, skip).argmax(axis=1).tolist() == exact_labels(unary, chain.tolist(), skip.tolist())
+
+
+def test_numbers_far_from_any_span_leave_the_graph():
+    rng = random.Random(2)
+    numbers = " ".join(str(rng.randrange(100)) for _ in range(200_000))
+    near = "Call +49 170 5550123 or 1705550123 please. "
+    alone = pii.find([near])[0]
+    assert len(alone[1]) > len(alone[0])
+    tracemalloc.start()
+    found = pii.find([near + numbers])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == alone and peak < 40 << 20
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var x = "</p><article>no</article>";</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">Menu</a></ul></nav><div class="cookie-notice">We use cookies.</div>
 <div class="content post-{n}"><div class="body7"><h1>Title &amp; more</h1><p>First   <b>bold<br>text</b> &#8211; it&nbsp;goes on and on.<p>Second
