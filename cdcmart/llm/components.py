@@ -10,14 +10,15 @@ from cdcmart.llm.common import stored
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One contraction. Large: every larger neighbour of a node is linked to the least one around it. Small: every
-    smaller neighbour, and the node itself, is."""
+    smaller neighbour, and the node itself, is. The least neighbours are written first: an aggregate on the key of the
+    join would keep adaptive execution from splitting the edges of a hub."""
     if large:
         around = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = stored(around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "edges_least")
         linked = around.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(down.groupBy("u").agg(F.min("v").alias("m")), "edges_least")
         linked = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
     return linked.where("u <> v").dropDuplicates()
 

@@ -113,7 +113,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct_fingerprints")
     roots = components(links(nodes.select("fp")))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    # Written first, so that a component with very many fingerprints can be split in the join.
+    names = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    named = rooted.join(names, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(named, "fp").select(F.col("id").alias(id_col), hexed, "component_id")
 

@@ -217,3 +217,25 @@ def test_pipeline(spark):
         assert r["text"] == pii.masked(texts[r["doc_id"]], whole) and r["n_chars"] == len(r["text"])
     ran = corpus_pipeline.run(spark, SF)
     assert Counter(tuple(r) for r in ran.drop("sequence_id", "offset").collect()) == Counter(tuple(r) for r in docs.drop("sequence_id", "offset").collect())
+
+
+def test_edges_of_a_hub_are_split(spark):
+    keys = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        star = spark.range(1, 1_000_001, numPartitions=8).select(F.lit(0).cast("bigint").alias("u"), F.col("id").alias("v"))
+        once = components._star(star, large=True)
+        assert len(once.toArrow()) == 1_000_000
+        text = once._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in text
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
