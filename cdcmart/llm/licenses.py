@@ -3,7 +3,8 @@
 Sparse word n-grams feed a softmax regression over licence families and an unknown class. It is trained here on the
 templates, on damaged copies of them, and on ordinary sentences that use the same words. A temperature fitted on other
 damaged copies calibrates its probabilities. Every line is looked at whole and in overlapping windows of the lengths of the
-templates. A prediction counts only if the window also shares enough word pairs with a template of the predicted family.
+templates. A prediction counts only if the window also shares enough word pairs with a template of the predicted family,
+one of them a pair that no other family has.
 """
 
 from __future__ import annotations
@@ -21,6 +22,10 @@ from cdcmart.llm.common import map_batches, picked
 UNKNOWN = "unknown"
 # Short notices by family.
 TEMPLATES = {
+    "agpl": (
+        "Licensed under the AGPL, version 3.",
+        "This program is licensed under the GNU Affero General Public License, version 3.",
+    ),
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
@@ -39,6 +44,18 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "cc-by-nc-nd": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    "cc-by-nc-sa": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "cc-by-nd": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
     "cc-by-sa": (
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
@@ -47,11 +64,19 @@ TEMPLATES = {
         "Released into the public domain under CC0 1.0.",
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     ),
+    "epl": (
+        "Licensed under the Eclipse Public License 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
         "Licensed under the GPL, version 2 or later.",
     ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+        "Released under the ISC License.",
+    ),
     "lgpl": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "Licensed under the LGPL, version 3.",
@@ -60,6 +85,7 @@ TEMPLATES = {
         "Released under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction.',
         "Licensed under the MIT license.",
+        "Published under MIT terms.",
     ),
     "mpl": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -68,6 +94,13 @@ TEMPLATES = {
     "reserved": (
         "All rights reserved.",
         "Copyright. All rights reserved. No part of this publication may be reproduced without permission.",
+        "Alle Rechte vorbehalten.",
+        "Tous droits réservés.",
+        "Todos los derechos reservados.",
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Released under the Unlicense.",
     ),
 }
 # Sentences with the words of notices that grant nothing.
@@ -77,13 +110,19 @@ OTHER = (
     "You need a fishing license to use this lake.", "The general said that the public was right.", "The rights of the workers were published.",
     "A version of the work was released in May.", "The apache helicopter landed at the base.", "The foundation gave the program a new form.",
     "The warranty covers the following conditions.", "Copyright law is a matter of dispute in the courts.", "The copyright debate goes on.",
+    "She is licensed under the state board.", "He works under the terms of his contract.", "The bar is licensed to sell wine under local law.",
     "They discussed whether the license should be renewed.", "The terms of the agreement were not published.", "Under the law all men have rights.",
 )
 # A paragraph without any of these cannot be a notice; every template has one.
 STEMS = (
     "licen", "copyright", "rights reserved", "redistribut", "permission", "public domain", "gpl", "creative commons", "cc by", "cc-by", "cc0",
-    "apache", "mozilla public", "bsd", "free software", "related rights",
+    "apache", "mozilla public", "bsd", "free software", "related rights", "eclipse public", "mit terms", "vorbehalten", "droits r", "reservados",
 )
+# Words that stand in notices of all kinds. A pair of two of these, or of one and a number, names no family.
+COMMON = frozenset(
+    "the to of is this and or a in you may not be as with under it any for all an on that are no license licensed version released work public "
+    "terms software program free use at into".split()
+)
 # Words of the windows that a line is cut into, as long as the examples of the training.
 LENGTHS = (4, 8, 16, 32, 48)
 WORD = re.compile(r"[a-z0-9]+(?:[.][0-9]+)*")
@@ -174,9 +213,22 @@ def template_pairs(family: str) -> list[set[tuple[str, ...]]]:
     return [pairs(words_of(t)) for t in TEMPLATES[family]]
 
 
+@cache
+def telling(family: str) -> frozenset[tuple[str, ...]]:
+    """Word pairs of the family's templates that no other family and no ordinary sentence has, with a word that names
+    something: what it shares with all others, such as "licensed under the", confirms nothing."""
+    elsewhere = {p for other in TEMPLATES if other != family for t in template_pairs(other) for p in t}
+    elsewhere |= {p for s in OTHER for p in pairs(words_of(s))}
+    own = {p for t in template_pairs(family) for p in t}
+    return frozenset(p for p in own - elsewhere if any(w.isalpha() and len(w) > 1 and w not in COMMON for w in p))
+
+
 def confirmed(words: list[str], family: str) -> bool:
-    """Whether the word pairs of some template lie in the paragraph, or the paragraph's in it, for the most part."""
+    """Whether the word pairs of some template lie in the paragraph, or the paragraph's in it, for the most part, and one
+    of them tells the family from the others."""
     own = pairs(words)
+    if own.isdisjoint(telling(family)):
+        return False
     return any(len(own & t) >= LEAST_SHARED * min(len(own), len(t)) for t in template_pairs(family))
 
 

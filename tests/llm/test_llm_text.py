@@ -352,3 +352,117 @@ def test_notices_inside_long_lines():
     for between in ("", prose(30), prose(300)):
         assert [f for _, f, _ in licenses.classify([two.format(between)], m)[0]] == ["gpl", "mit"]
     assert [f for _, f, _ in licenses.classify(["CC BY 4.0"], m)[0]] == ["cc-by"]
+
+# Notices in other words than the templates, and sentences and notices of licences that are none of the families.
+NOTICES = {
+    "agpl": [
+        "The server is licensed under the GNU Affero General Public License version 3.",
+        "You may use it under the AGPL version 3 only.",
+    ],
+    "apache-2.0": [
+        "It is available under the Apache License, Version 2.0, a copy of which is enclosed.",
+        "Code: Apache License 2.0",
+    ],
+    "bsd": [
+        "All code here is under the BSD 3-Clause License.",
+        "The module is distributed under the BSD license.",
+    ],
+    "cc-by": [
+        "Text and images are licensed under a Creative Commons Attribution 4.0 International License.",
+        "Photos: CC BY 4.0",
+    ],
+    "cc-by-nc": [
+        "The data are licensed under CC BY-NC 4.0, see below.",
+        "Creative Commons Attribution-NonCommercial 4.0 International License",
+    ],
+    "cc-by-nc-nd": [
+        "This article is licensed under CC BY-NC-ND 4.0.",
+    ],
+    "cc-by-nc-sa": [
+        "All course notes are licensed under CC BY-NC-SA 4.0.",
+        "Creative Commons Attribution-NonCommercial-ShareAlike 4.0",
+    ],
+    "cc-by-nd": [
+        "Creative Commons Attribution-NoDerivatives 4.0 International",
+    ],
+    "cc-by-sa": [
+        "Content is available under CC BY-SA 4.0 unless noted.",
+        "Creative Commons Attribution-ShareAlike 4.0",
+    ],
+    "cc0": [
+        "The data set is released into the public domain under CC0 1.0.",
+    ],
+    "epl": [
+        "Made available under the terms of the Eclipse Public License 2.0",
+    ],
+    "gpl": [
+        "You can redistribute this program under the terms of the GNU General Public License, version 3.",
+        "Licensed under the GPL version 2 or any later version.",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted",
+    ],
+    "lgpl": [
+        "The library is licensed under the GNU Lesser General Public License version 2.1 or later.",
+        "Use it under the LGPL, version 3.",
+    ],
+    "mit": [
+        "The code is released under the MIT License.",
+        "Published under MIT terms.",
+    ],
+    "mpl": [
+        "Files are subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Licensed under the Mozilla Public License 2.0, as is",
+    ],
+    "reserved": [
+        "(c) 2020 Somebody. All rights reserved.",
+        "Alle Rechte vorbehalten. 2019",
+    ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain by its author.",
+    ],
+}
+NO_FAMILY = [
+    "She is licensed under the state board.",
+    "Licensed under the EUPL, version 1.2.",
+    "Licensed under the Artistic License 2.0.",
+    "This work is licensed under the Open Data Commons Attribution License.",
+    "Released under the zlib license.",
+    "Licensed under the Boost Software License, Version 1.0.",
+    "Distributed under the terms of the Academic Free License version 3.0.",
+    "Licensed under the Microsoft Public License.",
+    "The Public License of the town was renewed.",
+    "Released under the WTFPL.",
+    "Licensed under the CeCILL license, version 2.1.",
+    "Subject to the terms of the Common Development and Distribution License.",
+    "Under the terms of the deal the public got a version for free.",
+    "The general asked for a license for the library.",
+    "Permission is granted to copy this page.",
+    "He was granted permission to use the software.",
+    "The terms of the public lease are version two.",
+    "Source and binary forms of the word exist.",
+    "All rights of the people were upheld.",
+    "The Mozilla public meeting was free.",
+    "Creative commons are a shared good.",
+    "Copyright is a matter of law.",
+    "She has a fishing license, version 2.",
+    "Licensed under the Open Software License 3.0",
+    "Licensed under the SIL Open Font License, Version 1.1.",
+]
+
+
+def test_notices_in_other_words():
+    m = licenses.model()
+    for family, notices in NOTICES.items():
+        for notice in notices:
+            assert [f for _, f, _ in licenses.classify([notice], m)[0]] == [family], notice
+    named = [t for t in NO_FAMILY if licenses.classify([t], m)[0]]
+    assert len(named) <= 0.05 * len(NO_FAMILY), named
+
+
+def test_every_family_has_pairs_of_its_own():
+    for family in licenses.TEMPLATES:
+        assert licenses.telling(family)
+        for notice in licenses.TEMPLATES[family]:
+            assert licenses.confirmed(licenses.words_of(notice), family), notice
+    assert not licenses.confirmed(licenses.words_of("licensed under the"), "lgpl")
