@@ -28,6 +28,7 @@ GRAM, GRAM_BUCKETS = 4, 1 << 14
 SAMPLE_PER_CLASS, SAMPLE_CHARS, VOCABULARY, LEAST_DOCS = 1500, 8_000, 20_000, 8
 EPOCHS, BATCH, RATE = 8, 64, 0.02
 KEPT_WORDS = 100_000
+LONGEST_WORD, PART_CHARS = 64, 16
 THRESHOLD = 0.3
 
 Params = dict[str, np.ndarray]
@@ -39,7 +40,13 @@ def _grams(word: str) -> list[int]:
 
 
 def words_of(text: str) -> list[str]:
-    return text.lower().split()
+    """Words between white space. Longer ones than any word, as in writing without spaces, are cut into overlapping parts,
+    so that windows move over them too."""
+    words = text.lower().split()
+    if not words or max(map(len, words)) <= LONGEST_WORD:
+        return words
+    step = PART_CHARS // 2
+    return [p for w in words for p in ([w] if len(w) <= LONGEST_WORD else [w[i : i + PART_CHARS] for i in range(0, len(w) - step, step)])]
 
 
 class Model(NamedTuple):

@@ -239,3 +239,12 @@ def test_edges_of_a_hub_are_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_writing_without_spaces_is_read_in_parts():
+    text = "".join(chr(0x4E00 + k % 3000) for k in range(5000))
+    words = toxicity.words_of(text)
+    assert len(toxicity.windows_of(len(words))) > 1 and max(map(len, words)) == toxicity.PART_CHARS
+    step = toxicity.PART_CHARS // 2
+    assert "".join(w[:step] for w in words[:-1]) + words[-1] == text
+    assert toxicity.words_of("Short words " + "x" * 64) == ["short", "words", "x" * 64] and toxicity.words_of(" ") == []
