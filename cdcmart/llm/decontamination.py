@@ -144,19 +144,24 @@ def near_in(words: DataFrame, tests: Tests, slop: int = 3, share: float = 0.8) -
     alone = "array(struct(xxhash64(w[0]) as pair, 0 as offset))"
     anchors = windows.join(rare, "window").select("window", F.explode(F.expr(f"if(size(w) = 1, {alone}, {pair})")).alias("a"))
     anchors = stored(anchors.select("window", "a.*").dropDuplicates(), "anchors")
-    # Each position with the tokens around it, so that a place is judged where it is found; long texts go in parts.
+    # Positions meet the anchors by their pairs alone. What stands around them is fetched for the places found only: from
+    # parts of the texts, so that a row stays small however long a text is.
+    beside = [f"xxhash64(tokens[p], get(tokens, p + {g}))" for g in range(1, apart + 1)]
+    keys = f"array_distinct(array({', '.join(beside + ['xxhash64(tokens[p])'] * tests.singles)}))"
+    entry = f"transform(sequence(0, size(tokens) - 1), p -> struct(p as pos, {keys} as pairs))"
+    texts = words.where(F.size("tokens") > 0)
+    at = texts.select(*DOC, F.explode(F.expr(entry)).alias("e")).select(*DOC, "e.pos", F.explode("e.pairs").alias("pair"))
+    at = at.join(_sent(anchors, anchors.count()), "pair").withColumn("d", F.col("pos") - F.col("offset"))
+    at = stored(at.groupBy(*DOC, "window", "d").agg(F.min("pos").alias("pos")), "near_places")
     around, part = size - 1 + 2 * slop, 1000
     parts = f"""transform(sequence(0, (size(tokens) - 1) div {part}), k -> struct(cast(k * {part} as int) as first,
         slice(tokens, cast(greatest(k * {part} - {around}, 0) as int) + 1, {part + 2 * around}) as c))"""
-    cut = words.where(F.size("tokens") > 0).select(*DOC, F.explode(F.expr(parts)).alias("p")).select(*DOC, "p.*")
-    cut = cut.withColumn("from", F.greatest(F.col("first") - around, F.lit(0)))
-    entry = f"""transform(sequence(first, least(first + {part}, from + size(c)) - 1), p ->
-        struct(p as pos, slice(c, greatest(p - {around}, 0) - from + 1, {2 * around + 1}) as c))"""
-    at = cut.select(*DOC, F.explode(F.expr(entry)).alias("e")).select(*DOC, "e.*").withColumn("from", F.greatest(F.col("pos") - around, F.lit(0)))
-    beside = [f"xxhash64(get(c, pos - from), get(c, pos - from + {g}))" for g in range(1, apart + 1)]
-    keys = F.expr(f"array_distinct(array({', '.join(beside + ['xxhash64(get(c, pos - from))'] * tests.singles)}))")
-    at = at.select(*DOC, "pos", "from", "c", F.explode(keys).alias("pair")).join(_sent(anchors, anchors.count()), "pair")
-    at = at.join(_sent(windows, tests.n_windows), "window").withColumn("d", F.col("pos") - F.col("offset"))
+    cut = texts.select(F.col("id").alias("of_id"), F.col("h").alias("of_h"), F.explode(F.expr(parts)).alias("p")).select("of_id", "of_h", "p.*")
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("h") == F.col("of_h")) & (F.expr(f"pos - pos % {part}") == F.col("first"))
+    begin = F.greatest(F.col("pos") - around, F.lit(0))
+    shown = F.slice("c", begin - F.greatest(F.col("first") - around, F.lit(0)) + 1, F.lit(2 * around + 1)).alias("c")
+    at = at.join(cut, same).select(*DOC, "window", "d", "pos", begin.alias("from"), shown)
+    at = at.join(_sent(windows, tests.n_windows), "window")
     at = at.where("size(filter(w, x -> array_contains(c, x))) >= need")
     # A token that a window has twice must be there twice.
     twice = "aggregate(array_distinct(w), 0, (n, x) -> n + least(size(filter(w, y -> y = x)), size(filter(c, y -> y = x))))"
