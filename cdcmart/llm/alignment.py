@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
 
@@ -22,6 +23,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,11 +39,18 @@ FAN_IN = 8
 # Most distinct id pairs whose counts are handed to every task (17 bytes each); more are joined by shuffle.
 MAX_PAIRS = 1_000_000
 
+# Most pieces whose groups are kept by a task, some 300 bytes each.
+KEPT_PIECES = 200_000
+
 FRAGMENT = (
     "row bigint, id {kind}, range bigint, part bigint, ok boolean, bound boolean, prefix_a array<int>, prefix_b array<int>, "
     "closed string, pairs array<bigint>, n_a bigint, n_b bigint, suffix_a array<int>, suffix_b array<int>"
 )
-ALIGNED = "row bigint, id {kind}, n_a bigint, n_b bigint, groups_sha256 string, pairs array<bigint>"
+# Rows of texts, and one more for each lot of them, without ``row``, that holds how often each pair occurs in the lot.
+ALIGNED = (
+    "row bigint, id {kind}, n_a bigint, n_b bigint, groups_sha256 string, n_links bigint, pairs binary, "
+    "lot_pairs array<bigint>, lot_counts array<bigint>"
+)
 
 
 class Fragment(NamedTuple):
@@ -111,9 +120,13 @@ class Aligner:
         self.b_bytes = [self._piece_bytes(i) for i in range(self.b.vocab_size())]
         self.a_lengths = np.array([len(t) for t in self.a_bytes])
         self.b_lengths = np.array([len(t) for t in self.b_bytes])
+        # Of each known piece the groups as text, the numbers of tokens (A above 32 bits of B) and the links; None where
+        # a side does not give the piece back.
+        self.table: dict[str, tuple[str, int, bytes] | None] = {}
         # What is written for a token inside a group, and for the last one of its side.
         self.words = [f"{i}{mark}" for mark in (",", "|") for i in range(len(self.a_bytes))]
         self.words += [f"{i}{mark}" for mark in (",", ";") for i in range(len(self.b_bytes))]
+        self.word_lengths = np.array([len(w) for w in self.words])
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -137,6 +150,16 @@ class Aligner:
             return Fragment(prefix_a=a.tolist(), prefix_b=b.tolist())
         last_a, last_b = np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1
         (p, q), (s, t) = (last_a[0], last_b[0]), (last_a[-1], last_b[-1])
+        codes, pairs = self._closed(a, b, last_a, last_b)
+        closed = "".join(map(self.words.__getitem__, codes.tolist()))[:-1]
+        return Fragment(
+            True, True, a[:p].tolist(), b[:q].tolist(), closed, pairs, int(s - p), int(t - q), a[s:].tolist(), b[t:].tolist()
+        )
+
+    def _closed(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(what is written for each token, the link of each group) of the groups that end behind ``last_a[1:]`` tokens of
+        A and ``last_b[1:]`` of B."""
+        (p, q), (s, t) = (last_a[0], last_b[0]), (last_a[-1], last_b[-1])
         pairs = a[last_a[1:] - 1] << 32 | b[last_b[1:] - 1]
         sizes_a, sizes_b = np.diff(last_a), np.diff(last_b)
         # Groups are written side by side: a token of A stands behind the B tokens of earlier groups, one of B behind
@@ -149,17 +172,71 @@ class Aligner:
         codes[at_b] = b[q:t] + 2 * n_a
         codes[at_a[last_a[1:] - 1 - p]] += n_a
         codes[at_b[last_b[1:] - 1 - q]] += n_b
-        closed = "".join(map(self.words.__getitem__, codes.tolist()))[:-1]
-        return Fragment(
-            True, True, a[:p].tolist(), b[:q].tolist(), closed, pairs, int(s - p), int(t - q), a[s:].tolist(), b[t:].tolist()
-        )
-
-    def texts(self, texts: list[str]) -> list[Fragment]:
-        """One fragment for each whole text."""
+        return codes, pairs
+
+    def text(self, text: str) -> Fragment:
+        """The fragment of a whole text."""
+        ((exact, a, b),) = self.ids([text])
+        return self.fragment(a, np.cumsum(self.a_lengths[a]), b, np.cumsum(self.b_lengths[b])) if exact else Fragment(ok=False)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Put pieces into the table, many in one string: both sides start anew at the space before each, so its end is
+        an end of both, and its groups are those up to there."""
+        for i in range(0, len(pieces), 1000):
+            some = pieces[i : i + 1000]
+            ((exact, a, b),) = self.ids([" ".join(some)])
+            if not exact:
+                if len(some) == 1:
+                    self.table[some[0]] = None
+                else:
+                    half = len(some) // 2
+                    self._learn(some[:half])
+                    self._learn(some[half:])
+                continue
+            a_ends, b_ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
+            common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+            last_a, last_b = (np.concatenate([[0], np.searchsorted(e, common) + 1]) for e in (a_ends, b_ends))
+            codes, pairs = self._closed(a, b, last_a, last_b)
+            closed, links = "".join(map(self.words.__getitem__, codes.tolist())), pairs.tobytes()
+            # The group behind which each piece ends, and the tokens and written characters up to there.
+            group = np.searchsorted(common, np.cumsum([len(p.encode()) + 1 for p in some])) + 1
+            of_a, of_b = last_a[group], last_b[group]
+            written = np.cumsum(self.word_lengths[codes])[of_a + of_b - 1]
+            counts = (np.diff(of_a, prepend=0) << 32 | np.diff(of_b, prepend=0)).tolist()
+            k = at = 0
+            for piece, g, w, n in zip(some, group.tolist(), written.tolist(), counts):
+                self.table[piece] = (closed[at : w - 1], n, links[8 * k : 8 * g])
+                k, at = g, w
+
+    def texts(self, texts: list[str]) -> list[tuple[int, int, str, np.ndarray]]:
+        """What ``whole`` gives for the fragment of each text, put together from the closed groups of its pieces. What a
+        piece gives is kept; the table starts anew when it is full, which changes the speed only."""
+        if len(self.table) > KEPT_PIECES:
+            self.table.clear()
+        split = [t.split(" ") for t in texts]
+        fresh = set().union(*split).difference(self.table)
+        odd = {p for p in fresh if not p or p[0].isspace() or p[-1].isspace()}
+        if odd:
+            # Beside other white space a space is no place to start anew.
+            split = [parts if odd.isdisjoint(parts) else SAFE.split(t) for t, parts in zip(texts, split)]
+            fresh = set().union(*split).difference(self.table)
+        # Pieces with white space at an end, which only ends of texts have, cannot stand in one string with others.
+        ragged = [p for p in fresh if p and (p[0].isspace() or p[-1].isspace())]
+        self._learn([p for p in fresh.difference(ragged) if p])
+        for p in ragged:
+            self._learn([p])
         out = []
-        for exact, a, b in self.ids(texts):
-            ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
-            out.append(self.fragment(a, ends[0], b, ends[1]) if exact else Fragment(ok=False))
+        for parts in split:
+            found = list(map(self.table.__getitem__, parts)) if parts != [""] else [None]
+            if None in found:
+                out.append((0, 0, "", np.empty(0, np.int64)))
+                continue
+            groups, counts, pairs = zip(*found)
+            n = sum(counts)
+            digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+            out.append((n >> 32, n & 0xFFFFFFFF, digest, np.frombuffer(b"".join(pairs), np.int64)))
+        for p in odd:
+            self.table.pop(p, None)
         return out
 
     def ranges(self, part: str, offset: int, range_bytes: int) -> list[tuple[int, Fragment]]:
@@ -202,13 +279,44 @@ def _record(columns: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _aligned(rows: pa.Array, ids: pa.Array, found: list[tuple[int, int, str, np.ndarray]]) -> pa.RecordBatch:
+    """Rows of texts with what ``whole`` gives for each, and the counts of the lot. Links are packed: they are only moved
+    until they are looked up again, and counted once per lot, so Spark never sees them one by one."""
+    n_a, n_b, digests, links = map(list, zip(*found))
+    pack = zstandard.ZstdCompressor(level=1).compress
+    pairs, counts = np.unique(np.concatenate(links), return_counts=True)
+    n, schema = len(found), _arrow_schema(ALIGNED, ids.type)
+    texts = [rows.to_pylist(), ids, n_a, n_b, digests, [len(x) for x in links], [pack(x.tobytes()) for x in links], [None] * n, [None] * n]
+    lot = [[None], pa.nulls(1, ids.type), [None], [None], [None], [None], [None], [pairs], [counts]]
+    return pa.Table.from_batches([_record(texts, schema), _record(lot, schema)]).combine_chunks().to_batches()[0]
+
+
+def _unpacked(pairs: pa.Array) -> np.ndarray:
+    """The links of all texts of a batch, one after the other."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return np.frombuffer(b"".join(unpack(p) for p in pairs.to_pylist()), np.int64)
+
+
 def _arrow_schema(ddl: str, id_type: pa.DataType) -> pa.Schema:
     """The Arrow form of the schemas above, whose types are few."""
-    types = {"bigint": pa.int64(), "boolean": pa.bool_(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64())}
+    types = {"bigint": pa.int64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64())}
     fields = [field.strip().split(" ", 1) for field in ddl.split(",")]
     return pa.schema([(name, id_type if kind == "{kind}" else types[kind]) for name, kind in fields])
 
 
+def _by_size(texts: list[str]) -> Iterator[list[str]]:
+    """``texts`` in order, up to a megabyte of characters at once: tokens take far more than their text."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t)
+        size += len(t)
+        if size > 1 << 20:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def _short(docs: DataFrame, kind: str, a: str, b: str) -> DataFrame:
     def make():
         own = aligner(a, b)
@@ -216,12 +324,15 @@ def _short(docs: DataFrame, kind: str, a: str, b: str) -> DataFrame:
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             nonlocal row
-            found = [whole(f) for f in own.texts([t or "" for t in batch.column("text").to_pylist()])]
+            found = []
+            for some in _by_size([t or "" for t in batch.column("text").to_pylist()]):
+                found += own.texts(some)
             rows = range(row, row + len(found))
             row += len(found)
             ids = batch.column("id")
-            return _record([pa.array(rows, pa.int64()), ids, *map(list, zip(*found))], _arrow_schema(ALIGNED, ids.type))
+            return _aligned(pa.array(rows, pa.int64()), ids, found)
 
+        step.close = own.table.clear
         return step
 
     return map_batches(docs, make, ALIGNED.format(kind=kind))
@@ -300,7 +411,7 @@ def _long(docs: DataFrame, kind: str, a: str, b: str, range_bytes: int, fan_in:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [whole(Fragment(**r)) for r in batch.select(Fragment._fields).to_pylist()]
             ids = batch.column("id")
-            return _record([batch.column("row"), ids, *map(list, zip(*found))], _arrow_schema(ALIGNED, ids.type))
+            return _aligned(batch.column("row"), ids, found)
 
         return step
 
@@ -309,7 +420,8 @@ def _long(docs: DataFrame, kind: str, a: str, b: str, range_bytes: int, fan_in:
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
     """``pair, n, best``: the links that hold the pair in the whole table, and whether no pair of its B id has more."""
-    counts = stored(aligned.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count("*").alias("n")), "alignment_pairs")
+    lots = aligned.where("row IS NULL").select(F.inline(F.arrays_zip(F.col("lot_pairs").alias("pair"), F.col("lot_counts").alias("n"))))
+    counts = stored(lots.groupBy("pair").agg(F.sum("n").alias("n")), "alignment_pairs")
     b = F.col("pair").bitwiseAND(0xFFFFFFFF)
     # One row for each id of B: as many as its vocabulary has, so it may go to every task.
     most = counts.groupBy(b.alias("b")).agg(F.max("n").alias("most"))
@@ -331,14 +443,11 @@ def _sums_by_lookup(aligned: DataFrame, counts: DataFrame, kind: str) -> DataFra
             return pa.array(total[offsets[1:]] - total[offsets[:-1]], pa.int64())
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            lists = batch.column("pairs")
-            offsets = lists.offsets.to_numpy().astype(np.int64)
-            at = np.searchsorted(pair, lists.flatten().to_numpy())
-            offsets = offsets - offsets[0]
-            columns = [batch.column(c) for c in ("id", "n_a", "n_b", "groups_sha256")]
-            links = pa.array(np.diff(offsets), pa.int64())
+            at = np.searchsorted(pair, _unpacked(batch.column("pairs")))
+            columns = [batch.column(c) for c in ("id", "n_a", "n_b", "groups_sha256", "n_links")]
+            offsets = np.concatenate([[0], np.cumsum(batch.column("n_links").to_numpy())])
             best_sum, n_sum = (sums(v[at].astype(np.int64), offsets) for v in (best, n))
-            return pa.RecordBatch.from_arrays([*columns, links, best_sum, n_sum], ["id", "n_a", "n_b", "groups_sha256", "n_links", "n_best", "count_sum"])
+            return pa.RecordBatch.from_arrays([*columns, best_sum, n_sum], ["id", "n_a", "n_b", "groups_sha256", "n_links", "n_best", "count_sum"])
 
         return step
 
@@ -349,7 +458,17 @@ def _sums_by_lookup(aligned: DataFrame, counts: DataFrame, kind: str) -> DataFra
 def _sums_by_join(aligned: DataFrame, counts: DataFrame) -> DataFrame:
     """The same by shuffle: distinct pairs of each text with their number, joined with the counts. Both sides of the
     join are written tables, so that adaptive execution can split a pair that nearly every text has."""
-    own = stored(aligned.select("row", F.explode("pairs").alias("pair")).groupBy("row", "pair").agg(F.count("*").alias("times")), "alignment_own")
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            links, sizes = _unpacked(batch.column("pairs")), batch.column("n_links").to_numpy()
+            found = [np.unique(x, return_counts=True) for x in np.split(links, np.cumsum(sizes)[:-1])]
+            rows = np.repeat(batch.column("row").to_numpy(), [len(p) for p, _ in found])
+            return pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(np.concatenate(c)) for c in zip(*found))], ["row", "pair", "times"])
+
+        return step
+
+    own = stored(map_batches(aligned.select("row", "n_links", "pairs"), make, "row bigint, pair bigint, times bigint"), "alignment_own")
     joined = own.join(counts, "pair")
     per_row = joined.groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"),
@@ -357,7 +476,7 @@ def _sums_by_join(aligned: DataFrame, counts: DataFrame) -> DataFrame:
     )
     zero = F.lit(0).cast("bigint")
     return aligned.join(per_row, "row", "left").select(
-        "id", "n_a", "n_b", "groups_sha256", F.size("pairs").cast("bigint").alias("n_links"),
+        "id", "n_a", "n_b", "groups_sha256", "n_links",
         F.coalesce("n_best", zero).alias("n_best"), F.coalesce("count_sum", zero).alias("count_sum"),
     )
 
@@ -384,7 +503,8 @@ def align(
     aligned = stored(short.union(long), "aligned")
     counts = pair_counts(aligned)
     few = counts.limit(max_pairs + 1).count() <= max_pairs
-    sums = _sums_by_lookup(aligned, counts, kind) if few else _sums_by_join(aligned, counts)
+    texts = aligned.where("row IS NOT NULL").drop("lot_pairs", "lot_counts")
+    sums = _sums_by_lookup(texts, counts, kind) if few else _sums_by_join(texts, counts)
     return sums.select(
         F.col("id").alias(id_col), "n_a", "n_b", F.col("n_links").alias("n_groups"), "n_links", "n_best", "count_sum", "groups_sha256"
     )

@@ -75,6 +75,16 @@ def test_alignment(spark, documents, edges, texts, with_clash, options):
     assert sorted(map(tuple, got.collect()), key=repr) == aligned_by_hand(texts(docs))
 
 
+def test_texts_put_together_from_pieces():
+    own = alignment.Aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
+    rng = random.Random(9)
+    words = ["a", "bc", "日本", "x\ny", "é", "12.5", "▁", "don't", "", "", "\n", "\t", "\xa0", "zz" * 40]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 12))) for _ in range(800)]
+    for got, text in zip([r for k in range(0, 800, 100) for r in own.texts(texts[k : k + 100])], texts):
+        want = alignment.whole(own.text(text))
+        assert got[:3] == want[:3] and got[3].tolist() == want[3].tolist(), text
+
+
 def test_alignment_of_nothing(empty):
     assert alignment.align(empty).collect() == []
 
@@ -83,7 +93,8 @@ def test_fragments_are_a_monoid():
     own = alignment.aligner("byte_bpe_50k.json", "piece_bpe_32k.model")
     text = "Zusammensetzungen unbelievably 12345 日本語 " * 20
     parts = [f for _, f in own.ranges(text, 0, 7)]
-    want = alignment.whole(own.texts([text])[0])
+    want = alignment.whole(own.text(text))
+    assert own.texts([text])[0][:3] == want[:3]
     rng = random.Random(3)
     for _ in range(20):
         fragments = [alignment.Fragment(), *parts, alignment.Fragment()]
