@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +46,12 @@ def _whole_and_rest(value: Column, unit: int, whole: str, rest: str) -> tuple[Co
     return ((value - part) * share).cast(whole), part
 
 
+def _with(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, outside generated code. For what few rows need: the generated code of
+    all rows holds a call and not the whole expression, which would exceed the size up to which it is compiled."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _wide_product(amount: Column, rate: Column) -> Column:
     """Product over the full range of both types, from partial products that are all exact in 38 digits.
 
@@ -55,23 +61,30 @@ def _wide_product(amount: Column, rate: Column) -> Column:
     a sum of decimals reserves a digit for a carry and would give up the last place for it. No term has a sign of its
     own, so none is larger than the product.
     """
-    a, low = _whole_and_rest(amount, 10**9, "decimal(20,0)", "decimal(18,9)")
-    b, c = _whole_and_rest(low, 1, "decimal(9,0)", "decimal(9,9)")
-    p, q = _whole_and_rest(rate, 1, "decimal(20,0)", "decimal(18,18)")
-    u, v = _whole_and_rest(q * F.lit(10**9).cast("decimal(10,0)"), 1, "decimal(9,0)", "decimal(9,9)")
-
-    # Each fraction has at most 21 digits before the point, so the next sum of wholes takes up its whole part.
-    fraction = a * v + c * p + (low * q).cast("decimal(19,9)")
-    carry, rest = _whole_and_rest(fraction, 1, "decimal(23,0)", "decimal(9,9)")
-    high = F.try_multiply(a, p).try_cast("decimal(20,0)") * F.lit(10**9).cast("decimal(10,0)")
-    whole = (high + a * u + b * p + carry).try_cast("decimal(29,0)")
-
-    negative = (whole < 0) | (rest < 0)
-    digits = F.replace(whole.cast("string"), F.lit("-"), F.lit(""))
-    places = F.lpad(F.replace((rest * F.lit(10**9).cast("decimal(10,0)")).cast("bigint").cast("string"), F.lit("-"), F.lit("")), 9, "0")
-    product = F.concat(F.when(negative, "-").otherwise(""), digits, F.lit("."), places).cast(NUMERIC)
-    failed = F.raise_error(F.concat(F.lit("amount in USD too large: "), amount.cast("string"), F.lit(" at "), rate.cast("string")))
-    return F.when(whole.isNull(), failed.cast(NUMERIC)).otherwise(product)
+
+    def parts(f: Column) -> Column:
+        a, low = _whole_and_rest(f["amount"], 10**9, "decimal(20,0)", "decimal(18,9)")
+        p, q = _whole_and_rest(f["rate"], 1, "decimal(20,0)", "decimal(18,18)")
+        b, c = _whole_and_rest(low, 1, "decimal(9,0)", "decimal(9,9)")
+        u, v = _whole_and_rest(q * F.lit(10**9).cast("decimal(10,0)"), 1, "decimal(9,0)", "decimal(9,9)")
+        named = {"a": a, "b": b, "c": c, "p": p, "u": u, "v": v, "last": (low * q).cast("decimal(19,9)")}
+        return F.struct(*[c.alias(n) for n, c in named.items()])
+
+    def sums(s: Column) -> Column:
+        # Each fraction has at most 21 digits before the point, so the sum of wholes takes up its whole part.
+        carry, rest = _whole_and_rest(s["a"] * s["v"] + s["c"] * s["p"] + s["last"], 1, "decimal(23,0)", "decimal(9,9)")
+        high = F.try_multiply(s["a"], s["p"]).try_cast("decimal(20,0)") * F.lit(10**9).cast("decimal(10,0)")
+        whole = (high + s["a"] * s["u"] + s["b"] * s["p"] + carry).try_cast("decimal(29,0)")
+        return F.struct(whole.alias("whole"), (rest * F.lit(10**9).cast("decimal(10,0)")).cast("bigint").alias("places"))
+
+    def product(t: Column) -> Column:
+        digits = F.replace(t["whole"].cast("string"), F.lit("-"), F.lit(""))
+        places = F.lpad(F.replace(t["places"].cast("string"), F.lit("-"), F.lit("")), 9, "0")
+        sign = F.when((t["whole"] < 0) | (t["places"] < 0), "-").otherwise("")
+        failed = F.raise_error(F.concat(F.lit("amount in USD too large: "), amount.cast("string"), F.lit(" at "), rate.cast("string")))
+        return F.when(t["whole"].isNull(), failed.cast(NUMERIC)).otherwise(F.concat(sign, digits, F.lit("."), places).cast(NUMERIC))
+
+    return _with(_with(_with(F.struct(amount.alias("amount"), rate.alias("rate")), parts), sums), product)
 
 
 def money_times_rate(amount: Column, rate: Column) -> Column:
