@@ -4,12 +4,14 @@ import hashlib
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from cdcmart.llm import components, simhash, suffix_dedup, toxicity
 
@@ -189,34 +191,116 @@ def test_windows_overlap_and_cover():
         assert all(b[0] < a[1] for a, b in zip(spans, spans[1:]))
 
 
+def plain_score(m, text):
+    """Largest window score of a text, one word after the other."""
+    p, n = m.params, toxicity.HIDDEN
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    words = toxicity.words_of(text)
+    inputs = []
+    for w in words:
+        x = p["char"][toxicity._grams(w)].mean(axis=0)
+        x = x + p["word"][m.vocabulary[w]] if w in m.vocabulary else x
+        inputs.append(x @ p["w"] + p["b"])
+
+    def states(xs, u):
+        h, out = np.zeros(n), []
+        for x in xs:
+            z, r = (sigmoid(x[k * n : (k + 1) * n] + h @ u[:, k * n : (k + 1) * n]) for k in (0, 1))
+            h = z * h + (1 - z) * np.tanh(x[2 * n :] + r * (h @ u[:, 2 * n :]))
+            out.append(h)
+        return out
+
+    best = 0.0
+    for start in sorted({*range(0, max(len(words) - toxicity.WINDOW, 0) + 1, toxicity.STRIDE), max(len(words) - toxicity.WINDOW, 0)}) if words else ():
+        xs = inputs[start : start + toxicity.WINDOW]
+        ahead = states([x[: 3 * n] for x in xs], p["uf"])
+        back = states([x[3 * n :] for x in xs][::-1], p["ub"])[::-1]
+        h = np.array([np.concatenate(pair) for pair in zip(ahead, back)])
+        weight = np.exp(h @ p["att"])
+        best = max(best, float(sigmoid(weight / weight.sum() @ h @ p["out"] + p["bias"][0])))
+    return best
+
+
 def test_pipeline(spark):
+    """Every stage against a plain form of it; the whole against the stages one after the other."""
     import corpus_pipeline
-    from cdcmart.llm import decontamination, pii
+    from cdcmart.llm import pii
 
+    seen = {}
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
-    seen = []
     for name, stage in corpus_pipeline.STAGES:
-        before = docs
-        docs = stage(spark, before, SF)
+        before, docs = docs, stage(spark, docs, SF)
         if name != "packing":
             assert docs.columns == columns
         docs = spark.createDataFrame(docs.collect(), docs.schema)
-        seen.append((name, before, docs))
-    by_name = {n: (b, a) for n, b, a in seen}
-    before, after = by_name["near_duplicates"]
-    found = simhash.near_duplicates(before)
-    assert {r["doc_id"] for r in after.collect()} == {r["component_id"] for r in found.collect()}
-    before, after = by_name["decontamination"]
-    clean = decontamination.decontaminate(before, spark.read.parquet(f"{SF}/benchmark.parquet")).where("not contaminated")
-    assert {r["doc_id"] for r in after.collect()} == {r["doc_id"] for r in clean.collect()}
-    before, after = by_name["personal_data"]
-    texts = {r["doc_id"]: r["text"] for r in before.collect()}
-    for r in after.collect():
-        found, whole = pii.find([texts[r["doc_id"]]])[0]
-        assert r["text"] == pii.masked(texts[r["doc_id"]], whole) and r["n_chars"] == len(r["text"])
+        seen[name] = ({r["doc_id"]: r for r in before.collect()}, docs.collect())
+
+    before, after = seen["toxicity"]
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.train(*toxicity.sample(spark.read.parquet(f"{SF}/documents.parquet"), labels, "doc_id", "text", "toxic"))
+    scores = {i: plain_score(model, r["text"] or "") for i, r in before.items()}
+    assert {r["doc_id"] for r in after} == {i for i, s in scores.items() if s < toxicity.THRESHOLD} and len(after) < len(before)
+    assert all(r == before[r["doc_id"]] for r in after)
+
+    before, after = seen["near_duplicates"]
+    ids = sorted(before)
+    prints = [fingerprint(before[i]["text"] or "") for i in ids]
+    near = [(a, b) for a in range(len(ids)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    assert {r["doc_id"] for r in after} == {ids[k] for k in set(roots(len(ids), near))} and len(after) < len(before)
+    assert all(r == before[r["doc_id"]] for r in after)
+
+    before, after = seen["decontamination"]
+    lowered = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    windows = set()
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        w = lowered(r["text"])
+        windows.update(tuple(w[i : i + 10]) for i in range(max(len(w) - 10, 0) + 1) if w)
+    sizes = {len(w) for w in windows}
+    clean = {i for i, r in before.items() if (w := lowered(r["text"])) is not None and not any(tuple(w[k : k + n]) in windows for n in sizes for k in range(len(w) - n + 1))}
+    assert {r["doc_id"] for r in after} == clean and len(after) < len(before)
+    assert all(r == before[r["doc_id"]] for r in after)
+
+    before, after = seen["personal_data"]
+    assert {r["doc_id"] for r in after} == set(before) and len(after) == len(before)
+    for r in after:
+        old = before[r["doc_id"]]
+        _, whole = pii.find([old["text"] or ""])[0]
+        text, at = "", 0
+        for start, end, kind in sorted((s, e, k) for k, s, e in whole):
+            if start >= at:
+                text += old["text"][at:start] + f"<{pii.KINDS[kind]}>"
+            at = max(at, end)
+        assert r["text"] == (old["text"] and text + old["text"][at:]) and r["n_chars"] == len(r["text"] or "")
+        assert (r["lang"], r["source"]) == (old["lang"], old["source"])
+
+    before, after = seen["packing"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces, places = defaultdict(list), defaultdict(list)
+    for r in after:
+        pieces[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]))
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(pieces) == set(before)
+    for i, r in before.items():
+        tokens, at = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 1], 0
+        for start, length, crc, total in sorted(pieces[i]):
+            assert start == at and total == len(tokens) and crc == zlib.crc32(np.array(tokens[at : at + length], "<u4").tobytes())
+            at += length
+        assert at == len(tokens)
+    for place in places.values():
+        at = 0
+        for offset, length in sorted(place):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
     ran = corpus_pipeline.run(spark, SF)
-    assert Counter(tuple(r) for r in ran.drop("sequence_id", "offset").collect()) == Counter(tuple(r) for r in docs.drop("sequence_id", "offset").collect())
+    one_by_one = Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in after)
+    assert Counter(tuple(r) for r in ran.select("doc_id", "start", "length", "ids_crc32", "doc_tokens").collect()) == one_by_one
+    filled = defaultdict(list)
+    for r in ran.collect():
+        filled[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert all([o for o, _ in sorted(f)] == list(np.cumsum([0, *(n for _, n in sorted(f))])[:-1]) for f in filled.values())
 
 
 def test_edges_of_a_hub_are_split(spark):
