@@ -45,7 +45,9 @@ def added(numbers: DataFrame, pairs: DataFrame, new: DataFrame, keys: Sequence[s
 def distinct_keys(numbers: DataFrame, windows: DataFrame) -> DataFrame:
     """``windows`` (columns ``first`` and ``last``, both days included) with ``distinct_keys``, from the numbers alone.
 
-    The numbers have at most a row for each pair of days, the windows are what somebody asks for: both are small."""
+    The numbers have at most a row for each pair of days and stay where they are; the windows, which somebody asks for,
+    are sent to them, and partial sums come back."""
+    asked = windows.select("first", "last").distinct()
     inside = F.col("day").between(F.col("first"), F.col("last")) & (F.col("before").isNull() | (F.col("before") < F.col("first")))
-    hits = windows.join(F.broadcast(numbers), inside, "left")
-    return hits.groupBy("first", "last").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("distinct_keys"))
+    sums = numbers.join(F.broadcast(asked), inside).groupBy("first", "last").agg(F.sum("n").alias("distinct_keys"))
+    return asked.join(sums, ["first", "last"], "left").select("first", "last", F.coalesce("distinct_keys", F.lit(0)).alias("distinct_keys"))
