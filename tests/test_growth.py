@@ -27,6 +27,9 @@ def sf(spark, tmp_path):
         "l_orderkey bigint, l_linenumber bigint, l_partkey bigint, l_suppkey bigint, l_quantity bigint, "
         "l_extendedprice double, l_shipdate timestamp_ntz",
     ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, f"store {k}", k % 5) for k in range(5)], "s_suppkey bigint, s_name string, s_nationkey bigint").write.parquet(
+        f"{tmp_path}/supplier.parquet"
+    )
     return str(tmp_path)
 
 
@@ -49,3 +52,58 @@ def test_deliveries_of_the_stream_are_few_files(spark, sf, monkeypatch):
         queries.stream_item_files(spark, sf)
     assert seen["files"] <= 2 * 3 * 8
     assert Counter(r["count"] for r in seen["events"]) == {2: ITEMS + ITEMS // 3}
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "naive_window_loss",
+        "parity_report",
+        "abcd_verdict_short_window",
+        "refresh_incremental",
+        "field_divergence_events",
+        "rows_added",
+        "items_upsert_twice",
+        "drift_full_vs_incremental",
+    ],
+)
+def test_events_are_joined_once(spark, sf, monkeypatch, name):
+    """Queries that need the item events several times put them together a single time."""
+    read, reads = views.table, Counter()
+
+    def table(spark, sf, name):
+        reads[name] += 1
+        return read(spark, sf, name)
+
+    monkeypatch.setattr(views, "table", table)
+    queries.QUERIES[name](spark, sf).collect()
+    assert reads["lineitem"] == 1
+
+
+def test_rows_outside_the_matched_range_are_copied(spark, tmp_path, rows):
+    """A merge joins only target rows from the range of the matched ones; rows without a moment are joined as well."""
+    from cdcmart.operators.upsert import FILE, matches, upsert, upsert_files, upsert_located
+
+    cols = "id bigint, v string, created_at timestamp"
+    moments = [None, *(datetime(2001, 1, d) for d in range(1, 21))]
+    spark.createDataFrame([(i, f"old {i}", m) for i, m in enumerate(moments)], cols).coalesce(1).write.parquet(f"{tmp_path}/t")
+    target = spark.read.parquet(f"{tmp_path}/t")
+    new = spark.createDataFrame([(0, "n", None), (18, "n", moments[3]), (19, "n", moments[19]), (99, "n", moments[1])], cols)
+    assert rows(upsert_files(target, new, ["id"])) == rows(upsert(target, new, ["id"]))
+    matched = matches(target, new, ["id"], also=["created_at"])
+    files = matched.select(FILE).distinct()
+    merged = upsert_located(target, new, ["id"], matched, files=files, range_col="created_at")
+    assert rows(merged) == rows(upsert(target, new, ["id"]))
+    none = new.where(F.col("id") == 0)
+    assert rows(upsert_files(target, none, ["id"])) == rows(upsert(target, none, ["id"]))
+
+
+def test_tables_are_written_small(spark, sf, database):
+    """Tables of the jobs are compressed by more than the default."""
+    import pyarrow.parquet as pq
+
+    from cdcmart.sinks.tables import write_table
+
+    write_table(spark.range(9).withColumn("created_at", F.lit("2001-01-01").cast("timestamp")), f"{database}.t", "created_at")
+    files = [f.removeprefix("file://") for f in spark.table(f"{database}.t").inputFiles()]
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
