@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cdcmart.operators.upsert import FILE, matches, upsert_located
+from cdcmart.operators.upsert import FILE, has_moment, matches, upsert_located
 from cdcmart.operators.windows import partition_column, partition_value
 from cdcmart.session import conf_set, require_utc, shared_dir
 from cdcmart.sinks.tables import delete_dir, ensure_target, laid_out
@@ -41,7 +41,7 @@ def _values(df: DataFrame, column: str) -> list[date | None]:
 
 
 def _written(df: DataFrame, path: str, schema: StructType | None = None) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
@@ -103,7 +103,9 @@ def stage_upsert(
 
     # The one look at the keys of the target: it gives the partitions to rewrite, the places of the rows to update and
     # what is to be inserted.
-    matched = _written(matches(target, incoming, keys, target_filter, also=[column]), f"{staging}/matched")
+    ranged = has_moment(target, partition_ts) and partition_ts not in keys
+    also = [column, partition_ts] if ranged else [column]
+    matched = _written(matches(target, incoming, keys, target_filter, also=also), f"{staging}/matched")
     files = _written(matched.select(FILE).distinct(), f"{staging}/files")
     affected = _values(matched.select(column).unionByName(incoming.select(column)), column)
     if not affected:
@@ -115,13 +117,14 @@ def stage_upsert(
         incoming,
         keys,
         matched,
+        range_col=partition_ts if ranged else None,
         files=files,
         # The partition follows the creation time, so it is updated exactly if that is.
         update_cols=update_cols if update_cols is None or partition_ts not in update_cols else [*update_cols, column],
         newer_by=newer_by,
         allow_null_keys=allow_null_keys,
     )
-    laid_out(content, column, cluster).write.mode("overwrite").parquet(f"{staging}/content")
+    laid_out(content, column, cluster).write.mode("overwrite").option("compression", "zstd").parquet(f"{staging}/content")
     listed = spark.createDataFrame([(d,) for d in affected], f"`{column}` date")
     listed.coalesce(1).write.mode("overwrite").parquet(f"{staging}/affected")
     return staging
