@@ -15,6 +15,10 @@ from cdcmart.operators.windows import PARTITION_BY, partition_column, partition_
 from cdcmart.session import require_utc
 
 
+# Tables are read more often than written, and smaller files are less to write and to move.
+CODEC = "zstd"
+
+
 class RefusedContent(ValueError):
     """New content of a table that fails one of its checks."""
 
@@ -120,7 +124,7 @@ def write_table(
         observed = Observation()
         wanted = {**(checks or {}), **(measures or {})}
         arranged = arranged.observe(observed, *[c.alias(name) for name, c in wanted.items()])
-    writer = arranged.write.format("parquet").option("path", location)
+    writer = arranged.write.format("parquet").option("compression", CODEC).option("path", location)
     if partition:
         writer = writer.partitionBy(partition)
     writer.saveAsTable(f"{table}__next")
@@ -171,7 +175,7 @@ def ensure_target(spark: SparkSession, table: str, schema: T.StructType, unit: s
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}, `{partition}` date) "
-        f"USING parquet PARTITIONED BY (`{partition}`)"
+        f"USING parquet OPTIONS (compression '{CODEC}') PARTITIONED BY (`{partition}`)"
     )
     return True
 
@@ -223,7 +227,7 @@ def publish(
     out = with_partition(df, partition_ts, unit) if partition_ts else df
     partition = PARTITION_BY[unit] if partition_ts else None
     location = f"{_default_location(spark, name).rstrip('/')}__{uuid.uuid4().hex}"
-    writer = laid_out(out, partition, cluster).write.format("parquet").option("path", location)
+    writer = laid_out(out, partition, cluster).write.format("parquet").option("compression", CODEC).option("path", location)
     (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
     for old in [*before, table][:-keep]:
@@ -253,5 +257,5 @@ def snapshot(
     spark = df.sparkSession
     kept = with_partition(since_date(df, as_of, window_days, ts), ts)
     day = PARTITION_BY["day"]
-    laid_out(kept, day, cluster).write.mode("overwrite").partitionBy(day).parquet(path)
+    laid_out(kept, day, cluster).write.mode("overwrite").option("compression", CODEC).partitionBy(day).parquet(path)
     return spark.read.schema(kept.schema).parquet(path)
