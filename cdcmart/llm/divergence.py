@@ -5,8 +5,8 @@ language with one bin for all others. The references are the same histograms sum
 language that are long enough. A document whose Jensen-Shannon distance from a reference
 exceeds the limit is dropped; below a least length a histogram says too little, and its rule abstains.
 
-Everything is SQL expressions. Two passes read the texts: one adds up the references, a row for each of the listed
-languages, the other applies them.
+Everything is SQL expressions. One pass reads the texts and writes the histograms, a few numbers per document; the
+references, a row for each of the listed languages, are added up from those and then applied to them.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdcmart.llm.common import stored
+
 # Frequent words by language.
 COMMON_WORDS = {
     "en": ("the", "of", "and", "to", "a", "in", "that", "is", "was", "for", "it", "with"),
@@ -31,9 +33,9 @@ LEAST_CHARS, LEAST_COUNTED = 200, 100  # characters and words a histogram needs
 CHAR_LIMIT, WORD_LIMIT = 0.28, 0.3
 
 
-def features(docs: DataFrame, id_col: str, text_col: str, lang_col: str, base: bool) -> DataFrame:
-    """Histograms, and with ``base`` the counts of the base rules. A text is split once: what depends on its words is
-    computed inside a lambda over them."""
+def features(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """Histograms and the counts of the base rules. A text is split once: what depends on its words is computed inside
+    a lambda over them."""
     known = ", ".join(f"'{w}'" for w in sorted({w for ws in COMMON_WORDS.values() for w in ws}))
     lists = " ".join(f"when '{k}' then array({', '.join(repr(w) for w in v)})" for k, v in COMMON_WORDS.items())
     classes = ", ".join(f"length(regexp_replace(j, r'{c}', ''))" for c in CLASSES)
@@ -58,16 +60,15 @@ def features(docs: DataFrame, id_col: str, text_col: str, lang_col: str, base: b
                  transform(array(array_join(w, '')), j -> array(cast(length(j) as int), {classes}))[0] as chars,
                  transform(array(filter(transform(w, x -> lower(x)), x -> x in ({known}))), m ->
                    transform(common, c -> size(filter(m, x -> x = c))))[0] as hits
-                 {base_fields if base else ''}))[0]"""
+                 {base_fields}))[0]"""
     lines = "transform(array(filter(split(text, '\\n'), l -> length(btrim(l, spaces)) > 0)), l -> cast(size(l) - size(array_distinct(l)) as bigint))[0]"
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
         F.col(f"`{lang_col}`").cast("string").alias("lang"), F.lit(" \t\n\x0b\f\r").alias("spaces"),
     )
     rows = rows.withColumns({"t": F.expr("btrim(text, spaces)"), "common": F.expr(f"case lang {lists} else cast(array() as array<string>) end")})
-    columns = [F.col("id"), F.col("lang"), F.expr(of_words).alias("f")]
-    if base:
-        columns += [F.expr(lines).alias("n_dup_lines"), F.expr(r"cast(length(regexp_replace(text, r'[^#*$%&|<>]+', '')) as bigint)").alias("n_symbols")]
+    symbols = r"cast(length(regexp_replace(text, r'[^#*$%&|<>]+', '')) as bigint)"
+    columns = [F.col("id"), F.col("lang"), F.expr(of_words).alias("f"), F.expr(lines).alias("n_dup_lines"), F.expr(symbols).alias("n_symbols")]
     return rows.select(*columns).select("*", "f.*").drop("f")
 
 
@@ -84,13 +85,12 @@ def _bins(df: DataFrame) -> DataFrame:
 NAMES = {"c": [f"c{i}" for i in range(len(CLASSES) + 1)], "w": [f"w{i}" for i in range(BINS)]}
 
 
-def references(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """One row per listed language with documents to learn from: ``lang`` and the shares ``r_c0.., r_w0..``."""
-    long_enough = docs.where(F.col(f"`{lang_col}`").isin(*COMMON_WORDS))
-    rows = _bins(features(long_enough, id_col, text_col, lang_col, base=False))
+def references(rows: DataFrame) -> DataFrame:
+    """One row per listed language with documents to learn from, of the histograms in ``rows``: ``lang`` and the shares
+    ``r_c0.., r_w0..``."""
     names = NAMES["c"] + NAMES["w"]
-    # Short documents are left out inside the sums: a filter would be pushed below the histograms and split the text twice.
-    sums = rows.groupBy("lang").agg(*[F.sum(F.when(F.col("n_words") >= LEAST_COUNTED, F.col(c))).alias(c) for c in names])
+    long_enough = rows.where(F.col("lang").isin(*COMMON_WORDS) & (F.col("n_words") >= LEAST_COUNTED))
+    sums = long_enough.groupBy("lang").agg(*[F.sum(c).alias(c) for c in names])
     shares = [(F.col(c) / sum((F.col(o) for o in NAMES[c[0]]), F.lit(0.0))).alias(f"r_{c}") for c in names]
     return sums.select("lang", *shares)
 
@@ -115,9 +115,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     learn from, has no reference: both distances are NULL and only the base rules count. Repeated rows and NULL keys
     give a row each; other columns are not read. Windows are compared by 64-bit hash within one document.
     """
-    rows = _bins(features(docs, id_col, text_col, lang_col, base=True))
+    rows = _bins(stored(features(docs, id_col, text_col, lang_col), "histograms"))
     # The references are at most one row per listed language.
-    known = F.broadcast(references(docs, id_col, text_col, lang_col))
+    known = F.broadcast(references(rows))
     judged = rows.join(known, "lang", "left").withColumns({"char_distance": _distance(NAMES["c"]), "word_distance": _distance(NAMES["w"])})
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     far = F.coalesce(

@@ -62,6 +62,15 @@ def test_quality_plan_is_native(documents):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_quality_reads_the_texts_once(documents):
+    # What is left to do reads the histograms, not the documents.
+    rest = divergence.quality_rules(documents)
+    assert not set(rest.inputFiles()) & set(documents.inputFiles())
+    assert "split(" not in rest._jdf.queryExecution().optimizedPlan().toString()
+    first = divergence.features(documents, "doc_id", "text", "lang")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", first) and first.count("FileScan") == 1
+
+
 def lowered(text):
     return TOKEN.findall((text or "").translate({i: i + 32 for i in range(65, 91)}))
 
