@@ -20,43 +20,101 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cdcmart.llm.common import map_batches, picked, stored
-from cdcmart.llm.pieces import SPECIAL, PieceTable
+from cdcmart.llm.pieces import KEPT_PIECES, PieceNumbers
 
 END_ID = 1
 # Rows of one length ranked by one task.
 RANKED_TOGETHER = 20_000
+# Most ids kept for pieces, beside KEPT_PIECES, and what stays of both when they are full and between tasks. They change
+# the speed only.
+KEPT_IDS = 8 << 20
+STAYING_PIECES, STAYING_IDS = 200_000, 2 << 20
+# Pieces encoded in one string; pieces whose ids are put together at once.
+JOINED = 200
+GATHERED = 1 << 16
 
 
 class Encoder:
-    """Token ids of texts, as little-endian 32-bit numbers."""
+    """Token ids of texts, as little-endian 32-bit numbers.
+
+    Pieces are numbered as they are met; ``starts`` and ``lengths`` say where the ids of each number lie in ``kept``."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids of tokens that begin with a space
         self.opens[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
-        self.table = PieceTable(self._ids, self._each([SPECIAL])[0])
-
-    def _each(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        """Pieces are encoded many at a time, in one string, and told apart by the tokens that begin with a space."""
-        encoded: list[bytes] = []
-        for i in range(0, len(texts), 1000):
-            some = texts[i : i + 1000]
-            if all(t[:1] == " " and t.count(" ") == 1 for t in some):
-                ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
-                bounds = [*(4 * np.flatnonzero(self.opens[ids])).tolist(), 4 * len(ids)]
-                if len(bounds) == len(some) + 1 and bounds[0] == 0:
-                    whole = ids.tobytes()
-                    encoded += [whole[a:b] for a, b in zip(bounds, bounds[1:])]
-                    continue
-            encoded += self._each(some)
-        return encoded
+        self.numbers = PieceNumbers()
+        self.kept = np.empty(0, "<u4")
+        self.starts = self.lengths = np.empty(0, np.int64)
+        self.again = np.empty(0, bool)  # pieces met by more than one call
+
+    def thin(self) -> None:
+        """Only pieces that were met again stay, and not too many of those: all others cost less to encode anew than to
+        keep until they come back, if they do."""
+        keep = np.flatnonzero(self.again)[:STAYING_PIECES]
+        keep = keep[np.cumsum(self.lengths[keep]) <= STAYING_IDS]
+        number = np.full(len(self.again), -1)
+        number[keep] = np.arange(len(keep))
+        numbers = number.tolist()
+        self.kept = self._gathered(keep)
+        self.lengths = self.lengths[keep]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.again = np.zeros(len(keep), bool)
+        self.numbers.restart({p: numbers[k] for p, k in self.numbers.known.items() if numbers[k] >= 0})
+
+    def _gathered(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of the pieces, one after the other."""
+        out = [np.empty(0, "<u4")]
+        for at in range(0, len(numbers), GATHERED):
+            some = numbers[at : at + GATHERED]
+            n = self.lengths[some]
+            to = np.cumsum(n)
+            if to[-1] <= 16 * GATHERED:
+                out.append(self.kept[np.repeat(self.starts[some] - to + n, n) + np.arange(to[-1])])
+            else:  # long pieces are not worth a position for each id
+                out += [self.kept[a:b] for a, b in zip(self.starts[some].tolist(), (self.starts[some] + n).tolist())]
+        return np.concatenate(out)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, texts: list[str]) -> None:
+        """Encode the texts that got the next numbers. Those with one space, at the beginning, are encoded many at a
+        time, in one string, and told apart by the tokens that begin with a space."""
+        spaced = [i for i, t in enumerate(texts) if t[:1] == " " and t.count(" ") == 1]
+        single = set(range(len(texts))).difference(spaced)
+        order, parts, lengths = [], [], []
+        for i in range(0, len(spaced), JOINED):
+            some = spaced[i : i + JOINED]
+            ids = self._ids(["".join([texts[k] for k in some])])[0]
+            bounds = np.flatnonzero(self.opens[ids])
+            if len(bounds) == len(some) and bounds[0] == 0:
+                order += some
+                parts.append(ids)
+                lengths.append(np.diff(bounds, append=len(ids)))
+            else:
+                single.update(some)
+        rest = sorted(single)
+        each = [ids for i in range(0, len(rest), 1000) for ids in self._ids([texts[k] for k in rest[i : i + 1000]])]
+        order += rest
+        n = np.concatenate([*lengths, np.array([len(ids) for ids in each], np.int64)])
+        starts, ordered = np.empty((2, len(texts)), np.int64)
+        starts[order], ordered[order] = len(self.kept) + np.cumsum(n) - n, n
+        self.kept = np.concatenate([self.kept, *parts, *each])
+        self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, ordered])
+        self.again = np.concatenate([self.again, np.zeros(len(texts), bool)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(parts) for parts in self.table.values(texts)]
+        if len(self.lengths) > KEPT_PIECES or len(self.kept) > KEPT_IDS:
+            self.thin()
+        numbers, counts = self.numbers.of(texts)
+        self.again[numbers[numbers < len(self.again)]] = True
+        self._learn(self.numbers.taken())
+        ids = memoryview(self._gathered(numbers)).cast("B")
+        ends = np.concatenate([[0], np.cumsum(self.lengths[numbers])])
+        bounds = (4 * ends[np.concatenate([[0], np.cumsum(counts)])]).tolist()
+        return [bytes(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
 
 
 @cache
@@ -88,7 +146,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, size: in
             names = ["id", "start", "length", "ids_crc32", "doc_tokens"]
             return pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(rows, pa.int64())), *longs], names)
 
-        step.close = own.table.after.clear
+        step.close = own.thin
         return step
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -118,6 +119,49 @@ def test_encoder_gives_the_ids_of_the_library(library):
     assert [np.frombuffer(e, "<u4").tolist() for e in encoded] == library(texts)
 
 
+@pytest.mark.parametrize("limits", [(700_000, 8 << 20, 200_000), (10, 8 << 20, 200_000), (700_000, 40, 3)])
+def test_encoder_in_batches(library, monkeypatch, limits):
+    for name, value in zip(("KEPT_PIECES", "KEPT_IDS", "STAYING_PIECES"), limits):
+        monkeypatch.setattr(packing, name, value)
+    monkeypatch.setattr(packing, "GATHERED", 7)  # some stretches go over 16 ids a piece
+    own = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = drawn(300) + ODD + drawn(100)
+    for at in range(0, len(texts), 23):
+        some = texts[at : at + 23]
+        assert [np.frombuffer(e, "<u4").tolist() for e in own.encode(some)] == library(some)
+        if at % 4 == 1:
+            own.thin()  # as at the end of a task
+    assert own.encode([]) == []
+
+
+class Recorded:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_encoder_meets_pieces_of_the_task_before(spark, monkeypatch, library):
+    own = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(packing, "encoder", lambda name: own)
+    monkeypatch.setattr(packing, "map_batches", lambda docs, make, schema: make)
+    make = packing.pieces(spark.createDataFrame([], "id bigint, text string"), "id", "text", "byte_bpe_50k.json", 2048)
+    text = "It was " + " ".join(f"word{i}" for i in range(500))
+    batch = pa.RecordBatch.from_pydict({"id": [1], "text": [text]})
+    for _ in range(2):
+        step = make()
+        want = step(batch).to_pydict()
+        assert want["doc_tokens"] == [len(library([text])[0]) + 1]
+        step(batch)
+        step.close()
+    own.tokenizer = Recorded(own.tokenizer)
+    assert make()(batch).to_pydict() == want
+    # Only the start of the text.
+    assert sum(map(len, own.tokenizer.texts)) < 10
+
+
 @pytest.mark.parametrize("together", [20_000, 50])
 def test_packing(mixed, texts, library, monkeypatch, together):
     monkeypatch.setattr(packing, "RANKED_TOGETHER", together)
