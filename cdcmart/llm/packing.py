@@ -20,14 +20,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cdcmart.llm.common import map_batches, picked, stored
-from cdcmart.llm.pieces import KEPT_PIECES, PieceNumbers
+from cdcmart.llm.pieces import PieceNumbers
 
 END_ID = 1
 # Rows of one length ranked by one task.
 RANKED_TOGETHER = 20_000
-# Most ids kept for pieces, beside KEPT_PIECES, and what stays of both when they are full and between tasks. They change
-# the speed only.
-KEPT_IDS = 8 << 20
+# Most pieces and ids kept, and what stays of both when they are full and between tasks. They change the speed only.
+KEPT_PIECES, KEPT_IDS = 400_000, 8 << 20
 STAYING_PIECES, STAYING_IDS = 200_000, 2 << 20
 # Pieces encoded in one string; pieces whose ids are put together at once.
 JOINED = 200

@@ -132,7 +132,7 @@ class PieceNumbers:
         first[offsets[:-1]] = True
         follows = np.zeros(len(words), bool)  # the others are starts of texts only
         follows[at[~first]] = True
-        number = np.array(list(map(self.known.get, words, repeat(-1))), np.int64)
+        number = np.array(list(map(self.known.get, words, repeat(-1))), np.int32)
         odd = np.zeros(len(words), bool)
         unknown = np.flatnonzero(number < 0)
         odd[unknown] = [w.strip() != w or not w for w in map(words.__getitem__, unknown.tolist())]
@@ -145,12 +145,12 @@ class PieceNumbers:
         bad = np.add.reduceat(odd[at], offsets[:-1]) > 0 if plain else np.zeros(0, bool)
         flat = number[at]
         flat[first] = [-1 if b else self._start(words[k]) for k, b in zip(at[first].tolist(), bad.tolist())]
-        parts: list[np.ndarray] = [np.empty(0, np.int64)] * len(texts)
+        parts: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
         for i, b, lo, hi in zip(plain, bad.tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
-            parts[i] = np.array(self._by_pattern(texts[i]), np.int64) if b else flat[lo:hi]
+            parts[i] = np.array(self._by_pattern(texts[i]), np.int32) if b else flat[lo:hi]
         for i in set(range(len(texts))).difference(plain):
-            parts[i] = np.array(self._by_pattern(texts[i]), np.int64)
-        return np.concatenate([np.empty(0, np.int64), *parts]), np.array([len(x) for x in parts], np.int64)
+            parts[i] = np.array(self._by_pattern(texts[i]), np.int32)
+        return np.concatenate([np.empty(0, np.int32), *parts]), np.array([len(x) for x in parts], np.int64)
 
     def taken(self) -> list[str]:
         """What was numbered since the last call, in order."""
