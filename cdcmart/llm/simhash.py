@@ -95,8 +95,9 @@ def links(nodes: DataFrame) -> DataFrame:
     b = keyed.select("key", *[F.col(c).alias(f"b_{c}") for c in ["fp", *coordinates]])
     largest = F.greatest(*[F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) for c in coordinates])
     close = F.bit_count(F.col("a_fp").bitwiseXOR(F.col("b_fp"))) <= DISTANCE
+    # Spark takes the exploded rows, 28 to a fingerprint, for as few as the fingerprints and would broadcast them all.
     met = a.withColumnRenamed("key", "a_key").join(
-        b.withColumnRenamed("key", "b_key"),
+        b.withColumnRenamed("key", "b_key").hint("merge"),
         (F.col("a_key") == F.col("b_key")) & (F.col("a_fp") < F.col("b_fp")) & (largest <= DISTANCE) & close,
     )
     return met.select(F.col("a_fp").alias("u"), F.col("b_fp").alias("v")).dropDuplicates()

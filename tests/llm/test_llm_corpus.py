@@ -64,6 +64,16 @@ def test_links_are_all_pairs_within_two_bits(spark):
     assert got == want and want
 
 
+def test_links_are_never_broadcast(spark):
+    """The keyed rows are many times the fingerprints, which Spark's estimate does not see."""
+    from cdcmart.session import conf_set
+
+    nodes = spark.range(1000).selectExpr("xxhash64(id) as fp")
+    with conf_set(spark, spark__sql__autoBroadcastJoinThreshold="10m"):
+        plan = simhash.links(nodes)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_near_duplicates(mixed, texts, empty):
     rows = texts(mixed)
     prints = np.array([fingerprint(t) for _, t in rows], np.uint64)
