@@ -23,7 +23,7 @@ from pyspark.sql.types import StructType
 
 from cdcmart.operators.upsert import FILE, has_moment, matches, upsert_located
 from cdcmart.operators.windows import partition_column, partition_value
-from cdcmart.session import conf_set, require_utc, shared_dir
+from cdcmart.session import conf_set, require_utc, shared_dir, shuffles_removed
 from cdcmart.sinks.tables import delete_dir, ensure_target, laid_out
 
 PENDING = "cdcmart.pending"
@@ -127,6 +127,8 @@ def stage_upsert(
     laid_out(content, column, cluster).write.mode("overwrite").option("compression", "zstd").parquet(f"{staging}/content")
     listed = spark.createDataFrame([(d,) for d in affected], f"`{column}` date")
     listed.coalesce(1).write.mode("overwrite").parquet(f"{staging}/affected")
+    for used in ("source", "matched", "files"):  # apply reads none of them
+        delete_dir(spark, f"{staging}/{used}")
     return staging
 
 
@@ -150,9 +152,10 @@ def upsert_into(
         # Another session may have written since this one last looked at the table's files.
         spark.catalog.refreshTable(table)
         recover(spark, table)
-    staging = stage_upsert(
-        spark, table, source, keys, target_filter=target_filter, update_cols=update_cols, **options
-    )
+    with shuffles_removed(spark):
+        staging = stage_upsert(
+            spark, table, source, keys, target_filter=target_filter, update_cols=update_cols, **options
+        )
     if staging is None:
         delete_dir(spark, shared_dir(spark, f"staging/{table}"))
         return

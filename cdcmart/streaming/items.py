@@ -17,12 +17,16 @@ from cdcmart.functions.casts import cast_columns
 from cdcmart.operators.dedup import SOURCE_TS, latest_by_key, with_source_ts
 from cdcmart.operators.upsert import upsert
 from cdcmart.operators.windows import on_or_after, partition_column
-from cdcmart.session import require_utc
-from cdcmart.sinks.tables import delete_dir, ensure_target, list_dir, read_target
+from cdcmart.session import conf_set, require_utc
+from cdcmart.sinks.tables import CODEC, delete_dir, ensure_target, list_dir, read_target
 from cdcmart.sinks.upserts import recover, upsert_into
 from cdcmart.sources.schemas import ITEMS_CLEAN_SCHEMA, ITEMS_SPEC, landing_schema
 
 SPEC = [*ITEMS_SPEC, (SOURCE_TS, "source_timestamp", "timestamp")]
+# Row groups of pending events, and how much of them a task of a compaction takes up: it sorts these rows by key before
+# they are shuffled, and as rows they are over ten times as large as in the files.
+PENDING_BLOCK = 16 << 20
+COMPACTED_TOGETHER = "32m"
 TARGET_SCHEMA = T.StructType([*ITEMS_CLEAN_SCHEMA.fields, T.StructField("source_timestamp", T.TimestampType())])
 
 
@@ -82,9 +86,14 @@ def append_events(
     reader = spark.readStream.schema(schema or landing_schema("order_items"))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+
+    def append(batch: DataFrame, n: int) -> None:
+        writer = batch.write.mode("overwrite").option("compression", CODEC).option("parquet.block.size", PENDING_BLOCK)
+        writer.parquet(f"{pending_dir(checkpoint)}/batch={n}")
+
     query = (
         reader.parquet(raw_dir)
-        .writeStream.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{pending_dir(checkpoint)}/batch={n}"))
+        .writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -135,7 +144,8 @@ def compact(
     folders = list_dir(spark, pending_dir(checkpoint))
     if folders:
         events = spark.read.schema(schema or landing_schema("order_items")).parquet(*folders)
-        merge_batch(events, table, target_days, tie_breakers, unit)
+        with conf_set(spark, spark__sql__files__maxPartitionBytes=COMPACTED_TOGETHER):
+            merge_batch(events, table, target_days, tie_breakers, unit)
         for folder in folders:
             delete_dir(spark, folder)
     return len(folders)

@@ -107,3 +107,53 @@ def test_tables_are_written_small(spark, sf, database):
     write_table(spark.range(9).withColumn("created_at", F.lit("2001-01-01").cast("timestamp")), f"{database}.t", "created_at")
     files = [f.removeprefix("file://") for f in spark.table(f"{database}.t").inputFiles()]
     assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def _codecs(folder):
+    import pyarrow.parquet as pq
+
+    files = [f for f in Path(folder.removeprefix("file:")).rglob("*.parquet")]
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+
+
+def test_the_stream_keeps_little_on_disk(spark, sf, monkeypatch):
+    """Events that have landed or wait for a compaction are written small; what they were dealt from has gone by then."""
+    from cdcmart.streaming import items
+
+    merge, seen = items.merge_batch, {}
+
+    def stop(_, landing, table, checkpoint, **options):
+        folder = Path(landing.removeprefix("file:"))
+        seen["landed"], seen["dealt"] = _codecs(landing), [*(folder.parents[1] / "deliveries").rglob("*.parquet")]
+        monkeypatch.setattr(items, "merge_batch", lambda *args: seen.update(pending=_codecs(items.pending_dir(checkpoint))) or merge(*args))
+        return items.stream_items(spark, landing, table, checkpoint, **options)
+
+    monkeypatch.setattr(queries, "stream_items", stop)
+    assert queries.stream_item_files(spark, sf).count() == ITEMS
+    assert seen == {"landed": {"ZSTD"}, "pending": {"ZSTD"}, "dealt": []}
+
+
+def test_a_merge_keeps_only_what_apply_reads(spark, database, monkeypatch):
+    """Files of its shuffles go with each step, and its inputs before the table is written."""
+    import time
+
+    from cdcmart.sinks import upserts
+
+    files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    apply, seen = upserts.apply_staged, {}
+
+    def record(spark_, table, staging):
+        seen["staged"] = {f.name for f in Path(staging.removeprefix("file:")).iterdir()}
+        apply(spark_, table, staging)
+
+    monkeypatch.setattr(upserts, "apply_staged", record)
+    source = spark.range(50).selectExpr("id as k", "id as v", "timestamp'2001-01-01' as created_at").repartition(4, "k")
+    before = files()
+    upserts.upsert_into(spark, f"{database}.t", source, ["k"])
+    for _ in range(20):
+        if files() <= before:
+            break
+        time.sleep(0.5)
+    assert files() <= before
+    assert seen["staged"] == {"content", "affected"}
+    assert spark.table(f"{database}.t").count() == 50
